@@ -77,14 +77,17 @@ def escape_literal(text: Column) -> Column:
 def escape_iri(text: Column) -> Column:
     """Write the characters an IRI may not hold as ``\\uXXXX``."""
     illegal = '\\<>"{}|^` \n\r\t'
-    return _replaced(text, [(c, f"\\u{ord(c):04X}") for c in illegal])
+    escaped = _replaced(text, [(c, f"\\u{ord(c):04X}") for c in illegal])
+    return F.when(text.rlike(r'[\\<>"{}|^`\s]'), escaped).otherwise(text)
 
 
 def unescape(text: Column) -> Column:
     """Undo backslash escapes; null if one is not understood.
 
-    The escapes of N-Triples text up to ``\\uXXXX`` are those of a JSON string.
+    The escapes of N-Triples text up to ``\\uXXXX`` are those of a JSON string. A
+    bare quote ends such a string early, which makes the text unreadable too.
     """
     document = F.concat(F.lit('["'), text, F.lit('"]'))
     plain = F.from_json(document, "array<string>", {"allowUnescapedControlChars": "true"})
-    return F.when(F.contains(text, F.lit("\\")), F.get(plain, 0)).otherwise(text)
+    bare = F.when(~F.contains(text, F.lit('"')), text)
+    return F.when(F.contains(text, F.lit("\\")), F.get(plain, 0)).otherwise(bare)

@@ -14,10 +14,9 @@ from carelake import schemas
 from carelake.functions.identity import pseudonym
 from carelake.operators import integrate as it
 from carelake.operators.integrate import Dictionaries, Sources, integrate
-from carelake.operators.lookup import MAX_BROADCAST_ROWS
 from carelake.operators.mapping import build_graph
 from carelake.operators.match import Graph
-from carelake.operators.skew import skew_join
+from carelake.operators.skew import hot_keys, salted_join
 from carelake.plans import zones
 from carelake.session import scratch_path, tune
 from carelake.sources import tables as io
@@ -47,23 +46,29 @@ def _day(column: str) -> Column:
     return F.date_format(column, "yyyy-MM-dd")
 
 
-def dictionaries(
-    spark: SparkSession, sf_dir: str, max_rows: int = MAX_BROADCAST_ROWS
-) -> Dictionaries:
+# What is found out or written once per session and then shared by the queries.
+_known: dict[tuple[str, str, str], object] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, what: str, find):
+    key = (spark.sparkContext.applicationId, sf_dir, what)
+    if key not in _known:
+        _known[key] = find()
+    return _known[key]
+
+
+def dictionaries(spark: SparkSession, sf_dir: str) -> Dictionaries:
     drugs = table(spark, sf_dir, "part").where(F.col("p_type") != UNLISTED_TYPE)
-    return Dictionaries.of(
-        spark,
-        schemas.ReferenceData(
-            lab_tests=LAB_TESTS,
-            condition_labels=CONDITION_LABELS,
-            drug_families=drugs.select(
-                _text("p_partkey").alias("drug"), F.col("p_type").alias("family")
-            ),
-            allergy_families=ALLERGY_FAMILIES,
-            unit_rules=UNIT_RULES,
+    data = schemas.ReferenceData(
+        lab_tests=LAB_TESTS,
+        condition_labels=CONDITION_LABELS,
+        drug_families=drugs.select(
+            _text("p_partkey").alias("drug"), F.col("p_type").alias("family")
         ),
-        max_rows,
+        allergy_families=ALLERGY_FAMILIES,
+        unit_rules=UNIT_RULES,
     )
+    return _once(spark, sf_dir, "dictionaries", lambda: Dictionaries.of(spark, data))
 
 
 def ehr_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +125,8 @@ def _ordered_items(spark: SparkSession, sf_dir: str, items: list, orders: list)
     """Line items with columns of their order."""
     left = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("key"), *items)
     right = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), *orders)
-    return skew_join(left, right, "key")
+    hot = _once(spark, sf_dir, "hot orders", lambda: hot_keys(left, "key"))
+    return salted_join(left, right, ["key"], hot)
 
 
 def prescriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,23 +193,19 @@ def graph_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_graph(spark, integrate(sources(spark, sf_dir), bound), bound)
 
 
-# Written graphs and lakes of this process, so that the queries share them.
-_written: dict[tuple[str, str, str], str] = {}
-
-
-def _shared(spark: SparkSession, sf_dir: str, what: str, write) -> str:
-    key = (spark.sparkContext.applicationId, sf_dir, what)
-    if key not in _written:
+def _written(spark: SparkSession, sf_dir: str, what: str, write) -> str:
+    def find() -> str:
         path = scratch_path(spark, what)
         write(path)
-        _written[key] = path
-    return _written[key]
+        return path
+
+    return _once(spark, sf_dir, what, find)
 
 
 def stored_graph(spark: SparkSession, sf_dir: str) -> Graph:
     """The bound graph, written once per session and read back."""
     tune(spark)
-    path = _shared(
+    path = _written(
         spark, sf_dir, "graph", lambda path: save_graph(graph_triples(spark, sf_dir), path)
     )
     return load_graph(spark, path)
@@ -234,7 +236,7 @@ def _write_lake(spark: SparkSession, sf_dir: str, path: str) -> None:
 def stored_lake(spark: SparkSession, sf_dir: str) -> str:
     """Root of the bound silver and gold tables, written once per session."""
     tune(spark)
-    return _shared(spark, sf_dir, "lake", lambda path: _write_lake(spark, sf_dir, path))
+    return _written(spark, sf_dir, "lake", lambda path: _write_lake(spark, sf_dir, path))
 
 
 # --------------------------------------------------------- image files as bytes
