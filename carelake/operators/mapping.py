@@ -1,14 +1,15 @@
 """Mapping of the integrated tables to triples.
 
-Each table is read once: a row's triples come out of one generator, and the
-edges that point to a node come with the node's own triples.
+A table's rows become distinct on the mapped columns before they fan out. When
+every node then has a single row, which a count of the node ids shows, its
+triples cannot repeat, and the many and wide triples need no shuffle at all.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelake.functions.identity import node_id
@@ -18,59 +19,89 @@ from carelake.operators import vocabulary as v
 from carelake.operators.integrate import Dictionaries
 from carelake.operators.lookup import Dictionary, lookup
 
+NODE = "node"
 
-def _patient():
+
+def _patient() -> Column:
     return v.node("patient", F.col("patient_id_pseudo"))
 
 
+def _node_triples(df: DataFrame, node: Column, columns: list[str], *triples: Column) -> DataFrame:
+    """The set of triples of one kind of node, which ``triples`` call ``node``.
+
+    ``columns`` are those that the triples use. If some node has several rows,
+    whose triples may then repeat, they are compared triple by triple.
+    """
+    rows = df.select(node.alias(NODE), *columns).where(F.col(NODE).isNotNull()).dropDuplicates()
+    total, nodes = rows.agg(F.count(F.lit(1)), F.count_distinct(NODE)).first()
+    found = v.emit(rows, *triples)
+    return found if total == nodes else found.dropDuplicates()
+
+
 def map_patients(patients: DataFrame) -> DataFrame:
     """Type and name of each patient."""
-    p = _patient()
-    return v.emit(
-        patients,
+    name = full_name(F.col("first_name"), F.col("last_name"))
+    p = F.col(NODE)
+    return _node_triples(
+        patients.withColumn("name", name),
+        _patient(),
+        ["name"],
         v.typed(p, "ont:Patient"),
-        v.triple(p, "ont:label", full_name(F.col("first_name"), F.col("last_name"))),
+        v.triple(p, "ont:label", F.col("name")),
     )
 
 
-def map_imaging(images: DataFrame) -> DataFrame:
+def map_imaging(images: DataFrame, patients: DataFrame | None = None) -> DataFrame:
     """Studies and instances, linked patient to study to instance to patient.
 
-    Rows without pseudonym, study or instance are left out. The patient is
-    typed too, so that imaging patients unknown to the other sources count.
+    Rows without pseudonym, study or instance are left out. An imaging patient
+    is typed too, unless ``patients`` lists them already.
     """
     keys = ["patient_id_pseudo", "study_uid", "dicom_id"]
-    complete = reduce(lambda a, b: a & b, [present(F.col(k)) for k in keys])
-    p = _patient()
-    study = v.node("imagingstudy", F.col("study_uid"))
-    instance = v.node("dicom", F.col("dicom_id"))
-    return v.emit(
-        images.where(complete),
-        v.typed(p, "ont:Patient"),
-        v.typed(study, "ont:ImagingStudy"),
-        v.triple(study, "ont:studyUID", F.col("study_uid")),
-        v.triple(study, "ont:date", blank_to_null(date_text(F.col("study_date"))), dtype=XSD_DATE),
-        v.triple(p, "ont:hasImagingStudy", study, IRI),
-        v.typed(instance, "ont:DicomInstance"),
-        v.triple(instance, "ont:hasPatient", p, IRI),
-        v.triple(instance, "ont:seriesUID", blank_to_null(F.col("series_uid"))),
-        v.triple(instance, "ont:sopUID", F.col("dicom_id")),
-        v.triple(instance, "ont:modality", blank_to_null(F.col("modality"))),
-        v.triple(instance, "ont:filePath", blank_to_null(F.col("file_path"))),
-        v.triple(study, "ont:hasDicomInstance", instance, IRI),
+    complete = images.where(reduce(lambda a, b: a & b, [present(F.col(k)) for k in keys]))
+    people = complete.select("patient_id_pseudo").dropDuplicates()
+    if patients is not None:
+        people = people.join(
+            patients.select("patient_id_pseudo"), "patient_id_pseudo", "left_anti"
+        )
+    node, p = F.col(NODE), _patient()
+    study_date = blank_to_null(date_text(F.col("study_date")))
+    studies = _node_triples(
+        complete,
+        v.node("imagingstudy", F.col("study_uid")),
+        ["study_uid", "study_date", "patient_id_pseudo"],
+        v.typed(node, "ont:ImagingStudy"),
+        v.triple(node, "ont:studyUID", F.col("study_uid")),
+        v.triple(node, "ont:date", study_date, dtype=XSD_DATE),
+        v.triple(p, "ont:hasImagingStudy", node, IRI),
+    )
+    instances = _node_triples(
+        complete,
+        v.node("dicom", F.col("dicom_id")),
+        [*keys, "series_uid", "modality", "file_path"],
+        v.typed(node, "ont:DicomInstance"),
+        v.triple(node, "ont:hasPatient", p, IRI),
+        v.triple(node, "ont:seriesUID", blank_to_null(F.col("series_uid"))),
+        v.triple(node, "ont:sopUID", F.col("dicom_id")),
+        v.triple(node, "ont:modality", blank_to_null(F.col("modality"))),
+        v.triple(node, "ont:filePath", blank_to_null(F.col("file_path"))),
+        v.triple(v.node("imagingstudy", F.col("study_uid")), "ont:hasDicomInstance", node, IRI),
     )
+    typed = v.emit(people, v.typed(p, "ont:Patient"))
+    return typed.unionByName(studies).unionByName(instances)
 
 
 def map_conditions(conditions: DataFrame, keep: int = 12, sep: str = "") -> DataFrame:
-    p = _patient()
     key = node_id(F.col("patient_id"), F.col("icd10_code"), keep=keep, sep=sep)
-    c = v.node("condition", key)
-    return v.emit(
+    node = F.col(NODE)
+    return _node_triples(
         conditions,
-        v.typed(c, "ont:Condition"),
-        v.triple(c, "ont:icd10Code", F.col("icd10_code")),
-        v.triple(c, "ont:label", F.col("icd10_label")),
-        v.triple(p, "ont:hasCondition", c, IRI),
+        v.node("condition", key),
+        ["patient_id_pseudo", "icd10_code", "icd10_label"],
+        v.typed(node, "ont:Condition"),
+        v.triple(node, "ont:icd10Code", F.col("icd10_code")),
+        v.triple(node, "ont:label", F.col("icd10_label")),
+        v.triple(_patient(), "ont:hasCondition", node, IRI),
     )
 
 
@@ -78,53 +109,67 @@ def map_allergies(
     allergies: DataFrame, allergy_families: Dictionary, keep: int = 12, sep: str = ""
 ) -> DataFrame:
     """Allergies, with an edge to the drug family where the allergy is known to rule one out."""
-    p = _patient()
-    a = v.node("allergy", node_id(F.col("patient_id"), F.col("allergy"), keep=keep, sep=sep))
-    return v.emit(
+    key = node_id(F.col("patient_id"), F.col("allergy"), keep=keep, sep=sep)
+    node = F.col(NODE)
+    return _node_triples(
         lookup(allergies, allergy_families, {"allergy": "allergy"}, ["family"]),
-        v.typed(a, "ont:Allergy"),
-        v.triple(a, "ont:label", F.col("allergy")),
-        v.triple(p, "ont:hasAllergy", a, IRI),
-        v.triple(a, "ont:affectsFamily", v.node("drugfamily", F.col("family")), IRI),
+        v.node("allergy", key),
+        ["patient_id_pseudo", "allergy", "family"],
+        v.typed(node, "ont:Allergy"),
+        v.triple(node, "ont:label", F.col("allergy")),
+        v.triple(_patient(), "ont:hasAllergy", node, IRI),
+        v.triple(node, "ont:affectsFamily", v.node("drugfamily", F.col("family")), IRI),
     )
 
 
 def map_prescriptions(prescriptions: DataFrame, keep: int = 12, sep: str = "") -> DataFrame:
     """Drugs with their family, and prescriptions; an undated one has an id but no date."""
-    p = _patient()
     drug = v.node("drug", F.replace(F.col("drug"), F.lit(" "), F.lit("_")))
     key = node_id(F.col("patient_id"), F.col("drug"), F.col("date"), keep=keep, sep=sep)
-    rx = v.node("prescription", key)
-    return v.emit(
+    node = F.col(NODE)
+    family = v.node("drugfamily", F.col("drug_family"))
+    drugs = _node_triples(
+        prescriptions,
+        drug,
+        ["drug", "drug_family"],
+        v.typed(node, "ont:Drug"),
+        v.triple(node, "ont:label", F.col("drug")),
+        v.triple(node, "ont:belongsToFamily", family, IRI),
+    )
+    date = blank_to_null(F.col("date").cast("string"))
+    prescribed = _node_triples(
         prescriptions,
-        v.typed(drug, "ont:Drug"),
-        v.triple(drug, "ont:label", F.col("drug")),
-        v.triple(drug, "ont:belongsToFamily", v.node("drugfamily", F.col("drug_family")), IRI),
-        v.typed(rx, "ont:Prescription"),
-        v.triple(rx, "ont:drug", drug, IRI),
-        v.triple(rx, "ont:date", blank_to_null(F.col("date").cast("string")), dtype=XSD_DATE),
-        v.triple(p, "ont:hasPrescription", rx, IRI),
+        v.node("prescription", key),
+        ["patient_id_pseudo", "drug", "date"],
+        v.typed(node, "ont:Prescription"),
+        v.triple(node, "ont:drug", drug, IRI),
+        v.triple(node, "ont:date", date, dtype=XSD_DATE),
+        v.triple(_patient(), "ont:hasPrescription", node, IRI),
     )
+    return drugs.unionByName(prescribed)
 
 
 def map_labs(labs: DataFrame, sample_labs: int | None = None) -> DataFrame:
     """Laboratory results; all of them, unless ``sample_labs`` asks for the first few by id."""
     if sample_labs is not None:
         labs = labs.orderBy("lab_id").limit(sample_labs)
-    lab = v.node("lab", F.col("lab_id"))
+    node = F.col(NODE)
     test = v.node("loinc", F.col("test_code_loinc"))
-    return v.emit(
+    results = _node_triples(
         labs,
-        v.typed(lab, "ont:LabResult"),
-        v.triple(lab, "ont:hasPatient", _patient(), IRI),
-        v.triple(lab, "ont:value", number(F.col("value")), dtype=XSD_FLOAT),
-        v.triple(lab, "ont:unit", F.col("unit")),
-        v.triple(lab, "ont:date", F.col("date"), dtype=XSD_DATE),
-        v.triple(lab, "ont:loincCode", F.col("test_code_loinc")),
-        v.triple(lab, "ont:label", F.col("test_name")),
-        v.typed(test, "ont:Test"),
-        v.triple(lab, "ont:hasTest", test, IRI),
+        v.node("lab", F.col("lab_id")),
+        ["patient_id_pseudo", "value", "unit", "date", "test_code_loinc", "test_name"],
+        v.typed(node, "ont:LabResult"),
+        v.triple(node, "ont:hasPatient", _patient(), IRI),
+        v.triple(node, "ont:value", number(F.col("value")), dtype=XSD_FLOAT),
+        v.triple(node, "ont:unit", F.col("unit")),
+        v.triple(node, "ont:date", F.col("date"), dtype=XSD_DATE),
+        v.triple(node, "ont:loincCode", F.col("test_code_loinc")),
+        v.triple(node, "ont:label", F.col("test_name")),
+        v.triple(node, "ont:hasTest", test, IRI),
     )
+    tests = _node_triples(labs, test, [], v.typed(node, "ont:Test"))
+    return results.unionByName(tests)
 
 
 def build_graph(
@@ -138,21 +183,21 @@ def build_graph(
 ) -> DataFrame:
     """The whole graph as a set of triples.
 
-    The one exchange hashes all columns. Equal triples are merged before it,
-    within each task, so neither a node with a third of all edges nor a triple
-    that many rows repeat ends up in one task.
+    Each part is a set and no two parts share a triple, since a triple names a
+    node of its own kind; so the union is a set as it stands. The checks of
+    the parts read the tables: pass written ones.
     """
     parts = [
         v.vocabulary(spark, title),
         v.concepts(spark, dictionaries),
         map_patients(tables["patients"]),
-        map_imaging(tables["dicom_images"]),
+        map_imaging(tables["dicom_images"], tables["patients"]),
         map_conditions(tables["conditions"], keep, sep),
         map_allergies(tables["allergies"], dictionaries.allergy_families, keep, sep),
         map_prescriptions(tables["prescriptions"], keep, sep),
         map_labs(tables["lab_results"], sample_labs),
     ]
-    return reduce(DataFrame.unionByName, parts).dropDuplicates()
+    return reduce(DataFrame.unionByName, parts)
 
 
 def graph_size(triples: DataFrame) -> DataFrame:

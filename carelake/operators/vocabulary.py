@@ -104,6 +104,5 @@ def concepts(spark: SparkSession, dictionaries: Dictionaries) -> DataFrame:
     """Concepts for test codes, condition codes and the drug family taxonomy."""
     tests = _coded_concepts(dictionaries.lab_tests.table, "loinc", "name")
     codes = _coded_concepts(dictionaries.condition_labels.table, "icd10", "label")
-    return tests.unionByName(codes).unionByName(
-        _family_concepts(spark, dictionaries.drug_families.table)
-    )
+    families_of = _family_concepts(spark, dictionaries.drug_families.table)
+    return tests.unionByName(codes).unionByName(families_of).dropDuplicates()

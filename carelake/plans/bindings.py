@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from carelake import schemas
 from carelake.functions.identity import pseudonym
 from carelake.operators import integrate as it
-from carelake.operators.integrate import Dictionaries, Sources, integrate
+from carelake.operators.integrate import Dictionaries, Sources
 from carelake.operators.mapping import build_graph
 from carelake.operators.match import Graph
 from carelake.operators.skew import hot_keys, salted_join
@@ -188,11 +188,6 @@ def integrated(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return it.in_table_order(name, df)
 
 
-def graph_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bound = dictionaries(spark, sf_dir)
-    return build_graph(spark, integrate(sources(spark, sf_dir), bound), bound)
-
-
 def _written(spark: SparkSession, sf_dir: str, what: str, write) -> str:
     def find() -> str:
         path = scratch_path(spark, what)
@@ -202,6 +197,15 @@ def _written(spark: SparkSession, sf_dir: str, what: str, write) -> str:
     return _once(spark, sf_dir, what, find)
 
 
+def graph_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bound graph, mapped from the written gold tables."""
+    root = stored_lake(spark, sf_dir)
+    gold = {
+        name: io.table_or_empty(spark, f"{root}/gold", name) for name in schemas.INTEGRATED_TABLES
+    }
+    return build_graph(spark, gold, dictionaries(spark, sf_dir))
+
+
 def stored_graph(spark: SparkSession, sf_dir: str) -> Graph:
     """The bound graph, written once per session and read back."""
     tune(spark)

@@ -164,10 +164,9 @@ def _fingerprint(*columns: str) -> Column:
 
 
 def _by_predicate(triples: DataFrame) -> DataFrame:
-    """Distinct triples, distinct subjects and a checksum for each predicate."""
+    """Triples, distinct subjects and a checksum for each predicate."""
     per_subject = (
-        triples.dropDuplicates()
-        .groupBy("p", "s")
+        triples.groupBy("p", "s")
         .agg(
             F.count(F.lit(1)).alias("n"),
             _hash_sum("s", "o", "o_kind", "o_dtype").alias("sum"),
@@ -375,7 +374,9 @@ def scan_imaging(spark: SparkSession, sf: str) -> DataFrame:
 
 def imaging_headers(spark: SparkSession, sf: str) -> DataFrame:
     """Header bytes of all imaging instances, parsed."""
-    table, _ = imaging.inventory(imaging.parse_headers(b.encode_headers(b.imaging(spark, sf))))
+    # The given table is a single row group, hence one task, until it is spread.
+    files = b.encode_headers(b.imaging(spark, sf)).repartition(spark.sparkContext.defaultParallelism)
+    table, _ = imaging.inventory(imaging.parse_headers(files))
     return table.groupBy("modality").agg(
         F.count(F.lit(1)).alias("instances"),
         _fingerprint(*schemas.IMAGING.names).alias("checksum"),

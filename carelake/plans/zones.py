@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +33,7 @@ from carelake.sources.imaging import HEADER, image_files, inventory, parse_heade
 from carelake.sources.ntriples import write_ntriples
 from carelake.sources.resources import route_resources
 
+CATALOG = "dataset string, zone string, location string, format string"
 LINEAGE = "derived string, source string, step string"
 
 # Tags of a silver laboratory row and the condition under which each applies.
@@ -113,25 +115,37 @@ def gold_tables(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
 # ------------------------------------------------------- catalogue and lineage
 
 
-def catalog_entry(
-    spark: SparkSession, dataset: str, zone: str, location: str, form: str
-) -> DataFrame:
-    """One row on a dataset: where it is, its format, size, files and age."""
-    pattern = "*.parquet" if form == "parquet" else "*"
-    files = io.list_files(spark, location, pattern)
-    return files.agg(
-        F.count(F.lit(1)).alias("files"),
-        F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
-        F.min("modificationTime").alias("created"),
-    ).select(
-        F.lit(dataset).alias("dataset"),
-        F.lit(zone).alias("zone"),
-        F.lit(location).alias("location"),
-        F.lit(form).alias("format"),
-        "files",
-        "bytes",
-        "created",
+Dataset = tuple[str, str, str, str]  # name, zone, location, format
+
+
+def catalog_entries(spark: SparkSession, datasets: list[Dataset]) -> DataFrame:
+    """One row per dataset: where it is, its format, size, files and age.
+
+    All files are listed in one go and matched to the dataset whose folder
+    they are in.
+    """
+    entries = local_table(spark, datasets, CATALOG)
+    files = io.list_files(spark, [location for _, _, location, _ in datasets])
+    folder_of = [
+        F.when(F.contains("path", F.lit(f"{_folder(location)}/")), F.lit(name))
+        for name, _, location, _ in datasets
+    ]
+    sizes = (
+        files.select(F.coalesce(*folder_of).alias("dataset"), "length", "modificationTime")
+        .groupBy("dataset")
+        .agg(
+            F.count(F.lit(1)).alias("files"),
+            F.sum("length").alias("bytes"),
+            F.min("modificationTime").alias("created"),
+        )
     )
+    found = entries.join(sizes, "dataset", "left")
+    return found.na.fill(0, ["files", "bytes"])
+
+
+def _folder(location: str) -> str:
+    """The path of a location, without its file system."""
+    return urlsplit(location).path.rstrip("/")
 
 
 def _dataset(name: Column) -> Column:
@@ -187,15 +201,15 @@ def lineage_triples(lineage: DataFrame) -> DataFrame:
 def write_catalog(
     spark: SparkSession,
     root: str,
-    datasets: list[tuple[str, str, str, str]],
+    datasets: list[Dataset],
     gold: dict[str, DataFrame],
     steps: list[tuple[str, str, str]],
 ) -> None:
     """Describe datasets, the quality of the gold tables and the lineage as one small graph.
 
-    ``datasets`` are (name, zone, location, format). Each table is read once.
+    Each table is read once.
     """
-    parts = [catalog_triples(catalog_entry(spark, *dataset)) for dataset in datasets]
+    parts = [catalog_triples(catalog_entries(spark, datasets))]
     parts += [
         quality_triples(quality_profile(df, f"gold/{name}")) for name, df in gold.items()
     ]
@@ -232,7 +246,7 @@ SILVER_TABLES = [step[0].split("/")[1] for step in SILVER_STEPS]
 BRONZE_FORMATS = {"ehr": "csv", "lab": "json", "fhir": "ndjson", "dicom": "dicom"}
 
 
-def zone_datasets(root: str) -> list[tuple[str, str, str, str]]:
+def zone_datasets(root: str) -> list[Dataset]:
     """The silver and gold tables under ``root``, as catalogue entries."""
     zones = {"silver": SILVER_TABLES, "gold": list(schemas.INTEGRATED_TABLES)}
     return [

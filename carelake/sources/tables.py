@@ -72,13 +72,13 @@ def table_or_empty(spark: SparkSession, root: str, name: str, schema: T.StructTy
     return found if found is not None else spark.createDataFrame([], schema)
 
 
-def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """``path, modificationTime, length`` of all files under a folder; contents are not read."""
+def list_files(spark: SparkSession, roots: str | list[str], pattern: str = "*") -> DataFrame:
+    """``path, modificationTime, length`` of all files under folders; contents are not read."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True)
-        .load(root)
+        .load(roots)
         .select("path", "modificationTime", "length")
     )
 
