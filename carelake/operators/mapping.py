@@ -26,32 +26,50 @@ def _patient() -> Column:
     return v.node("patient", F.col("patient_id_pseudo"))
 
 
-def _node_triples(df: DataFrame, node: Column, columns: list[str], *triples: Column) -> DataFrame:
+def _node_triples(
+    df: DataFrame,
+    kind: str,
+    key: Column,
+    columns: list[str],
+    *triples: Column,
+    staging: str | None = None,
+) -> DataFrame:
     """The set of triples of one kind of node, which ``triples`` call ``node``.
 
     ``columns`` are those that the triples use. If some node has several rows,
-    whose triples may then repeat, they are compared triple by triple.
+    whose triples may then repeat, they are compared triple by triple. With
+    ``staging``, the distinct rows are written there once instead of being
+    worked out for the count and again for the triples.
     """
+    node = v.node(kind, key)
     rows = df.select(node.alias(NODE), *columns).where(F.col(NODE).isNotNull()).dropDuplicates()
+    if staging is not None:
+        path = f"{staging}/{kind}"
+        rows.write.mode("overwrite").parquet(path)
+        rows = df.sparkSession.read.schema(rows.schema).parquet(path)
     total, nodes = rows.agg(F.count(F.lit(1)), F.count_distinct(NODE)).first()
     found = v.emit(rows, *triples)
     return found if total == nodes else found.dropDuplicates()
 
 
-def map_patients(patients: DataFrame) -> DataFrame:
+def map_patients(patients: DataFrame, staging: str | None = None) -> DataFrame:
     """Type and name of each patient."""
     name = full_name(F.col("first_name"), F.col("last_name"))
     p = F.col(NODE)
     return _node_triples(
         patients.withColumn("name", name),
-        _patient(),
+        "patient",
+        F.col("patient_id_pseudo"),
         ["name"],
         v.typed(p, "ont:Patient"),
         v.triple(p, "ont:label", F.col("name")),
+        staging=staging,
     )
 
 
-def map_imaging(images: DataFrame, patients: DataFrame | None = None) -> DataFrame:
+def map_imaging(
+    images: DataFrame, patients: DataFrame | None = None, staging: str | None = None
+) -> DataFrame:
     """Studies and instances, linked patient to study to instance to patient.
 
     Rows without pseudonym, study or instance are left out. An imaging patient
@@ -68,16 +86,19 @@ def map_imaging(images: DataFrame, patients: DataFrame | None = None) -> DataFra
     study_date = blank_to_null(date_text(F.col("study_date")))
     studies = _node_triples(
         complete,
-        v.node("imagingstudy", F.col("study_uid")),
+        "imagingstudy",
+        F.col("study_uid"),
         ["study_uid", "study_date", "patient_id_pseudo"],
         v.typed(node, "ont:ImagingStudy"),
         v.triple(node, "ont:studyUID", F.col("study_uid")),
         v.triple(node, "ont:date", study_date, dtype=XSD_DATE),
         v.triple(p, "ont:hasImagingStudy", node, IRI),
+        staging=staging,
     )
     instances = _node_triples(
         complete,
-        v.node("dicom", F.col("dicom_id")),
+        "dicom",
+        F.col("dicom_id"),
         [*keys, "series_uid", "modality", "file_path"],
         v.typed(node, "ont:DicomInstance"),
         v.triple(node, "ont:hasPatient", p, IRI),
@@ -86,78 +107,98 @@ def map_imaging(images: DataFrame, patients: DataFrame | None = None) -> DataFra
         v.triple(node, "ont:modality", blank_to_null(F.col("modality"))),
         v.triple(node, "ont:filePath", blank_to_null(F.col("file_path"))),
         v.triple(v.node("imagingstudy", F.col("study_uid")), "ont:hasDicomInstance", node, IRI),
+        staging=staging,
     )
     typed = v.emit(people, v.typed(p, "ont:Patient"))
     return typed.unionByName(studies).unionByName(instances)
 
 
-def map_conditions(conditions: DataFrame, keep: int = 12, sep: str = "") -> DataFrame:
+def map_conditions(
+    conditions: DataFrame, keep: int = 12, sep: str = "", staging: str | None = None
+) -> DataFrame:
     key = node_id(F.col("patient_id"), F.col("icd10_code"), keep=keep, sep=sep)
     node = F.col(NODE)
     return _node_triples(
         conditions,
-        v.node("condition", key),
+        "condition",
+        key,
         ["patient_id_pseudo", "icd10_code", "icd10_label"],
         v.typed(node, "ont:Condition"),
         v.triple(node, "ont:icd10Code", F.col("icd10_code")),
         v.triple(node, "ont:label", F.col("icd10_label")),
         v.triple(_patient(), "ont:hasCondition", node, IRI),
+        staging=staging,
     )
 
 
 def map_allergies(
-    allergies: DataFrame, allergy_families: Dictionary, keep: int = 12, sep: str = ""
+    allergies: DataFrame,
+    allergy_families: Dictionary,
+    keep: int = 12,
+    sep: str = "",
+    staging: str | None = None,
 ) -> DataFrame:
     """Allergies, with an edge to the drug family where the allergy is known to rule one out."""
     key = node_id(F.col("patient_id"), F.col("allergy"), keep=keep, sep=sep)
     node = F.col(NODE)
     return _node_triples(
         lookup(allergies, allergy_families, {"allergy": "allergy"}, ["family"]),
-        v.node("allergy", key),
+        "allergy",
+        key,
         ["patient_id_pseudo", "allergy", "family"],
         v.typed(node, "ont:Allergy"),
         v.triple(node, "ont:label", F.col("allergy")),
         v.triple(_patient(), "ont:hasAllergy", node, IRI),
         v.triple(node, "ont:affectsFamily", v.node("drugfamily", F.col("family")), IRI),
+        staging=staging,
     )
 
 
-def map_prescriptions(prescriptions: DataFrame, keep: int = 12, sep: str = "") -> DataFrame:
+def map_prescriptions(
+    prescriptions: DataFrame, keep: int = 12, sep: str = "", staging: str | None = None
+) -> DataFrame:
     """Drugs with their family, and prescriptions; an undated one has an id but no date."""
-    drug = v.node("drug", F.replace(F.col("drug"), F.lit(" "), F.lit("_")))
+    drug = F.replace(F.col("drug"), F.lit(" "), F.lit("_"))
     key = node_id(F.col("patient_id"), F.col("drug"), F.col("date"), keep=keep, sep=sep)
     node = F.col(NODE)
     family = v.node("drugfamily", F.col("drug_family"))
     drugs = _node_triples(
         prescriptions,
+        "drug",
         drug,
         ["drug", "drug_family"],
         v.typed(node, "ont:Drug"),
         v.triple(node, "ont:label", F.col("drug")),
         v.triple(node, "ont:belongsToFamily", family, IRI),
+        staging=staging,
     )
     date = blank_to_null(F.col("date").cast("string"))
     prescribed = _node_triples(
         prescriptions,
-        v.node("prescription", key),
+        "prescription",
+        key,
         ["patient_id_pseudo", "drug", "date"],
         v.typed(node, "ont:Prescription"),
-        v.triple(node, "ont:drug", drug, IRI),
+        v.triple(node, "ont:drug", v.node("drug", drug), IRI),
         v.triple(node, "ont:date", date, dtype=XSD_DATE),
         v.triple(_patient(), "ont:hasPrescription", node, IRI),
+        staging=staging,
     )
     return drugs.unionByName(prescribed)
 
 
-def map_labs(labs: DataFrame, sample_labs: int | None = None) -> DataFrame:
+def map_labs(
+    labs: DataFrame, sample_labs: int | None = None, staging: str | None = None
+) -> DataFrame:
     """Laboratory results; all of them, unless ``sample_labs`` asks for the first few by id."""
     if sample_labs is not None:
         labs = labs.orderBy("lab_id").limit(sample_labs)
     node = F.col(NODE)
-    test = v.node("loinc", F.col("test_code_loinc"))
+    test = F.col("test_code_loinc")
     results = _node_triples(
         labs,
-        v.node("lab", F.col("lab_id")),
+        "lab",
+        F.col("lab_id"),
         ["patient_id_pseudo", "value", "unit", "date", "test_code_loinc", "test_name"],
         v.typed(node, "ont:LabResult"),
         v.triple(node, "ont:hasPatient", _patient(), IRI),
@@ -166,9 +207,10 @@ def map_labs(labs: DataFrame, sample_labs: int | None = None) -> DataFrame:
         v.triple(node, "ont:date", F.col("date"), dtype=XSD_DATE),
         v.triple(node, "ont:loincCode", F.col("test_code_loinc")),
         v.triple(node, "ont:label", F.col("test_name")),
-        v.triple(node, "ont:hasTest", test, IRI),
+        v.triple(node, "ont:hasTest", v.node("loinc", test), IRI),
+        staging=staging,
     )
-    tests = _node_triples(labs, test, [], v.typed(node, "ont:Test"))
+    tests = _node_triples(labs, "loinc", test, [], v.typed(node, "ont:Test"), staging=staging)
     return results.unionByName(tests)
 
 
@@ -180,22 +222,23 @@ def build_graph(
     keep: int = 12,
     sep: str = "",
     title: str = v.DEFAULT_TITLE,
+    staging: str | None = None,
 ) -> DataFrame:
     """The whole graph as a set of triples.
 
     Each part is a set and no two parts share a triple, since a triple names a
-    node of its own kind; so the union is a set as it stands. The checks of
-    the parts read the tables: pass written ones.
+    node of its own kind; so the union is a set as it stands. The parts are
+    counted as the plan is made: pass written tables, and a ``staging`` folder.
     """
     parts = [
         v.vocabulary(spark, title),
         v.concepts(spark, dictionaries),
-        map_patients(tables["patients"]),
-        map_imaging(tables["dicom_images"], tables["patients"]),
-        map_conditions(tables["conditions"], keep, sep),
-        map_allergies(tables["allergies"], dictionaries.allergy_families, keep, sep),
-        map_prescriptions(tables["prescriptions"], keep, sep),
-        map_labs(tables["lab_results"], sample_labs),
+        map_patients(tables["patients"], staging),
+        map_imaging(tables["dicom_images"], tables["patients"], staging),
+        map_conditions(tables["conditions"], keep, sep, staging),
+        map_allergies(tables["allergies"], dictionaries.allergy_families, keep, sep, staging),
+        map_prescriptions(tables["prescriptions"], keep, sep, staging),
+        map_labs(tables["lab_results"], sample_labs, staging),
     ]
     return reduce(DataFrame.unionByName, parts)
 

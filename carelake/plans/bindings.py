@@ -197,21 +197,20 @@ def _written(spark: SparkSession, sf_dir: str, what: str, write) -> str:
     return _once(spark, sf_dir, what, find)
 
 
-def graph_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The bound graph, mapped from the written gold tables."""
+def _write_graph(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Map the written gold tables to triples and write those."""
     root = stored_lake(spark, sf_dir)
     gold = {
         name: io.table_or_empty(spark, f"{root}/gold", name) for name in schemas.INTEGRATED_TABLES
     }
-    return build_graph(spark, gold, dictionaries(spark, sf_dir))
+    bound = dictionaries(spark, sf_dir)
+    save_graph(build_graph(spark, gold, bound, staging=f"{path}/staging"), path)
 
 
 def stored_graph(spark: SparkSession, sf_dir: str) -> Graph:
     """The bound graph, written once per session and read back."""
     tune(spark)
-    path = _written(
-        spark, sf_dir, "graph", lambda path: save_graph(graph_triples(spark, sf_dir), path)
-    )
+    path = _written(spark, sf_dir, "graph", lambda path: _write_graph(spark, sf_dir, path))
     return load_graph(spark, path)
 
 

@@ -148,39 +148,29 @@ def quality_profile(spark: SparkSession, sf: str) -> DataFrame:
 # ----------------------------------------------------------------------- graph
 
 
-def _hash_sum(*columns: str) -> Column:
-    """Sum of 32 bits of each row's hash, which no number of rows overflows."""
+def _fingerprint(*columns: str) -> Column:
+    """Order-free checksum of rows: 32 bits of each row's hash, summed up."""
     text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns])
-    return F.sum(F.conv(F.substring(F.sha2(text, 256), 1, 8), 16, 10).cast("decimal(20,0)"))
-
-
-def _checksum(total: Column) -> Column:
+    total = F.sum(F.conv(F.substring(F.sha2(text, 256), 1, 8), 16, 10).cast("decimal(20,0)"))
     return (total % F.lit(2**61)).cast("long")
 
 
-def _fingerprint(*columns: str) -> Column:
-    """Order-free checksum of rows."""
-    return _checksum(_hash_sum(*columns))
 
 
 def _by_predicate(triples: DataFrame) -> DataFrame:
-    """Triples, distinct subjects and a checksum for each predicate."""
-    per_subject = (
-        triples.groupBy("p", "s")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            _hash_sum("s", "o", "o_kind", "o_dtype").alias("sum"),
-        )
-    )
-    return per_subject.groupBy("p").agg(
-        F.sum("n").alias("triples"),
-        F.count(F.lit(1)).alias("subjects"),
-        _checksum(F.sum("sum")).alias("checksum"),
+    """Number of triples and a checksum for each predicate."""
+    return triples.groupBy("p").agg(
+        F.count(F.lit(1)).alias("triples"),
+        _fingerprint("s", "o", "o_kind", "o_dtype").alias("checksum"),
     )
 
 
 def _mapped(name: str, mapper) -> Query:
-    return lambda spark, sf: _by_predicate(mapper(b.integrated(spark, sf, name)))
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        staging = scratch_path(spark, "nodes")
+        return _by_predicate(mapper(b.integrated(spark, sf, name), staging=staging))
+
+    return query
 
 
 def map_allergies(spark: SparkSession, sf: str) -> DataFrame:
@@ -207,7 +197,7 @@ def vocab_static(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def graph_size(spark: SparkSession, sf: str) -> DataFrame:
-    return mapping.graph_size(b.graph_triples(spark, sf))
+    return mapping.graph_size(b.stored_graph(spark, sf).triples)
 
 
 def bgp_single(spark: SparkSession, sf: str) -> DataFrame:

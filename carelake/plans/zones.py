@@ -317,7 +317,8 @@ def run_pipeline(
         for name in schemas.INTEGRATED_TABLES
     }
 
-    save_graph(build_graph(spark, gold, dictionaries), f"{out_dir}/graph")
+    triples = build_graph(spark, gold, dictionaries, staging=f"{out_dir}/staging/graph")
+    save_graph(triples, f"{out_dir}/graph")
     graph = load_graph(spark, f"{out_dir}/graph")
     write_ntriples(graph.triples, f"{out_dir}/rdf", names)
 

@@ -16,7 +16,7 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
-    session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setLogLevel("OFF")
     yield tune(session)
     session.stop()
 
