@@ -24,19 +24,23 @@ def node_id(*parts: Column, keep: int = 12, sep: str = "") -> Column:
     return pseudonym(F.concat_ws(sep, *present), keep)
 
 
+# 10^18 is 2^18 * 5^18. Both remainders fit 64-bit arithmetic, the whole does not.
+TWOS, FIVES = 2**18, 5**18
+FIVES_INVERSE = pow(FIVES, -1, TWOS)
+
+
 def surrogate_uid(seed: Column, root: str = UID_ROOT) -> Column:
     """``root`` followed by the seed's SHA-256, read as one integer, modulo 10^18.
 
-    The 64 hex digits (one zero in front) are folded as five 52-bit chunks, so
-    the running value never leaves ``decimal(38, 0)``.
+    The 64 hex digits, with a zero in front, are taken as thirteen 20-bit
+    chunks. They are folded modulo 5^18; the last chunk alone gives the
+    remainder modulo 2^18; the two remainders fix that modulo 10^18.
     """
     digest = F.concat(F.lit("0"), F.sha2(seed.cast("string"), 256))
-    base = F.lit(2**52).cast("decimal(16,0)")
-    modulus = F.lit(10**18).cast("decimal(19,0)")
-
-    def fold(acc: Column, i: Column) -> Column:
-        chunk = F.conv(F.substring(digest, F.lit(1) + i * F.lit(13), F.lit(13)), 16, 10)
-        return ((acc * base + chunk.cast("decimal(20,0)")) % modulus).cast("decimal(38,0)")
-
-    number = F.aggregate(F.sequence(F.lit(0), F.lit(4)), F.lit(0).cast("decimal(38,0)"), fold)
-    return F.when(seed.isNotNull(), F.concat(F.lit(root), number.cast("string")))
+    chunks = [F.conv(F.substring(digest, 1 + 5 * i, 5), 16, 10).cast("long") for i in range(13)]
+    by_fives = chunks[0]
+    for chunk in chunks[1:]:
+        by_fives = (by_fives * F.lit(2**20) + chunk) % F.lit(FIVES)
+    gap = F.pmod(chunks[-1] - by_fives, F.lit(TWOS))
+    number = by_fives + F.lit(FIVES) * ((gap * F.lit(FIVES_INVERSE)) % F.lit(TWOS))
+    return F.concat(F.lit(root), number.cast("string"))

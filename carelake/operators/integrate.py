@@ -74,12 +74,15 @@ def unify_entities(ehr: DataFrame, clinical: DataFrame, **skew) -> DataFrame:
 
 
 def missing_entities(df: DataFrame, known: DataFrame, column: str) -> DataFrame:
-    """Distinct values of ``column`` in ``df`` that ``known`` does not list."""
+    """Distinct values of ``column`` in ``df`` that ``known`` does not list.
+
+    Both sides shrink to distinct values within each task before they shuffle.
+    """
     return (
         df.select(column)
         .where(F.col(column).isNotNull())
         .distinct()
-        .join(known.select(column), column, "left_anti")
+        .join(known.select(column).distinct(), column, "left_anti")
     )
 
 

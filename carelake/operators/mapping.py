@@ -16,7 +16,7 @@ from carelake.functions.identity import node_id
 from carelake.functions.standardize import blank_to_null, date_text, full_name, number, present
 from carelake.functions.terms import IRI, XSD_DATE, XSD_FLOAT
 from carelake.operators import vocabulary as v
-from carelake.operators.integrate import Dictionaries
+from carelake.operators.integrate import Dictionaries, missing_entities
 from carelake.operators.lookup import Dictionary, lookup
 
 NODE = "node"
@@ -77,11 +77,9 @@ def map_imaging(
     """
     keys = ["patient_id_pseudo", "study_uid", "dicom_id"]
     complete = images.where(reduce(lambda a, b: a & b, [present(F.col(k)) for k in keys]))
-    people = complete.select("patient_id_pseudo").dropDuplicates()
+    people = complete.select("patient_id_pseudo").distinct()
     if patients is not None:
-        people = people.join(
-            patients.select("patient_id_pseudo"), "patient_id_pseudo", "left_anti"
-        )
+        people = missing_entities(complete, patients, "patient_id_pseudo")
     node, p = F.col(NODE), _patient()
     study_date = blank_to_null(date_text(F.col("study_date")))
     studies = _node_triples(

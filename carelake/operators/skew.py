@@ -79,5 +79,16 @@ def skew_join(
     salts: int = DEFAULT_SALTS,
     min_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
-    """Join on one key, salting the keys found hot on the left side."""
-    return salted_join(left, right, [on], hot_keys(left, on, share, min_rows), how, salts)
+    """Join on one key, salting the keys found hot on either side.
+
+    Keys hot on the right do have a match, so their left rows are joined on
+    their own, as an inner join with the right side salted.
+    """
+    hot_left = hot_keys(left, on, share, min_rows)
+    hot_right = [k for k in hot_keys(right, on, share, min_rows) if k is not None]
+    if not hot_right:
+        return salted_join(left, right, [on], hot_left, how, salts)
+    matched = _is_hot(F.col(on), hot_right)
+    rest = salted_join(left.where(~matched), right.where(~matched), [on], hot_left, how, salts)
+    hot = salted_join(right.where(matched), left.where(matched), [on], hot_right, "inner", salts)
+    return rest.unionByName(hot.select(*rest.columns))

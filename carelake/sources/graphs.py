@@ -5,30 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from carelake import schemas
-from carelake.operators.match import HOT_SHARE, Graph, graph_of, hot_terms
+from carelake.operators.match import HOT_SHARE, Graph, graph_of, hot_terms, node_kinds
 from carelake.operators.skew import MIN_HOT_ROWS
 from carelake.sources.tables import path_exists, write_partitioned
 
 HOT_TERMS = "p string, position string, term string"
+NODE_KINDS = "p string, position string, kind string"
 
 
 def save_graph(
     triples: DataFrame, path: str, share: float = HOT_SHARE, min_rows: int = MIN_HOT_ROWS
 ) -> None:
-    """Write the triples, then the hot terms found in what was written.
+    """Write the triples, then the hot terms and node kinds found in what was written.
 
-    A pattern with a constant predicate then reads one directory only.
+    A pattern with a constant predicate then reads one directory only. Files
+    are sorted by subject, so that a node kind is a run of row groups.
     """
     spark = triples.sparkSession
-    write_partitioned(triples, f"{path}/triples", "p")
+    write_partitioned(triples, f"{path}/triples", "p", sort_by=["s"])
     written = spark.read.schema(schemas.TRIPLES).parquet(f"{path}/triples")
-    hot = hot_terms(written, share, min_rows)
-    hot.coalesce(1).write.mode("overwrite").parquet(f"{path}/hot_terms")
+    found = {"hot_terms": hot_terms(written, share, min_rows), "kinds": node_kinds(written)}
+    for name, df in found.items():
+        df.coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
 
 
 def load_graph(spark: SparkSession, path: str) -> Graph:
     triples = spark.read.schema(schemas.TRIPLES).parquet(f"{path}/triples")
-    return graph_of(triples, spark.read.schema(HOT_TERMS).parquet(f"{path}/hot_terms"))
+    hot = spark.read.schema(HOT_TERMS).parquet(f"{path}/hot_terms")
+    return graph_of(triples, hot, spark.read.schema(NODE_KINDS).parquet(f"{path}/kinds"))
 
 
 def graph_exists(spark: SparkSession, path: str) -> bool:

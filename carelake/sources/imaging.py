@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -14,6 +15,7 @@ from pyspark.sql import types as T
 from carelake import schemas
 from carelake.functions.identity import pseudonym
 from carelake.functions.standardize import present
+from carelake.sources.tables import list_files
 
 # Fixed values of the file format: attribute tags, transfer syntaxes, and the
 # value types whose length field has 32 bits.
@@ -35,6 +37,7 @@ LONG_TYPES = {b"OB", b"OD", b"OF", b"OL", b"OV", b"OW", b"SQ", b"SV", b"UC", b"U
 PREAMBLE = 128
 UNDEFINED = 0xFFFFFFFF
 PIXEL_GROUP = 0x7FE0
+FIRST_READ = 16 * 1024
 
 HEADER = T.StructType(
     [T.StructField("file_path", T.StringType())]
@@ -49,6 +52,7 @@ class _Elements:
 
     def __init__(self, data: bytes, at: int, explicit: bool, order: str) -> None:
         self.data, self.at, self.explicit, self.order = data, at, explicit, order
+        self.met_pixels = False
 
     def _unpack(self, layout: str, size: int) -> tuple:
         if self.at + size > len(self.data):
@@ -90,6 +94,7 @@ class _Elements:
         while self.at < len(self.data):
             tag, _, length = self.head()
             if tag[0] >= PIXEL_GROUP:
+                self.met_pixels = True
                 return
             if length == UNDEFINED:
                 self.skip_open()
@@ -97,8 +102,8 @@ class _Elements:
                 yield tag, self.value(length)
 
 
-def read_header(content: bytes) -> dict[str, object]:
-    """Wanted attributes of one file; a missing attribute is absent from the result."""
+def _parse(content: bytes) -> tuple[dict[str, object], bool]:
+    """Wanted attributes, and whether the header was read to its end at the pixels."""
     if content[PREAMBLE : PREAMBLE + 4] != b"DICM":
         raise ValueError("no DICM marker")
     syntax = ""
@@ -113,21 +118,44 @@ def read_header(content: bytes) -> dict[str, object]:
         data, at = zlib.decompressobj(-zlib.MAX_WBITS).decompress(content[at:]), 0
     order = ">" if syntax == EXPLICIT_BIG else "<"
     found: dict[str, object] = {}
-    for tag, value in _Elements(data, at, syntax != IMPLICIT_LITTLE, order):
+    elements = _Elements(data, at, syntax != IMPLICIT_LITTLE, order)
+    for tag, value in elements:
         if tag in TEXT_TAGS:
             found[TEXT_TAGS[tag]] = value.decode("utf-8", "replace").strip("\0 ")
         elif tag in NUMBER_TAGS and len(value) == 2:
             found[NUMBER_TAGS[tag]] = struct.unpack(order + "H", value)[0]
-    return found
+    return found, elements.met_pixels
+
+
+def read_header(content: bytes) -> dict[str, object]:
+    """Wanted attributes of one file; a missing attribute is absent from the result."""
+    return _parse(content)[0]
+
+
+def read_file_header(path: str, first: int = FIRST_READ) -> dict[str, object]:
+    """Wanted attributes of a file, reading on only until the pixels are met."""
+    size = os.path.getsize(path)
+    with open(path, "rb") as file:
+        content = file.read(max(first, PREAMBLE + 4))
+        while len(content) < size:
+            try:
+                found, complete = _parse(content)
+                if complete:
+                    return found
+            except (ValueError, zlib.error):
+                if content[PREAMBLE : PREAMBLE + 4] != b"DICM":
+                    raise
+            content += file.read(3 * len(content))
+    return read_header(content)
 
 
-def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _headers(batches: Iterator[pd.DataFrame], column: str, read) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
-        for path, content in zip(batch["path"], batch["content"], strict=True):
+        for path, source in zip(batch["path"], batch[column], strict=True):
             try:
-                rows.append({"file_path": path, **read_header(bytes(content))})
-            except (ValueError, struct.error, zlib.error) as error:
+                rows.append({"file_path": path, **read(source)})
+            except (OSError, ValueError, struct.error, zlib.error) as error:
                 rows.append({"file_path": path, "error": str(error)})
         out = pd.DataFrame(rows, columns=HEADER.names).astype(object)
         yield out.where(out.notna(), None)
@@ -135,7 +163,22 @@ def _parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def parse_headers(files: DataFrame) -> DataFrame:
     """Headers of ``path, content`` rows; ``error`` tells why a file was unreadable."""
-    return files.select("path", "content").mapInPandas(_parse_batches, HEADER)
+    return files.select("path", "content").mapInPandas(
+        lambda batches: _headers(batches, "content", read_header), HEADER
+    )
+
+
+def parse_mounted(files: DataFrame, tasks: int) -> DataFrame:
+    """Headers of ``path`` rows on a folder mounted on every executor.
+
+    Only the head of each file is read. The paths are dealt out to ``tasks``.
+    """
+    located = files.select(
+        "path", F.regexp_replace("path", "^file:/*", "/").alias("mounted")
+    ).repartition(tasks)
+    return located.mapInPandas(
+        lambda batches: _headers(batches, "mounted", read_file_header), HEADER
+    )
 
 
 def image_files(spark: SparkSession, root: str, pattern: str = "*.dcm") -> DataFrame:
@@ -163,6 +206,14 @@ def inventory(headers: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def scan_imaging(spark: SparkSession, root: str, pattern: str = "*.dcm") -> tuple[DataFrame, DataFrame]:
-    """Imaging table and error table of a folder of image files."""
-    return inventory(parse_headers(image_files(spark, root, pattern)))
+def scan_imaging(
+    spark: SparkSession, root: str, pattern: str = "*.dcm", mounted_tasks: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Imaging table and error table of a folder of image files.
+
+    Spark reads each file whole. Where the folder is mounted on every
+    executor, ``mounted_tasks`` tasks read the heads of the files only.
+    """
+    if mounted_tasks is None:
+        return inventory(parse_headers(image_files(spark, root, pattern)))
+    return inventory(parse_mounted(list_files(spark, root, pattern), mounted_tasks))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -134,13 +136,17 @@ def write_tables(tables: dict[str, DataFrame], root: str) -> None:
         df.write.mode("overwrite").parquet(f"{root}/{name}")
 
 
-def write_partitioned(df: DataFrame, path: str, *columns: str) -> None:
-    """Write Parquet partitioned by ``columns``.
+def write_partitioned(
+    df: DataFrame, path: str, *columns: str, sort_by: Sequence[str] = ()
+) -> None:
+    """Write Parquet partitioned by ``columns``, each file sorted by ``sort_by``.
 
     The rebalance hint gathers each partition's rows into files of the advisory
     size and splits a partition that holds most of the rows over several tasks.
     """
     balanced = df.hint("rebalance", *columns)
+    if sort_by:
+        balanced = balanced.sortWithinPartitions(*columns, *sort_by)
     balanced.write.mode("overwrite").partitionBy(*columns).parquet(path)
 
 

@@ -5,7 +5,7 @@ import zlib
 import pytest
 
 from carelake.plans.bindings import encode_headers
-from carelake.sources.imaging import read_header, scan_imaging
+from carelake.sources.imaging import read_file_header, read_header, scan_imaging
 
 TEXT = [
     ((0x0008, 0x0018), "UI", "1.2.3.4"),
@@ -84,7 +84,16 @@ def test_other_files_are_refused(content):
         read_header(content)
 
 
-def test_scan_reports_what_it_cannot_read(spark, tmp_path):
+@pytest.mark.parametrize("syntax", [EXPLICIT, IMPLICIT, BIG, DEFLATED])
+@pytest.mark.parametrize("first", [10, 140, 200, 100_000])
+def test_reading_the_head_of_a_file_is_enough(tmp_path, syntax, first):
+    long = element((0x0020, 0x1199), "UN", b"x" * 50_000, ">" if syntax == BIG else "<", syntax != IMPLICIT)
+    (tmp_path / "a.dcm").write_bytes(image(syntax, before_pixels=long, pixels=b"\x01" * 500_000))
+    assert read_file_header(str(tmp_path / "a.dcm"), first) == EXPECTED
+
+
+@pytest.mark.parametrize("mounted_tasks", [None, 2])
+def test_scan_reports_what_it_cannot_read(spark, tmp_path, mounted_tasks):
     no_patient = [t for t in TEXT if t[0] != (0x0010, 0x0020)]
     blank = [(t, k, "" if t == (0x0010, 0x0020) else v) for t, k, v in TEXT]
     files = {
@@ -97,7 +106,7 @@ def test_scan_reports_what_it_cannot_read(spark, tmp_path):
     for name, content in files.items():
         (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
         (tmp_path / name).write_bytes(content)
-    table, errors = scan_imaging(spark, str(tmp_path))
+    table, errors = scan_imaging(spark, str(tmp_path), mounted_tasks=mounted_tasks)
     found = {r.file_path.rsplit("/", 1)[1]: r for r in table.collect()}
     assert set(found) == {"a.dcm", "b.dcm", "blank.dcm"}
     row = found["a.dcm"].asDict()

@@ -33,6 +33,10 @@ def test_salted_join_equals_the_plain_join(facts, dims, rows, how, swap):
     left, right = (dims, facts) if swap else (facts, dims)
     expected = rows(left.join(right, "key", how).select("key", "x", "y"))
     assert rows(skew_join(left, right, "key", how, share=0.1, min_rows=1).select("key", "x", "y")) == expected
+    hot_right = skew_join(right, left, "key", how, share=0.1, min_rows=1)
+    assert rows(hot_right.select("key", "x", "y")) == rows(
+        right.join(left, "key", how).select("key", "x", "y")
+    )
     everything = salted_join(left, right, ["key"], ["hot", "k1", None], how, salts=5)
     assert rows(everything.select("key", "x", "y")) == expected
 

@@ -34,6 +34,11 @@ def test_constants_reach_the_scan(spark):
     assert "EqualTo(o,click)" in text and "EqualTo(o_kind,literal)" in text
 
 
+def test_scans_skip_node_kinds_that_cannot_match(spark):
+    text = plan(contract.queries()["q_contraindication"](spark, SF_DIR))
+    assert "StringStartsWith(s,res:allergy/)" in text and "StringStartsWith(s,res:drug/)" in text
+
+
 def test_top_k_does_not_sort_everything(spark):
     text = plan(contract.queries()["q_abnormal_topk"](spark, SF_DIR))
     assert "TakeOrderedAndProject" in text
