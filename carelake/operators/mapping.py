@@ -18,6 +18,7 @@ from carelake.functions.terms import IRI, XSD_DATE, XSD_FLOAT
 from carelake.operators import vocabulary as v
 from carelake.operators.integrate import Dictionaries, missing_entities
 from carelake.operators.lookup import Dictionary, lookup
+from carelake.session import concurrently
 
 NODE = "node"
 
@@ -228,16 +229,20 @@ def build_graph(
     node of its own kind; so the union is a set as it stands. The parts are
     counted as the plan is made: pass written tables, and a ``staging`` folder.
     """
-    parts = [
-        v.vocabulary(spark, title),
-        v.concepts(spark, dictionaries),
-        map_patients(tables["patients"], staging),
-        map_imaging(tables["dicom_images"], tables["patients"], staging),
-        map_conditions(tables["conditions"], keep, sep, staging),
-        map_allergies(tables["allergies"], dictionaries.allergy_families, keep, sep, staging),
-        map_prescriptions(tables["prescriptions"], keep, sep, staging),
-        map_labs(tables["lab_results"], sample_labs, staging),
-    ]
+    ruled_out = dictionaries.allergy_families
+    parts = concurrently(
+        spark,
+        [
+            lambda: map_imaging(tables["dicom_images"], tables["patients"], staging),
+            lambda: map_prescriptions(tables["prescriptions"], keep, sep, staging),
+            lambda: map_labs(tables["lab_results"], sample_labs, staging),
+            lambda: map_conditions(tables["conditions"], keep, sep, staging),
+            lambda: map_allergies(tables["allergies"], ruled_out, keep, sep, staging),
+            lambda: map_patients(tables["patients"], staging),
+            lambda: v.vocabulary(spark, title),
+            lambda: v.concepts(spark, dictionaries),
+        ],
+    )
     return reduce(DataFrame.unionByName, parts)
 
 

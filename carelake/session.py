@@ -5,9 +5,16 @@ from __future__ import annotations
 import posixpath
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
+Found = TypeVar("Found")
+JOBS_AT_ONCE = 4
+
 # Runtime SQL settings the jobs rely on. AQE re-plans joins from measured
 # sizes, so a side is only broadcast once its real size is known, and it
 # splits skewed shuffle partitions even where that costs one more exchange.
@@ -39,3 +46,13 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="carelake-")
     return posixpath.join(base, f"{purpose}-{uuid.uuid4().hex}")
+
+
+def concurrently(spark: SparkSession, actions: Sequence[Callable[[], Found]]) -> list[Found]:
+    """Results of independent actions, a few of them submitted at a time.
+
+    While the last tasks of one job run, those of the next fill the cluster.
+    """
+    with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]
+        return [job.result() for job in running]

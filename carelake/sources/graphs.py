@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from carelake import schemas
 from carelake.operators.match import HOT_SHARE, Graph, graph_of, hot_terms, node_kinds
 from carelake.operators.skew import MIN_HOT_ROWS
-from carelake.sources.tables import path_exists, write_partitioned
+from carelake.sources.tables import path_exists, write_partitioned, write_tables
 
 HOT_TERMS = "p string, position string, term string"
 NODE_KINDS = "p string, position string, kind string"
@@ -25,8 +25,7 @@ def save_graph(
     write_partitioned(triples, f"{path}/triples", "p", sort_by=["s"])
     written = spark.read.schema(schemas.TRIPLES).parquet(f"{path}/triples")
     found = {"hot_terms": hot_terms(written, share, min_rows), "kinds": node_kinds(written)}
-    for name, df in found.items():
-        df.coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
+    write_tables({name: df.coalesce(1) for name, df in found.items()}, path)
 
 
 def load_graph(spark: SparkSession, path: str) -> Graph:

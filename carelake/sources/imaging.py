@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import os
 import struct
+import sys
 import zlib
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,9 @@ from carelake.functions.identity import pseudonym
 from carelake.functions.standardize import present
 from carelake.sources.tables import list_files
 
+# Workers get the parser itself and need no installed copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed values of the file format: attribute tags, transfer syntaxes, and the
 # value types whose length field has 32 bits.
 TEXT_TAGS = {

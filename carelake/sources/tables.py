@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from carelake import schemas
+from carelake.session import concurrently
 
 NOT_FOUND = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
 
@@ -132,9 +134,13 @@ def write_json_array(df: DataFrame, path: str, rows_per_document: int = 100_000)
 
 def write_tables(tables: dict[str, DataFrame], root: str) -> None:
     """Write each table as Parquet under ``root``, replacing what is there."""
-    for name, df in tables.items():
+
+    def write(name: str, df: DataFrame) -> None:
         df.write.mode("overwrite").parquet(f"{root}/{name}")
 
+    spark = next(iter(tables.values())).sparkSession
+    concurrently(spark, [partial(write, name, df) for name, df in tables.items()])
+
 
 def write_partitioned(
     df: DataFrame, path: str, *columns: str, sort_by: Sequence[str] = ()
