@@ -121,7 +121,7 @@ def allergies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _spread(df: DataFrame, files: int) -> DataFrame:
+def spread(df: DataFrame, files: int) -> DataFrame:
     """Deal rows out to all cores if they come from fewer files than there are cores.
 
     The given tables are one file with one row group each, hence one task.
@@ -136,7 +136,7 @@ def _ordered_items(spark: SparkSession, sf_dir: str, items: list, orders: list)
     left = lines.select(F.col("l_orderkey").alias("key"), *items)
     right = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), *orders)
     hot = _once(spark, sf_dir, "hot orders", lambda: hot_keys(left, "key"))
-    return salted_join(_spread(left, len(lines.inputFiles())), right, ["key"], hot)
+    return salted_join(spread(left, len(lines.inputFiles())), right, ["key"], hot)
 
 
 def prescriptions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -355,7 +355,7 @@ def scan_imaging(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(64).alias("cols"),
         "c_acctbal",
     )
-    _write_files(b.encode_headers(images, F.col("c_acctbal") >= 0), root)
+    _write_files(b.spread(b.encode_headers(images, F.col("c_acctbal") >= 0), files=1), root)
     table, errors = imaging.scan_imaging(spark, root)
     found = table.unionByName(errors, allowMissingColumns=True)
     name = F.substring_index("file_path", "/", -1)
