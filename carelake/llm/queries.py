@@ -6,30 +6,60 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.llm import exact, mixing
+from carelake.llm import exact, html_text, mixing, packing, secrets, simhash
 from carelake.llm.common import table
 
+TOKENIZER = "byte_bpe_50k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Where an installed public vocabulary lies; the same on every executor."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents")).drop("found")
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packed.drop("loss_tokens")
+
+
 def queries() -> dict[str, Query]:
     return {
+        "op1_html_extraction": op1_html_extraction,
         "op5_mixing": op5_mixing,
+        "op6_secret_scan": op6_secret_scan,
+        "op7_simhash": op7_simhash,
         "op9_exact_dedup": op9_exact_dedup,
+        "op10_packing": op10_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_mixing": mixing.ORACLE,
+        "op6_secret_scan": secrets.ORACLE,
         "op9_exact_dedup": exact.ORACLE,
     }
