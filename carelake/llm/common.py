@@ -35,13 +35,12 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """``df`` written once to the folder all executors share; its lineage ends there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    The folder is ``spark.checkpoint.dir`` of the session. Only a local session
-    without that setting gets a temporary folder.
+    Only a local session without that setting gets a temporary folder.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         shared = context.getConf().get("spark.checkpoint.dir", None)
         if shared is None:
@@ -49,6 +48,12 @@ def staged(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder all executors share")
             shared = tempfile.mkdtemp(prefix="carelake-llm-")
         context.setCheckpointDir(shared)
+    return context.getCheckpointDir()
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """``df`` written once to the folder all executors share; its lineage ends there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

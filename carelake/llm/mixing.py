@@ -109,6 +109,32 @@ def mix(
     )
 
 
+def repeat_documents(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them whole, with all their columns.
+
+    Rows with the same id, source and size are interchangeable; where the mix
+    takes them differently often, each gets one of their counts.
+    """
+    names = list(docs.columns)
+    doc_id, text, source = (f"__c{names.index(n)}" for n in ("doc_id", "text", "source"))
+    plain = docs.toDF(*[f"__c{i}" for i in range(len(names))])
+    words = F.regexp_count(whole_text(text), F.lit(WORD)).cast("long")
+    alike = W.partitionBy("doc_id", "source", "size").orderBy("copies")
+    counts = mix(docs, **options).select("doc_id", "source", "size", "copies")
+    counts = counts.withColumn("nth", F.row_number().over(alike)).where("copies > 0")
+    counts = counts.toDF("m_doc", "m_source", "m_size", "copies", "m_nth")
+    rows = plain.withColumn("size", words)
+    rows = rows.withColumn("nth", F.row_number().over(W.partitionBy(doc_id, source, "size").orderBy(F.xxhash64(text))))
+    same = (
+        F.col(doc_id).eqNullSafe(F.col("m_doc"))
+        & F.col(source).eqNullSafe(F.col("m_source"))
+        & (F.col("size") == F.col("m_size"))
+        & (F.col("nth") == F.col("m_nth"))
+    )
+    joined = rows.join(counts, same).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return joined.select(*[f"__c{i}" for i in range(len(names))]).toDF(*names)
+
+
 ORACLE = r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,

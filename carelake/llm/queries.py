@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.llm import exact, html_text, mixing, packing, secrets, simhash
+from carelake.llm import exact, html_text, licences, lines, mixing, near, packing, quality, secrets, simhash
 from carelake.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -24,6 +24,18 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op2_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.classes(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -37,6 +49,10 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup_lines(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.dedup(table(spark, sf_dir, "documents"))
 
@@ -49,9 +65,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_html_extraction": op1_html_extraction,
+        "op2_licence_scan": op2_licence_scan,
+        "op3_quality": op3_quality,
+        "op4_near_dedup": op4_near_dedup,
         "op5_mixing": op5_mixing,
         "op6_secret_scan": op6_secret_scan,
         "op7_simhash": op7_simhash,
+        "op8_line_dedup": op8_line_dedup,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_packing": op10_packing,
     }
