@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterator
@@ -17,7 +18,10 @@ from carelake.llm.common import arrow_rows, in_batches, take, whole_text
 
 TOKEN = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 HASHED = 1 << 18
-SHAPES = 7
+SHAPES = 8
+TERM_SCALE, SHAPE_SCALE = 3.0, 5.0
+# A place of the hash counts if that many of the labelled documents use it.
+LEAST_ROWS = 3
 # At most this many labelled documents are fitted on, drawn by a hash of the id.
 MAX_LABELLED = 6000
 CACHED = 1 << 20
@@ -25,34 +29,37 @@ _UPPER, _DIGIT = bytes(range(65, 91)), bytes(range(48, 58))
 _PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
 
 
-def _shape(text: str, tokens: list[str], distinct: int) -> list[float]:
+def _shape(text: str, tokens: list[str]) -> list[float]:
     """Shares of capitals, digits, punctuation, other bytes, new and repeated tokens; length."""
     data = text.encode()
     size, n = max(len(data), 1), max(len(tokens), 1)
     capitals, digits, marks = (size - len(data.translate(None, b)) for b in (_UPPER, _DIGIT, _PUNCTUATION))
     repeats = sum(map(eq, tokens, tokens[1:]))
-    return [
-        capitals / size if data else 0.0,
-        digits / size if data else 0.0,
-        marks / size if data else 0.0,
-        sum(map(len, tokens)) / size,
-        distinct / n,
-        repeats / n,
-        min(n, 100) / 100,
-    ]
+    if not data:
+        return [0.0] * SHAPES
+    odd = sum(not t[0].isalnum() for t in tokens)
+    letters = sum(map(len, tokens))
+    shares = [capitals / size, digits / size, marks / size, letters / size, len(set(tokens)) / n, repeats / n]
+    return [SHAPE_SCALE * x for x in (*shares, odd / n, min(n, 100) / 100)]
 
 
 def _place(token: str) -> int:
     return zlib.crc32(token.encode()) % HASHED
 
 
+def _terms(tokens: list[str]) -> set[str]:
+    """The distinct tokens, and the distinct beginnings of the longer ones."""
+    distinct = set(tokens)
+    return distinct | {f"^{t[:4]}" for t in distinct if len(t) > 4}
+
+
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Places and values: each distinct token 1 / sqrt(distinct tokens) at its hash, then the shapes."""
+    """Places and values: each distinct term 1 / sqrt(distinct terms) at its hash, then the shapes."""
     tokens = TOKEN.findall(text.lower())
-    distinct = set(tokens)
-    places = np.array([_place(t) for t in distinct] + list(range(HASHED, HASHED + SHAPES)), np.int64)
-    values = np.full(len(places), 1.0 / np.sqrt(max(len(distinct), 1)))
-    values[len(distinct) :] = _shape(text, tokens, len(distinct))
+    terms = _terms(tokens)
+    places = np.array([_place(t) for t in terms] + list(range(HASHED, HASHED + SHAPES)), np.int64)
+    values = np.full(len(places), TERM_SCALE / np.sqrt(max(len(terms), 1)))
+    values[len(terms) :] = _shape(text, tokens)
     return places, values
 
 
@@ -68,7 +75,7 @@ class OrdinalModel:
         return 1.0 / (1.0 + np.exp(np.clip(self.cuts - score, -500, 500)))
 
 
-def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], grades: int, steps: int = 250, ridge: float = 1e-3) -> OrdinalModel:
+def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], grades: int, steps: int = 150, ridge: float = 0.3) -> OrdinalModel:
     """Most likely weights and cuts for (grade, places, values) rows, by Adam over all rows.
 
     The cuts are a first one and positive gaps, so that they stay in order.
@@ -77,9 +84,12 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], grades: int, steps: int
     if not rows:
         return OrdinalModel(np.zeros(HASHED + SHAPES), np.full(grades - 1, -50.0))
     grade = np.array([r[0] for r in rows])
-    used, place = np.unique(np.concatenate([r[1] for r in rows]), return_inverse=True)
-    value = np.concatenate([r[2] for r in rows])
+    places, value = np.concatenate([r[1] for r in rows]), np.concatenate([r[2] for r in rows])
     row = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
+    common = (np.bincount(places, minlength=HASHED + SHAPES) >= LEAST_ROWS)[places]
+    value, row = value[common], row[common]
+    used, place = np.unique(places[common], return_inverse=True)
+    shrink = np.where(used < HASHED, ridge, 0.0)
     theta = np.zeros(len(used) + grades - 1)
     theta[len(used)] = -1.0
     mean, square = np.zeros_like(theta), np.zeros_like(theta)
@@ -98,7 +108,7 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], grades: int, steps: int
         by_cut[here, grade + 1] -= high
         d_cuts = by_cut[:, 1:-1].mean(axis=0)
         gradient = np.empty_like(theta)
-        gradient[: len(used)] = np.bincount(place, -(low - high)[row] * value, len(used)) / len(rows) + ridge * weights / len(rows)
+        gradient[: len(used)] = np.bincount(place, -(low - high)[row] * value, len(used)) / len(rows) + shrink * weights / len(rows)
         gradient[len(used)] = d_cuts.sum()
         gradient[len(used) + 1 :] = gaps * np.cumsum(d_cuts[::-1])[::-1][1:]
         mean = 0.9 * mean + 0.1 * gradient
@@ -158,13 +168,13 @@ def _scored(model: OrdinalModel, min_grade: int, least: float):
         def rows():
             for doc_id, text in arrow_rows(batches, "doc_id", "text"):
                 tokens = TOKEN.findall(text.lower())
-                distinct = set(tokens)
+                terms = _terms(tokens)
                 if len(known) > CACHED:
                     known.clear()
-                for t in distinct - known.keys():
+                for t in terms - known.keys():
                     known[t] = weights[_place(t)]
-                score = sum(sorted(map(known.__getitem__, distinct))) / np.sqrt(max(len(distinct), 1))
-                tails = model.tails(score + float(by_shape @ _shape(text, tokens, len(distinct))))
+                score = math.fsum(map(known.__getitem__, terms)) * TERM_SCALE / math.sqrt(max(len(terms), 1))
+                tails = model.tails(score + float(by_shape @ _shape(text, tokens)))
                 keep = bool(tokens) and tails[min_grade - 1] >= least
                 yield doc_id, float(tails.sum()), float(tails[min_grade - 1]), bool(keep)
 
@@ -179,7 +189,7 @@ SCORES = "doc_id long, expected_grade double, tail_probability double, keep bool
 def classify(
     docs: DataFrame,
     labels: DataFrame,
-    min_grade: int = 1,
+    min_grade: int = 2,
     least: float = 0.5,
     max_labelled: int = MAX_LABELLED,
     model: OrdinalModel | None = None,
@@ -200,7 +210,7 @@ def classify(
 def select_documents(
     docs: DataFrame,
     labels: DataFrame,
-    min_grade: int = 1,
+    min_grade: int = 2,
     least: float = 0.5,
     max_labelled: int = MAX_LABELLED,
     train_on: DataFrame | None = None,
