@@ -62,7 +62,8 @@ def _counted(slots: int):
         total = np.zeros(slots, np.int64)
         for (text,) in arrow_rows(batches, "text"):
             words = word_hashes(text)[0]
-            np.add.at(total, (words & np.uint64(slots - 1)).astype(np.int64), 1)
+            slot, n = np.unique((words & np.uint64(slots - 1)).astype(np.int64), return_counts=True)
+            total[slot] += n
         used = np.flatnonzero(total)
         for i in range(0, len(used), 1 << 16):
             part = used[i : i + (1 << 16)]
@@ -145,7 +146,10 @@ def _word_lists(known: np.ndarray | None):
             for (text,) in arrow_rows(batches, "text"):
                 lines = Lines(text, flat)
                 names = signed(lines.ids())
-                wanted = np.ones(len(names), bool) if known is None else np.isin(names, known)
+                wanted = np.ones(len(names), bool)
+                if known is not None:  # sorted, so that a look-up does not go through all of it
+                    at = np.minimum(np.searchsorted(known, names), max(len(known) - 1, 0))
+                    wanted = known[at] == names if len(known) else ~wanted
                 for i in np.flatnonzero(wanted).tolist():
                     if names[i] not in met:
                         met.add(names[i])

@@ -154,9 +154,9 @@ def near_links(sketches: DataFrame, texts: DataFrame, width: int, similarity: fl
 
     In each bucket of a vector value the text with the largest buckets is the
     centre, and every other member is aligned with it: one candidate per
-    member, not a pair of members. Those that do not align go on to the next
-    round, where the rest of the bucket gets a new centre, until a round adds
-    no link.
+    member, not a pair of members. Those that are not yet connected to it go on
+    to the next round, where the rest of the bucket gets a new centre, until a
+    round adds no link.
     """
     entries = sketches.select("set_id", F.posexplode("vectors").alias("nth", "value"))
     entries = entries.select("set_id", F.xxhash64("nth", "value").alias("key"))
@@ -170,6 +170,7 @@ def near_links(sketches: DataFrame, texts: DataFrame, width: int, similarity: fl
     places = places.select("set_id", F.col("first.doc_id").alias("in_doc"), F.col("first.text_hash").alias("in_text"))
     same = texts["doc_id"].eqNullSafe(places["in_doc"]) & (texts["text_hash"] == places["in_text"])
     bodies = staged(texts.join(places, same).select("set_id", "text").dropDuplicates(["set_id"]))
+    parts = int(sketches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found: DataFrame | None = None
     while True:
         centres = left.groupBy("key").agg(
@@ -186,9 +187,14 @@ def near_links(sketches: DataFrame, texts: DataFrame, width: int, similarity: fl
         fresh = staged(with_both.mapInArrow(_verify(width, similarity), "a binary, b binary"))
         if fresh.isEmpty():
             return found
-        found = fresh if found is None else staged(found.union(fresh))
-        rest = tried.join(found, ["a", "b"], "left_anti")
-        left = staged(rest.select("key", F.col("b").alias("set_id"), "weight"))
+        found = fresh if found is None else staged(found.union(fresh).repartition(parts))
+        # Who is already connected to the centre needs no further candidate there.
+        roots = components(found)
+        group_a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
+        group_b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
+        known = tried.join(group_a, "a", "left").join(group_b, "b", "left")
+        apart = known.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
+        left = staged(apart.select("key", F.col("b").alias("set_id"), "weight"))
 
 
 def classes(
