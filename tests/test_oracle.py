@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from carelake.plans import oracle, registry
 from check_oracle import compare, duck
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -18,10 +19,10 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(registry.queries()) == set(oracle.oracle_sql())
 
 
-@pytest.mark.parametrize("key", sorted(contract.queries()))
+@pytest.mark.parametrize("key", sorted(registry.queries()))
 def test_query_equals_sql(spark, con, key):
     assert compare(spark, con, SF_DIR, key, contract.oracle_sql()[key]) == ""
 
