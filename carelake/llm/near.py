@@ -154,7 +154,7 @@ def near_links(sketches: DataFrame, texts: DataFrame, width: int, similarity: fl
 
     In each bucket of a vector value the text with the largest buckets is the
     centre, and every other member is aligned with it: one candidate per
-    member, not a pair of members. Those that are not yet connected to it go on
+    member, not a pair of members. Those that share no linked centre with it go on
     to the next round, where the rest of the bucket gets a new centre, until a
     round adds no link.
     """
@@ -188,12 +188,10 @@ def near_links(sketches: DataFrame, texts: DataFrame, width: int, similarity: fl
         if fresh.isEmpty():
             return found
         found = fresh if found is None else staged(found.union(fresh).repartition(parts))
-        # Who is already connected to the centre needs no further candidate there.
-        roots = components(found)
-        group_a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
-        group_b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-        known = tried.join(group_a, "a", "left").join(group_b, "b", "left")
-        apart = known.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
+        # Who shares a linked centre with this one needs no further candidate there.
+        label = found.groupBy("b").agg(F.min("a").alias("label"))
+        known = tried.join(label, "b", "left").join(label.toDF("a", "label_a"), "a", "left")
+        apart = known.where(F.coalesce("label_a", "a") != F.coalesce("label", "b"))
         left = staged(apart.select("key", F.col("b").alias("set_id"), "weight"))
 
 
