@@ -102,7 +102,7 @@ def _key(digest: bytes) -> int:
 
 
 def _keys(digests: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(d[:8] for d in digests), "<u8")
+    return np.frombuffer(b"".join(d[:8].ljust(8, b"\0") for d in digests), "<u8")
 
 
 def _bodies(known: np.ndarray | None, width: int):

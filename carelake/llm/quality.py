@@ -229,4 +229,5 @@ def select_documents(
             kept = [k for out in run([plain]) for k in out.column("keep").to_pylist()]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    plain = docs.toDF(*[f"__c{i}" for i in range(len(docs.columns))])
+    return plain.mapInArrow(keep, plain.schema).toDF(*docs.columns)
