@@ -14,14 +14,15 @@ def pseudonym(value: Column, keep: int = 16) -> Column:
     return F.substring(F.sha2(value.cast("string"), 256), 1, keep)
 
 
-def node_id(*parts: Column, keep: int = 12, sep: str = "") -> Column:
-    """Hash of concatenated keys; a missing part counts as empty text.
+def node_id(*parts: Column, keep: int = 32) -> Column:
+    """Hash of several keys: the first ``keep`` hex digits, 128 bits by default.
 
-    Twelve digits are 48 bits: from about 2e7 nodes on, pass ``keep=24`` or
-    more, and a ``sep`` if keys of varying length may run into each other.
+    Every part goes in with its length before it, a missing part as ``-``, so
+    that keys of varying length never run into each other.
     """
-    present = [F.coalesce(p.cast("string"), F.lit("")) for p in parts]
-    return pseudonym(F.concat_ws(sep, *present), keep)
+    texts = [p.cast("string") for p in parts]
+    framed = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return pseudonym(F.concat(*framed), keep)
 
 
 # 10^18 is 2^18 * 5^18. Both remainders fit 64-bit arithmetic, the whole does not.

@@ -11,22 +11,23 @@ from carelake.functions.standardize import out_of_range
 from carelake.operators.lookup import Dictionary, lookup
 
 
-MAX_DIGITS = 10
-
-
 def harmonize_units(
     df: DataFrame, rules: Dictionary, test: str = "test_name", value: str = "value", unit: str = "unit"
 ) -> DataFrame:
     """Convert values whose (test, unit) has a rule; leave all others unchanged.
 
-    A rule that asks for more than :data:`MAX_DIGITS` digits does not round.
+    A rule rounds to its number of digits, which may be negative; a rule
+    without one does not round. The distinct numbers are read off the rules
+    first, since rounding takes a literal.
     """
+    asked = rules.table.select("digits").where("digits IS NOT NULL").distinct().collect()
+    if any(abs(row[0]) > 308 for row in asked):
+        raise ValueError("a rule rounds to more digits than a double has")
     found = lookup(
         df, rules, {test: "test", unit: "from_unit"}, ["to_unit", "divisor", "digits"]
     )
     ratio = F.col(value) / F.col("divisor")
-    # round() takes a literal scale only, hence one branch per number of digits.
-    rounded = [F.when(F.col("digits") == d, F.round(ratio, d)) for d in range(MAX_DIGITS + 1)]
+    rounded = [F.when(F.col("digits") == d, F.round(ratio, d)) for d in sorted(row[0] for row in asked)]
     new_value = F.when(F.col("to_unit").isNull(), F.col(value)).otherwise(
         F.coalesce(*rounded, ratio)
     )

@@ -113,9 +113,9 @@ def map_imaging(
 
 
 def map_conditions(
-    conditions: DataFrame, keep: int = 12, sep: str = "", staging: str | None = None
+    conditions: DataFrame, keep: int = 32, staging: str | None = None
 ) -> DataFrame:
-    key = node_id(F.col("patient_id"), F.col("icd10_code"), keep=keep, sep=sep)
+    key = node_id(F.col("patient_id"), F.col("icd10_code"), keep=keep)
     node = F.col(NODE)
     return _node_triples(
         conditions,
@@ -133,12 +133,11 @@ def map_conditions(
 def map_allergies(
     allergies: DataFrame,
     allergy_families: Dictionary,
-    keep: int = 12,
-    sep: str = "",
+    keep: int = 32,
     staging: str | None = None,
 ) -> DataFrame:
     """Allergies, with an edge to the drug family where the allergy is known to rule one out."""
-    key = node_id(F.col("patient_id"), F.col("allergy"), keep=keep, sep=sep)
+    key = node_id(F.col("patient_id"), F.col("allergy"), keep=keep)
     node = F.col(NODE)
     return _node_triples(
         lookup(allergies, allergy_families, {"allergy": "allergy"}, ["family"]),
@@ -154,11 +153,11 @@ def map_allergies(
 
 
 def map_prescriptions(
-    prescriptions: DataFrame, keep: int = 12, sep: str = "", staging: str | None = None
+    prescriptions: DataFrame, keep: int = 32, staging: str | None = None
 ) -> DataFrame:
     """Drugs with their family, and prescriptions; an undated one has an id but no date."""
     drug = F.replace(F.col("drug"), F.lit(" "), F.lit("_"))
-    key = node_id(F.col("patient_id"), F.col("drug"), F.col("date"), keep=keep, sep=sep)
+    key = node_id(F.col("patient_id"), F.col("drug"), F.col("date"), keep=keep)
     node = F.col(NODE)
     family = v.node("drugfamily", F.col("drug_family"))
     drugs = _node_triples(
@@ -186,12 +185,8 @@ def map_prescriptions(
     return drugs.unionByName(prescribed)
 
 
-def map_labs(
-    labs: DataFrame, sample_labs: int | None = None, staging: str | None = None
-) -> DataFrame:
-    """Laboratory results; all of them, unless ``sample_labs`` asks for the first few by id."""
-    if sample_labs is not None:
-        labs = labs.orderBy("lab_id").limit(sample_labs)
+def map_labs(labs: DataFrame, staging: str | None = None) -> DataFrame:
+    """Laboratory results, all of them."""
     node = F.col(NODE)
     test = F.col("test_code_loinc")
     results = _node_triples(
@@ -217,9 +212,7 @@ def build_graph(
     spark: SparkSession,
     tables: dict[str, DataFrame],
     dictionaries: Dictionaries,
-    sample_labs: int | None = None,
-    keep: int = 12,
-    sep: str = "",
+    keep: int = 32,
     title: str = v.DEFAULT_TITLE,
     staging: str | None = None,
 ) -> DataFrame:
@@ -234,10 +227,10 @@ def build_graph(
         spark,
         [
             lambda: map_imaging(tables["dicom_images"], tables["patients"], staging),
-            lambda: map_prescriptions(tables["prescriptions"], keep, sep, staging),
-            lambda: map_labs(tables["lab_results"], sample_labs, staging),
-            lambda: map_conditions(tables["conditions"], keep, sep, staging),
-            lambda: map_allergies(tables["allergies"], ruled_out, keep, sep, staging),
+            lambda: map_prescriptions(tables["prescriptions"], keep, staging),
+            lambda: map_labs(tables["lab_results"], staging),
+            lambda: map_conditions(tables["conditions"], keep, staging),
+            lambda: map_allergies(tables["allergies"], ruled_out, keep, staging),
             lambda: map_patients(tables["patients"], staging),
             lambda: v.vocabulary(spark, title),
             lambda: v.concepts(spark, dictionaries),

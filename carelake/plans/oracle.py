@@ -13,9 +13,9 @@ def pseudo(value: str) -> str:
     return f"substr(sha256(cast({value} as varchar)), 1, 16)"
 
 
-def key12(*parts: str) -> str:
-    joined = " || ".join(f"cast({p} as varchar)" for p in parts)
-    return f"substr(sha256({joined}), 1, 12)"
+def node_key(*parts: str) -> str:
+    framed = " || ".join(f"coalesce(length(cast({p} as varchar)) || ':' || cast({p} as varchar), '-')" for p in parts)
+    return f"substr(sha256({framed}), 1, 32)"
 
 
 def checksum(*columns: str) -> str:
@@ -107,10 +107,10 @@ def triples(source: str, *rows: tuple) -> str:
 
 PATIENT = "'res:patient/' || patient_id_pseudo"
 STUDY, DICOM = "'res:imagingstudy/' || study_uid", "'res:dicom/' || dicom_id"
-CONDITION = "'res:condition/' || " + key12("patient_id", "icd10_code")
-ALLERGY = "'res:allergy/' || " + key12("patient_id", "allergy")
+CONDITION = "'res:condition/' || " + node_key("patient_id", "icd10_code")
+ALLERGY = "'res:allergy/' || " + node_key("patient_id", "allergy")
 DRUG = "'res:drug/' || drug"
-RX = "'res:prescription/' || " + key12("patient_id", "drug", '"date"')
+RX = "'res:prescription/' || " + node_key("patient_id", "drug", '"date"')
 LAB, LOINC = "'res:lab/' || lab_id", "'res:loinc/' || test_code_loinc"
 
 MAPPED = {

@@ -39,12 +39,13 @@ def test_surrogate_uid_matches_big_integers(spark):
 
 def test_node_id_with_a_missing_part(spark):
     df = spark.createDataFrame([("P1", "Aspirin", None)], "p string, d string, t string")
-    found = df.select(
-        node_id(F.col("p"), F.col("d"), F.col("t")).alias("plain"),
-        node_id(F.col("p"), F.col("d"), F.col("t"), keep=24, sep="|").alias("long"),
-    ).first()
-    assert found.plain == sha("P1Aspirin")[:12]
-    assert found.long == sha("P1|Aspirin|")[:24]
+    found = df.select(node_id(F.col("p"), F.col("d"), F.col("t")).alias("id")).first()
+    assert found.id == sha("2:P17:Aspirin-")[:32]
+
+
+def test_node_ids_of_keys_that_run_into_each_other_differ(spark):
+    df = spark.createDataFrame([("1", "23"), ("12", "3"), ("123", ""), ("123", None)], "p string, d string")
+    assert df.select(node_id(F.col("p"), F.col("d")).alias("id")).distinct().count() == 4
 
 
 @pytest.mark.parametrize(
