@@ -18,9 +18,17 @@ NOT_FOUND = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
 # ----------------------------------------------------------------------- read
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType = schemas.EHR_PATIENTS) -> DataFrame:
-    """CSV with a header line."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType = schemas.EHR_PATIENTS, multi_line: bool = False
+) -> DataFrame:
+    """CSV with a header line; columns are found by their names in it.
+
+    Quotes inside a quoted field are doubled. With ``multi_line``, a quoted
+    field may hold line breaks, and a file is then read by one task.
+    """
+    options = {"header": True, "escape": '"', "multiLine": multi_line}
+    found = spark.read.options(**options).csv(path)
+    return found.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_json_array(
@@ -97,7 +105,9 @@ def count_files(spark: SparkSession, root: str, pattern: str = "*.dcm") -> int:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """CSV that :func:`read_csv` reads back, but for an empty text, which comes back as null."""
+    options = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(**options).csv(path)
 
 
 def write_ndjson(df: DataFrame, path: str) -> None:

@@ -147,3 +147,18 @@ def test_csv_export(spark, tmp_path, rows):
     df = spark.createDataFrame([("P1", "x,y"), ("P2", None)], "a string, b string")
     io.export_csv({"t": df}, str(tmp_path))
     assert rows(io.read_csv(spark, str(tmp_path / "t"), df.schema)) == rows(df)
+
+
+def test_csv_columns_go_by_name_and_quotes_are_undone(spark, tmp_path, rows):
+    (tmp_path / "p.csv").write_text(
+        'patient_id,last_name,first_name,birthDate,gender,country\nP1,El Amrani,"Al ""Bo"" X",1970-05-01,male,FR\nP2,"a, b",,,,NA\n'
+    )
+    found = io.read_csv(spark, str(tmp_path / "p.csv")).select("patient_id", "first_name", "last_name", "country")
+    assert rows(found) == [("P1", 'Al "Bo" X', "El Amrani", "FR"), ("P2", None, "a, b", "NA")]
+
+
+def test_csv_round_trip_of_awkward_text(spark, tmp_path, rows):
+    texts = [("1", 'say "so"'), ("2", " a, b "), ("3", "two\nlines"), ("4", None)]
+    df = spark.createDataFrame(texts, "id string, text string")
+    io.write_csv(df, str(tmp_path / "t"))
+    assert rows(io.read_csv(spark, str(tmp_path / "t"), df.schema, multi_line=True)) == sorted(texts, key=repr)
