@@ -171,8 +171,9 @@ def _scored(model: OrdinalModel, min_grade: int, least: float):
                 terms = _terms(tokens)
                 if len(known) > CACHED:
                     known.clear()
-                for t in terms - known.keys():
-                    known[t] = weights[_place(t)]
+                for t in terms:
+                    if t not in known:
+                        known[t] = weights[_place(t)]
                 score = math.fsum(map(known.__getitem__, terms)) * TERM_SCALE / math.sqrt(max(len(terms), 1))
                 tails = model.tails(score + float(by_shape @ _shape(text, tokens)))
                 keep = bool(tokens) and tails[min_grade - 1] >= least
