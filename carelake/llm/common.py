@@ -84,7 +84,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 # ------------------------------------------------------------------------ words
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 BASE = 0x100000001B3
 MASK = (1 << 64) - 1
 _WORD = np.zeros(256, bool)
@@ -130,10 +130,17 @@ def word_hashes(text: str) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash per word of a text, and the byte each word starts at in its lower case.
 
     A word is a run of ASCII letters and digits and of characters beyond
-    ASCII; case does not count. Long texts are worked through in pieces cut
-    between words, so the memory besides the result stays bounded.
+    ASCII; case does not count.
+    """
+    return hash_words(np.frombuffer(text.lower().encode(), np.uint8))
+
+
+def hash_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for text given as bytes in lower case.
+
+    Long texts are worked through in pieces cut between words, so the memory
+    besides the result stays bounded.
     """
-    data = np.frombuffer(text.lower().encode(), np.uint8)
     if len(data) <= PIECE:
         starts, ends = _word_places(data)
         return _hash_spans(data, starts, ends), starts

@@ -2,39 +2,83 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import itertools
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.common import arrow_rows, in_batches, mix64, signed, staged, take, whole_text, word_hashes
+from carelake.llm.common import hash_words, mix64, signed, staged, take, whole_text
 
 SIMILARITY = 0.8
-# Words are counted by this many hash slots (8 MB), however many words there are.
-RARITY_SLOTS = 1 << 20
+# Words are counted by this many hash slots (one byte each, 4 MB), however many words there are.
+RARITY_SLOTS = 1 << 22
 # Up to this many line ids (8 bytes each, 2 MB) are sent to the tasks that read
 # their words; more stay in Spark as a join.
 MAX_SENT = 1 << 18
+# Characters of text worked through at once; a longer text is alone.
+GROUP = 1 << 20
+# A word is this many bits of its hash. Above them stands its class of rarity,
+# and above that the number of the line among those that are sorted together.
+WORD_BITS, CLASS_BITS, SLICE_BITS = 46, 6, 12
+_WORD = np.uint64((1 << WORD_BITS) - 1)
+_CODE = np.uint64((1 << WORD_BITS + CLASS_BITS) - 1)
+
+
+def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list[str], pa.RecordBatch]]:
+    """Texts of about ``GROUP`` characters together, with the rows they come from."""
+    for batch in batches:
+        texts, first, size = batch.column("text").to_pylist(), 0, 0
+        for i, text in enumerate(texts):
+            if i > first and size + len(text) > GROUP:
+                yield texts[first:i], batch.slice(first, i - first)
+                first, size = i, 0
+            size += len(text)
+        if texts:
+            yield texts[first:], batch.slice(first)
+
+
+def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The words of all texts, and the line of each, counted through all texts."""
+    data = np.frombuffer("\n".join(texts).lower().encode(), np.uint8)
+    words, starts = hash_words(data)
+    return words >> np.uint64(64 - WORD_BITS), np.searchsorted(np.flatnonzero(data == 10), starts)
 
 
 class Lines:
-    """The distinct words of each line of a text, rarest first, as flat arrays."""
-
-    def __init__(self, text: str, counts: np.ndarray):
-        words, starts = word_hashes(text)
-        breaks = np.flatnonzero(np.frombuffer(text.lower().encode(), np.uint8) == 10)
-        line = np.searchsorted(breaks, starts)
-        rarity = counts[(words & np.uint64(len(counts) - 1)).astype(np.int64)]
-        order = np.lexsort((words, rarity, line))
-        words, line, rarity = words[order], line[order], rarity[order]
-        new = np.ones(len(words), bool)
-        new[1:] = (words[1:] != words[:-1]) | (line[1:] != line[:-1])
-        self.words, self.rarity, line = words[new], rarity[new], line[new]
-        self.first = np.flatnonzero(np.diff(line, prepend=-1)) if len(line) else np.zeros(0, np.int64)
-        self.number = line[self.first]
-        self.size = np.diff(np.append(self.first, len(line)))
+    """The distinct words of each line of some texts, rarest first, as flat arrays.
+
+    ``first`` and ``size`` tell where the words of each line with a word are,
+    ``text`` and ``number`` which line of which text it is.
+    """
+
+    def __init__(self, texts: list[str], classes: np.ndarray | None = None):
+        words, line = _words(texts)
+        if classes is not None:
+            rarity = classes[(words & np.uint64(len(classes) - 1)).astype(np.int64)]
+            words |= rarity.astype(np.uint64) << np.uint64(WORD_BITS)
+        codes, owners = [], []
+        step = 1 << SLICE_BITS
+        cuts = np.searchsorted(line, np.arange(0, (line[-1] if len(line) else 0) + step + 1, step))
+        for nth, (start, stop) in enumerate(itertools.pairwise(cuts.tolist())):
+            key = line[start:stop].astype(np.uint64) - np.uint64(nth * step)
+            key = key << np.uint64(WORD_BITS + CLASS_BITS) | words[start:stop]
+            key.sort()
+            new = np.ones(len(key), bool)
+            new[1:] = key[1:] != key[:-1]
+            key = key[new]
+            codes.append(key & _CODE)
+            owners.append((key >> np.uint64(WORD_BITS + CLASS_BITS)).astype(np.int64) + nth * step)
+        codes, owner = np.concatenate(codes), np.concatenate(owners)
+        self.words, self.rarity = codes & _WORD, codes >> np.uint64(WORD_BITS)
+        self.first = np.flatnonzero(np.diff(owner, prepend=-1))
+        self.size = np.diff(np.append(self.first, len(owner)))
+        begins = np.cumsum([0] + [t.count("\n") + 1 for t in texts])
+        line = owner[self.first]
+        self.text = np.searchsorted(begins, line, "right") - 1
+        self.number = line - begins[self.text]
 
     def ids(self) -> np.ndarray:
         """A 64-bit id per line that depends on its set of words alone."""
@@ -46,24 +90,45 @@ class Lines:
 
     def bitmaps(self) -> tuple[np.ndarray, np.ndarray]:
         """128 bits per line, one for the hash of each word."""
-        bit = np.uint64(1) << ((self.words >> np.uint64(40)) & np.uint64(63))
-        upper = (self.words >> np.uint64(50)) & np.uint64(1) == 1
+        bit = np.uint64(1) << ((self.words >> np.uint64(30)) & np.uint64(63))
+        upper = (self.words >> np.uint64(40)) & np.uint64(1) == 1
         zero = np.uint64(0)
         return (
             np.bitwise_or.reduceat(np.where(upper, zero, bit), self.first),
             np.bitwise_or.reduceat(np.where(upper, bit, zero), self.first),
         )
 
+    def words_of(self, lines: np.ndarray) -> pa.ListArray:
+        """The words of some lines, a list for each."""
+        size = self.size[lines]
+        offsets = np.append(0, np.cumsum(size))
+        at = np.arange(offsets[-1]) + np.repeat(self.first[lines] - offsets[:-1], size)
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(signed(self.words[at])))
+
+
+class _Met:
+    """Line ids this task has met lately; forgets all when they become many."""
+
+    def __init__(self, most: int = 1 << 20):
+        self.most, self.ids = most, set()
+
+    def fresh(self, names: np.ndarray) -> np.ndarray:
+        """Places of the ids not met before, the first of each."""
+        if len(self.ids) > self.most:
+            self.ids.clear()
+        names, place = np.unique(names, return_index=True)
+        new = np.array([n not in self.ids for n in names.tolist()], bool)
+        self.ids.update(names[new].tolist())
+        return np.sort(place[new])
+
 
 def _counted(slots: int):
     schema = pa.schema([("slot", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(slots, np.int64)
-        for (text,) in arrow_rows(batches, "text"):
-            words = word_hashes(text)[0]
-            slot, n = np.unique((words & np.uint64(slots - 1)).astype(np.int64), return_counts=True)
-            total[slot] += n
+        for texts, _ in _groups(batches):
+            np.add.at(total, (_words(texts)[0] & np.uint64(slots - 1)).astype(np.int64), 1)
         used = np.flatnonzero(total)
         for i in range(0, len(used), 1 << 16):
             part = used[i : i + (1 << 16)]
@@ -72,34 +137,29 @@ def _counted(slots: int):
     return run
 
 
-def word_counts(texts: DataFrame, slots: int = RARITY_SLOTS) -> np.ndarray:
-    """How often the words of each hash slot occur in all texts; ``slots`` numbers, whatever the input."""
+def rarity_classes(texts: DataFrame, slots: int = RARITY_SLOTS) -> np.ndarray:
+    """How common the words of each hash slot are in all texts: twice the binary logarithm of their number.
+
+    ``slots`` bytes, whatever the input; 0 stands for one occurrence.
+    """
     found = texts.select("text").mapInArrow(_counted(slots), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    counts = np.zeros(slots, np.int64)
-    table = found.toArrow()
-    counts[table.column("slot").to_numpy()] = table.column("n").to_numpy()
-    return counts
+    level = F.least(F.floor(F.log2("n") * 2), F.lit((1 << CLASS_BITS) - 1)).cast("byte").alias("level")
+    known = found.where("n > 1").select("slot", level).toArrow()
+    classes = np.zeros(slots, np.uint8)
+    classes[known.column("slot").to_numpy()] = known.column("level").to_numpy()
+    return classes
 
 
 PLACES = "doc_id long, text_hash long, line int, id long"
 ENTRIES = "word long, id long, shape long, low long, high long"
 
 
-def _places():
-    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("line", pa.int32()), ("id", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat = np.zeros(1, np.int64)
-
-        def rows():
-            for doc_id, text_hash, text in arrow_rows(batches, "doc_id", "text_hash", "text"):
-                lines = Lines(text, flat)
-                for number, name in zip(lines.number.tolist(), signed(lines.ids()).tolist(), strict=True):
-                    yield doc_id, text_hash, number, name
-
-        yield from in_batches(rows(), schema, 16384)
-
-    return run
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for texts, rows in _groups(batches):
+        lines = Lines(texts)
+        columns = [rows.column(n).take(pa.array(lines.text)) for n in ("doc_id", "text_hash")]
+        columns += [pa.array(lines.number, pa.int32()), pa.array(signed(lines.ids()))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "line", "id"])
 
 
 def _entries(sent, similarity: float):
@@ -112,20 +172,18 @@ def _entries(sent, similarity: float):
     schema = pa.schema([(n, pa.int64()) for n in ("word", "id", "shape", "low", "high")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, met = sent.value, set()
-        for (text,) in arrow_rows(batches, "text"):
-            lines = Lines(text, counts)
+        met = _Met()
+        for texts, _ in _groups(batches):
+            lines = Lines(texts, sent.value)
             if not len(lines.first):
                 continue
             names = signed(lines.ids())
-            fresh = np.array([n not in met for n in names.tolist()])
-            met.update(names.tolist())
-            if len(met) > 1 << 20:
-                met.clear()
-            prefix = lines.size - np.ceil(similarity * lines.size - 1e-9).astype(np.int64) + 1
+            fresh = np.zeros(len(names), bool)
+            fresh[met.fresh(names)] = True
+            prefix = np.where(fresh, lines.size - np.ceil(similarity * lines.size - 1e-9).astype(np.int64) + 1, 0)
             owner = np.repeat(np.arange(len(names)), lines.size)
             place = np.arange(len(owner)) - lines.first[owner]
-            pick = np.flatnonzero(fresh[owner] & (place < prefix[owner]) & (lines.rarity > 1))
+            pick = np.flatnonzero((place < prefix[owner]) & (lines.rarity > 0))
             owner, place = owner[pick], place[pick]
             low, high = lines.bitmaps()
             columns = (
@@ -137,27 +195,36 @@ def _entries(sent, similarity: float):
 
 
 def _word_lists(known: np.ndarray | None):
-    schema = pa.schema([("id", pa.int64()), ("words", pa.list_(pa.int64()))])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met = _Met()
+        for texts, _ in _groups(batches):
+            lines = Lines(texts)
+            names = signed(lines.ids())
+            place = np.arange(len(names))
+            if known is not None:  # sorted, so that a look-up does not go through all of it
+                at = np.minimum(np.searchsorted(known, names), max(len(known) - 1, 0))
+                place = place[known[at] == names] if len(known) else place[:0]
+            place = place[met.fresh(names[place])]
+            yield pa.RecordBatch.from_arrays([pa.array(names[place]), lines.words_of(place)], ["id", "words"])
+
+    return run
+
 
+def _verified(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, met = np.zeros(1, np.int64), set()
-
-        def rows():
-            for (text,) in arrow_rows(batches, "text"):
-                lines = Lines(text, flat)
-                names = signed(lines.ids())
-                wanted = np.ones(len(names), bool)
-                if known is not None:  # sorted, so that a look-up does not go through all of it
-                    at = np.minimum(np.searchsorted(known, names), max(len(known) - 1, 0))
-                    wanted = known[at] == names if len(known) else ~wanted
-                for i in np.flatnonzero(wanted).tolist():
-                    if names[i] not in met:
-                        met.add(names[i])
-                        yield int(names[i]), signed(lines.words[lines.first[i] : lines.first[i] + lines.size[i]])
-                if len(met) > 1 << 20:
-                    met.clear()
-
-        yield from in_batches(rows(), schema, 1024)
+        most = 1 << 64 - WORD_BITS - 2
+        for whole in batches:
+            for batch in (whole.slice(i, most) for i in range(0, whole.num_rows, most)):
+                keys, sizes = [], []
+                for name in ("in_a", "in_b"):
+                    column = batch.column(name)
+                    sizes.append(np.diff(column.offsets.to_numpy()))
+                    pair = np.repeat(np.arange(batch.num_rows), sizes[-1])
+                    keys.append(pair << WORD_BITS | column.flatten().to_numpy())
+                key = np.sort(np.concatenate(keys))
+                common = np.bincount(key[1:][key[1:] == key[:-1]] >> WORD_BITS, minlength=batch.num_rows)
+                alike = pa.array(common / (sizes[0] + sizes[1] - common) >= similarity - 1e-12)
+                yield pa.RecordBatch.from_arrays([batch.column(n).filter(alike) for n in ("a", "b")], ["a", "b"])
 
     return run
 
@@ -171,7 +238,7 @@ def similar_lines(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     the filters loses a pair.
     """
     spark = texts.sparkSession
-    sent = spark.sparkContext.broadcast(word_counts(texts))
+    sent = spark.sparkContext.broadcast(rarity_classes(texts))
     entries = texts.select("text").mapInArrow(_entries(sent, similarity), ENTRIES)
     entries = entries.repartition("word").dropDuplicates(["word", "id"])
 
@@ -203,9 +270,8 @@ def similar_lines(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame
         lists = texts.select("text").mapInArrow(_word_lists(None), "id long, words array<long>").join(named, "id", "left_semi")
     lists = staged(lists.dropDuplicates(["id"]))
     joined = pairs.join(lists.toDF("a", "in_a"), "a").join(lists.toDF("b", "in_b"), "b")
-    common = F.size(F.array_intersect("in_a", "in_b"))
-    share = common / (F.size("in_a") + F.size("in_b") - common)
-    checked = staged(joined.where(share >= similarity - 1e-12).select("a", "b"))
+    pairs = joined.select("a", "b", "in_a", "in_b").mapInArrow(_verified(similarity), "a long, b long")
+    checked = staged(pairs)
     sent.unpersist()
     return checked
 
@@ -230,7 +296,7 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     texts = take(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), whole_text().alias("text"))
     texts = texts.withColumn("text_hash", F.xxhash64("text")).select("doc_id", "text_hash", "text")
     links = similar_lines(texts, similarity)
-    places = staged(texts.mapInArrow(_places(), PLACES))
+    places = staged(texts.mapInArrow(_places, PLACES))
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "line")
     sets = places.groupBy("id").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
     both = links.union(links.select("b", "a")).toDF("id", "other")
