@@ -60,15 +60,11 @@ def _missing(df: DataFrame, columns: Sequence[str]) -> Column:
 def assert_required(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The same rows; the job fails on the first row that lacks a required field.
 
-    The check sits in the first required column, so a consumer must read it.
+    The check is a filter, so it holds whichever columns a consumer reads.
     """
-    first = columns[0]
     missing = _missing(df, columns)
     failure = F.raise_error(F.concat(F.lit("required field missing: "), missing))
-    checked = F.when(missing == "", F.col(first)).otherwise(
-        failure.cast(df.schema[first].dataType)
-    )
-    return df.withColumn(first, checked)
+    return df.where(F.when(missing == "", F.lit(True)).otherwise(failure.cast("boolean")))
 
 
 def split_required(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:

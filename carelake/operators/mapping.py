@@ -196,7 +196,7 @@ def map_labs(labs: DataFrame, staging: str | None = None) -> DataFrame:
         ["patient_id_pseudo", "value", "unit", "date", "test_code_loinc", "test_name"],
         v.typed(node, "ont:LabResult"),
         v.triple(node, "ont:hasPatient", _patient(), IRI),
-        v.triple(node, "ont:value", number(F.col("value")), dtype=XSD_FLOAT),
+        v.triple(node, "ont:value", F.nanvl(number(F.col("value")), F.lit(None).cast("double")), dtype=XSD_FLOAT),
         v.triple(node, "ont:unit", F.col("unit")),
         v.triple(node, "ont:date", F.col("date"), dtype=XSD_DATE),
         v.triple(node, "ont:loincCode", F.col("test_code_loinc")),

@@ -31,7 +31,6 @@ CONDITION_LABELS = [("1", "Urgent"), ("2", "High"), ("3", "Medium")]
 ALLERGY_FAMILIES = [("AUTOMOBILE", "ECONOMY"), ("BUILDING", "PROMO")]
 UNIT_RULES = [("click", "µmol/L", "mg/dL", 88.4, 3)]
 UNLISTED_TYPE = "STANDARD"
-HIGH_VALUE_ORDER = 450_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -85,10 +84,10 @@ def ehr_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def clinical_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        table(spark, sf_dir, "orders")
-        .where(F.col("o_totalprice") > HIGH_VALUE_ORDER)
-        .groupBy(_text("o_custkey").alias("patient_id"))
-        .agg(F.max("o_orderpriority").alias("gender_fhir"))
+        table(spark, sf_dir, "events")
+        .where(F.col("user_id").isNotNull())
+        .groupBy(_text("user_id").alias("patient_id"))
+        .agg(F.max("event_type").alias("gender_fhir"))
     )
 
 
@@ -241,7 +240,9 @@ def _write_lake(spark: SparkSession, sf_dir: str, path: str) -> None:
     zones.write_labs(zones.silver_labs(raw.labs, bound), f"{silver}/lab_results")
     gold = zones.gold_tables(zones.read_silver(spark, silver, zones.SILVER_TABLES))
     io.write_tables(gold, f"{path}/gold")
-    written = {name: io.table_or_empty(spark, f"{path}/gold", name) for name in gold}
+    written = {f"gold/{name}": io.table_or_empty(spark, f"{path}/gold", name) for name in gold}
+    cleaned = zones.read_silver(spark, silver, zones.SILVER_TABLES)
+    written |= {f"silver/{name}": df for name, df in cleaned.items()}
     steps = zones.SILVER_STEPS + zones.GOLD_STEPS
     zones.write_catalog(spark, path, zones.zone_datasets(path), written, steps)
 

@@ -50,8 +50,8 @@ from (select lab_id, patient_id, test_code_loinc, test_name,
       from ({RAW_LABS})) h
 left join {RANGES} on test_name = name"""
 CLINICAL = """
-select cast(o_custkey as varchar) patient_id, max(o_orderpriority) gender_fhir
-from orders where o_totalprice > 450000 group by 1"""
+select cast(user_id as varchar) patient_id, max(event_type) gender_fhir
+from events where user_id is not null group by 1"""
 PATIENTS = f"""
 select cast(c_custkey as varchar) patient_id, c_name first_name, cast(null as varchar) last_name,
   c_mktsegment gender, cast(null as varchar) "birthDate", cast(c_nationkey as varchar) country,
@@ -294,13 +294,18 @@ def _gold(name: str) -> str:
 
 def _lineage() -> str:
     edges = [
-        ("patients", "patients", "unify"),
-        ("patients", "clinical_patients", "unify"),
-        *[(t, t, "curate") for t in TABLES if t != "patients"],
+        ("gold/patients", "silver/patients", "unify"),
+        ("gold/patients", "silver/clinical_patients", "unify"),
+        *[(f"gold/{t}", f"silver/{t}", "curate") for t in TABLES if t != "patients"],
+        ("silver/patients", "bronze/ehr", "pseudonymize"),
+        ("silver/lab_results", "bronze/lab", "harmonize"),
+        ("silver/dicom_images", "bronze/dicom", "read_headers"),
+        *[(f"silver/{t}", "bronze/fhir", "route") for t in ("clinical_patients", "conditions", "allergies", "prescriptions")],
     ]
+    rows = TABLES | {"clinical_patients": CLINICAL}
     return " union all ".join(
-        f"select '{RES}dataset/gold/{d}' as derived, '{RES}dataset/silver/{s}' as source, "
-        f"'{RES}step/{step}' as step, count(*) as records from ({TABLES[d]})"
+        f"select '{RES}dataset/{d}' as derived, '{RES}dataset/{s}' as source, "
+        f"'{RES}step/{step}' as step, count(*) as records from ({rows[d.split('/')[1]]})"
         for d, s, step in edges
     )
 
@@ -376,7 +381,8 @@ ORACLE = {
           coalesce(ref_low, 0.0) as ref_low, ref_high
         from ({LABS}) where value is not null and not coalesce(value > 2 * ref_high, false)""",
     "required_fields": f"""
-        select p.patient_id, {_missing(['p.patient_id', 'gender_fhir', 'last_name']).replace("'p.patient_id'", "'patient_id'")} as missing_fields
+        select p.patient_id, case when gender_fhir is null then 'gender_fhir' end as missing_fields,
+          gender_fhir is not null as complete
         from ({PATIENTS}) p left join ({CLINICAL}) c on c.patient_id = p.patient_id""",
     "map_terms": f"select patient_id, icd10_code, icd10_label from ({CONDITIONS})",
     "map_family": f'select patient_id, drug, "date", drug_family from ({PRESCRIPTIONS})',

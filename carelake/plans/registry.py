@@ -88,8 +88,10 @@ def repair_values(spark: SparkSession, sf: str) -> DataFrame:
 
 def required_fields(spark: SparkSession, sf: str) -> DataFrame:
     people = b.ehr_patients(spark, sf).join(b.clinical_patients(spark, sf), "patient_id", "left")
-    _, incomplete = harmonize.split_required(people, ["patient_id", "gender_fhir", "last_name"])
-    return incomplete.select("patient_id", "missing_fields")
+    complete, incomplete = harmonize.split_required(people, ["patient_id", "gender_fhir"])
+    complete = complete.withColumn("missing_fields", F.lit(None).cast("string"))
+    sides = [(complete, True), (incomplete, False)]
+    return _union([df.select("patient_id", "missing_fields", F.lit(flag).alias("complete")) for df, flag in sides])
 
 
 # ----------------------------------------------------------------- integration
@@ -430,7 +432,7 @@ def catalog_datasets(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lineage(spark: SparkSession, sf: str) -> DataFrame:
-    """What each gold table was derived from, by which step, with its records."""
+    """What each silver and gold table was derived from, by which step, with its records."""
     found = match(
         zones.read_catalog(spark, b.stored_lake(spark, sf)),
         [

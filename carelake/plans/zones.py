@@ -202,17 +202,15 @@ def write_catalog(
     spark: SparkSession,
     root: str,
     datasets: list[Dataset],
-    gold: dict[str, DataFrame],
+    tables: dict[str, DataFrame],
     steps: list[tuple[str, str, str]],
 ) -> None:
-    """Describe datasets, the quality of the gold tables and the lineage as one small graph.
+    """Describe datasets, the quality of the written ``tables`` and the lineage as one small graph.
 
     Each table is read once.
     """
     parts = [catalog_triples(catalog_entries(spark, datasets))]
-    parts += [
-        quality_triples(quality_profile(df, f"gold/{name}")) for name, df in gold.items()
-    ]
+    parts += [quality_triples(quality_profile(df, name)) for name, df in tables.items()]
     parts.append(lineage_triples(lineage_table(spark, steps)))
     triples = reduce(DataFrame.unionByName, parts).dropDuplicates()
     triples.write.mode("overwrite").parquet(f"{root}/catalog")
@@ -326,7 +324,9 @@ def run_pipeline(
         (f"bronze/{d}", "bronze", f"{in_dir}/{d}", form) for d, form in BRONZE_FORMATS.items()
     ]
     datasets += zone_datasets(out_dir)
-    write_catalog(spark, out_dir, datasets, gold, SILVER_STEPS + GOLD_STEPS)
+    profiled = {f"gold/{name}": df for name, df in gold.items()}
+    profiled |= {f"silver/{name}": silver[name] for name in SILVER_TABLES}
+    write_catalog(spark, out_dir, datasets, profiled, SILVER_STEPS + GOLD_STEPS)
     return PipelineResult(
         gold,
         predefined_queries(graph, names),

@@ -103,6 +103,9 @@ def test_required_fields_fail_or_split(spark, rows):
     assert rows(harmonize.assert_required(good, ["k", "n"])) == [("a", 1)]
     with pytest.raises(Exception, match="required field missing: (k|n)"):
         harmonize.assert_required(df, ["k", "n"]).collect()
+    for part in (harmonize.assert_required(df, ["k", "n"]), harmonize.assert_required(df, ["k"]).select("n")):
+        with pytest.raises(Exception, match="required field missing"):
+            part.count()
 
 
 def test_repair_rules_apply_in_order(spark, rows):
