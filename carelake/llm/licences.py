@@ -193,7 +193,10 @@ def train(docs: DataFrame, max_unknown: int = MAX_UNKNOWN, seed: str = "licence-
     """
     texts = take(docs, "text").where("text IS NOT NULL")
     draw = F.md5(F.concat(F.lit(f"{seed}:"), F.xxhash64("text").cast("string")))
-    chosen = texts.select(draw.alias("draw"), "text").orderBy("draw", "text").limit(max(1, max_unknown // 10))
+    drawn = texts.select(draw.alias("draw"), "text")
+    # Each task offers its smallest hashes alone; texts follow for the chosen ones, one of equal texts.
+    hashes = drawn.select("draw").orderBy("draw").limit(max(1, max_unknown // 10)).distinct()
+    chosen = drawn.join(F.broadcast(hashes), "draw", "left_semi").dropDuplicates(["draw"])
     paragraphs = sorted({p for r in chosen.select("text").collect() for p in r[0].split("\n")}, key=lambda p: hashlib.md5(p.encode()).digest())
     known = [word_ngrams(t) for name in TEMPLATES for t in TEMPLATES[name]]
 
