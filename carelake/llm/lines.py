@@ -18,11 +18,19 @@ RARITY_SLOTS = 1 << 22
 # Up to this many line ids (8 bytes each, 2 MB) are sent to the tasks that read
 # their words; more stay in Spark as a join.
 MAX_SENT = 1 << 18
+# Lines with more words are paired one by one.
+LONG = 512
+# Lines of a word that are compared with each other at once, and lines of
+# several words that are, if fewer.
+BLOCK, TOGETHER = 1024, 64
+# Columns of a matrix of lines by words.
+COLUMNS = 4096
 # Characters of text worked through at once; a longer text is alone.
 GROUP = 1 << 20
 # A word is this many bits of its hash. Above them stands its class of rarity,
 # and above that the number of the line among those that are sorted together.
 WORD_BITS, CLASS_BITS, SLICE_BITS = 46, 6, 12
+PACKED = 6
 _WORD = np.uint64((1 << WORD_BITS) - 1)
 _CODE = np.uint64((1 << WORD_BITS + CLASS_BITS) - 1)
 
@@ -98,12 +106,14 @@ class Lines:
             np.bitwise_or.reduceat(np.where(upper, bit, zero), self.first),
         )
 
-    def words_of(self, lines: np.ndarray) -> pa.ListArray:
-        """The words of some lines, a list for each."""
+    def words_of(self, lines: np.ndarray) -> pa.BinaryArray:
+        """The words of some lines, packed."""
         size = self.size[lines]
         offsets = np.append(0, np.cumsum(size))
         at = np.arange(offsets[-1]) + np.repeat(self.first[lines] - offsets[:-1], size)
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(signed(self.words[at])))
+        data = np.ascontiguousarray(_packed(self.words[at]))
+        buffers = [None, pa.py_buffer((offsets * PACKED).astype(np.int32)), pa.py_buffer(data)]
+        return pa.BinaryArray.from_buffers(pa.binary(), len(lines), buffers)
 
 
 class _Met:
@@ -194,11 +204,26 @@ def _entries(sent, similarity: float):
     return run
 
 
-def _word_lists(known: np.ndarray | None):
+def _packed(words: np.ndarray) -> np.ndarray:
+    """The words as bytes, ``PACKED`` each."""
+    return words.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :PACKED]
+
+
+def _unpacked(column: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """The words of all rows of packed words, and how many each row has."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    words = np.zeros(((offsets[-1] - offsets[0]) // PACKED, 8), np.uint8)
+    words[:, :PACKED] = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].reshape(-1, PACKED)
+    return words.view("<u8").ravel(), np.diff(offsets) // PACKED
+
+
+def _word_lists(sent, known: np.ndarray | None):
+    """The words of lines, rarest first; with ``known`` (sorted) of these lines alone."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met = _Met()
         for texts, _ in _groups(batches):
-            lines = Lines(texts)
+            lines = Lines(texts, sent.value)
             names = signed(lines.ids())
             place = np.arange(len(names))
             if known is not None:  # sorted, so that a look-up does not go through all of it
@@ -210,32 +235,113 @@ def _word_lists(known: np.ndarray | None):
     return run
 
 
+def _incidence(row: np.ndarray, key: np.ndarray, rows: int) -> Iterator[np.ndarray]:
+    """Rows by keys that several rows hold, as matrices of zeros and ones with ``COLUMNS`` keys each."""
+    _, at, times = np.unique(key, return_inverse=True, return_counts=True)
+    number = np.cumsum(times > 1) - 1
+    shared = times[at] > 1
+    row, at = row[shared], number[at[shared]]
+    for start in range(0, int(number[-1]) + 1 if len(number) else 0, COLUMNS):
+        part = (at >= start) & (at < start + COLUMNS)
+        matrix = np.zeros((rows, min(COLUMNS, int(number[-1]) + 1 - start)), np.float32)
+        matrix[row[part], at[part] - start] = 1
+        yield matrix
+
+
+def _links_of(rows: pa.RecordBatch, group: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """How many links each row has in its group, and whether one of them comes earlier in the corpus.
+
+    A pair counts only in the group of its first common word, so once in all
+    groups. Where two blocks of a word meet, only pairs across them count.
+    """
+    words, size = _unpacked(rows.column("words"))
+    n = rows.num_rows
+    row = np.repeat(np.arange(n), size)
+    key = group[row].astype(np.uint64) << np.uint64(WORD_BITS) | words
+    hit = words == rows.column("word").to_numpy().view(np.uint64)[row]
+    place = np.zeros(n, np.int64)
+    place[row[hit]] = np.flatnonzero(hit)
+    before = np.arange(len(row)) < place[row]
+    common, earlier = np.zeros((n, n), np.float32), np.zeros((n, n), np.float32)
+    for matrix in _incidence(row, key, n):
+        common += matrix @ matrix.T
+    for matrix in _incidence(row[before], key[before], n):
+        earlier += matrix @ matrix.T
+    block, cross = rows.column("block").to_numpy(), rows.column("lo").to_numpy() != rows.column("hi").to_numpy()
+    link = common >= (similarity - 1e-9) * (size[:, None] + size[None, :] - common)
+    link &= (earlier == 0) & (group[:, None] == group[None, :]) & (~cross[:, None] | (block[:, None] != block[None, :]))
+    np.fill_diagonal(link, False)
+    unnamed = rows.column("doc_id").is_null().to_numpy(zero_copy_only=False)
+    doc = rows.column("doc_id").fill_null(0).to_numpy()
+    order = np.lexsort((rows.column("line").to_numpy(), rows.column("text_hash").to_numpy(), doc, unnamed))
+    rank = np.empty(n, np.int64)
+    rank[order] = np.arange(n)
+    return link.sum(1), (link & (rank[None, :] < rank[:, None])).any(1)
+
+
+def _linked(similarity: float):
+    """Links of the rows of each group (``word``, ``lo``, ``hi``), which stand together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.RecordBatch | None = None
+        for batch in itertools.chain(batches, [None]):
+            parts = [b for b in (held, batch) if b is not None and b.num_rows]
+            if not parts:
+                continue
+            rows = parts[0] if len(parts) == 1 else pa.concat_batches(parts)
+            keys = [rows.column(n).to_numpy() for n in ("word", "lo", "hi")]
+            new = np.logical_or.reduce([np.diff(k, prepend=k[0] - 1) != 0 for k in keys])
+            group, starts = np.cumsum(new), np.flatnonzero(new).tolist()
+            ends = starts[1:] + ([rows.num_rows] if batch is None else [])
+            held = None if batch is None else rows.slice(starts[-1])
+            first = 0
+            for end in ends:
+                if end - first < TOGETHER and end != ends[-1]:
+                    continue
+                part, own = rows.slice(first, end - first), group[first:end]
+                links, matched = _links_of(part, own - own[0], similarity)
+                some = np.flatnonzero(links)
+                columns = [part.column("id").take(pa.array(some)), pa.array(links[some]), pa.array(matched[some])]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "links", "matched"])
+                first = end
+
+    return run
+
+
 def _verified(similarity: float):
+    """The pairs at the similarity, one after the other: those of long lines."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        most = 1 << 64 - WORD_BITS - 2
-        for whole in batches:
-            for batch in (whole.slice(i, most) for i in range(0, whole.num_rows, most)):
-                keys, sizes = [], []
-                for name in ("in_a", "in_b"):
-                    column = batch.column(name)
-                    sizes.append(np.diff(column.offsets.to_numpy()))
-                    pair = np.repeat(np.arange(batch.num_rows), sizes[-1])
-                    keys.append(pair << WORD_BITS | column.flatten().to_numpy())
-                key = np.sort(np.concatenate(keys))
-                common = np.bincount(key[1:][key[1:] == key[:-1]] >> WORD_BITS, minlength=batch.num_rows)
-                alike = pa.array(common / (sizes[0] + sizes[1] - common) >= similarity - 1e-12)
-                yield pa.RecordBatch.from_arrays([batch.column(n).filter(alike) for n in ("a", "b")], ["a", "b"])
+        for batch in batches:
+            sides = [_unpacked(batch.column(n)) for n in ("in_a", "in_b")]
+            at, alike = [0, 0], []
+            for sizes in zip(*(s[1].tolist() for s in sides), strict=True):
+                a, b = (words[i : i + n] for (words, _), i, n in zip(sides, at, sizes, strict=True))
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                alike.append(common >= (similarity - 1e-9) * (sum(sizes) - common))
+                at = [i + n for i, n in zip(at, sizes, strict=True)]
+            keep = pa.array(alike, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(n).filter(keep) for n in ("a", "b")], ["a", "b"])
 
     return run
 
 
-def similar_lines(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``a < b``: ids of all pairs of different line sets with Jaccard at least ``similarity``; staged.
+def linked_lines(texts: DataFrame, places: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``id``, ``links`` and ``matched`` of each line set with Jaccard at least ``similarity`` to another.
+
+    ``links`` counts those sets, ``matched`` tells whether one of them stands
+    earlier in the corpus than the set does first (``places`` has each
+    ``id`` with its ``first``); staged.
 
     Prefix, length and positional filters and a bound on the overlap from 128
-    bits per line stand in the join condition, so that only pairs that may
-    reach the similarity leave the join; their words are then compared. None of
-    the filters loses a pair.
+    bits per line are the condition of a semi-join, which leaves the prefix
+    entries that have any partner, never pairs. Their words are brought
+    together by prefix word, in blocks of about ``BLOCK`` lines where many share
+    one, and each pair of blocks is one matrix product. So a group of similar
+    lines costs rows in proportion to its size and number of blocks. Words of
+    a line are repeated per entry; of lines above ``LONG`` words that would be
+    too many, so pairs with such a line are listed and verified one by one.
+    None of the filters loses a pair.
     """
     spark = texts.sparkSession
     sent = spark.sparkContext.broadcast(rarity_classes(texts))
@@ -248,32 +354,55 @@ def similar_lines(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     def later(name: str) -> Column:
         return part(name) - F.col(f"{name}_shape").bitwiseAND(F.lit((1 << 32) - 1))
 
-    sides = [
-        entries.select("word", *[F.col(c).alias(f"{s}_{c}") for c in ("id", "shape", "low", "high")]) for s in ("x", "y")
-    ]
+    x, y = (
+        entries.select(*[F.col(c).alias(f"{s}_{c}") for c in ("word", "id", "shape", "low", "high")]) for s in ("x", "y")
+    )
     both = part("x") + part("y")
     need = F.ceil(F.lit(similarity / (1 + similarity)) * both - 1e-9)
     differ = F.bit_count(F.col("x_low").bitwiseXOR(F.col("y_low"))) + F.bit_count(F.col("x_high").bitwiseXOR(F.col("y_high")))
     may = (
         (F.col("x_word") == F.col("y_word"))
-        & (F.col("x_id") < F.col("y_id"))
         & (F.least(later("x"), later("y")) >= need)
         & (both - differ >= need * 2)
     )
-    x, y = (s.withColumnRenamed("word", f"{n}_word") for s, n in zip(sides, ("x", "y"), strict=True))
-    pairs = staged(x.join(y, may).select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct())
-    named = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+    short = F.greatest(part("x"), part("y")) <= LONG
+    some = x.join(y, may & short & (F.col("x_id") != F.col("y_id")), "left_semi")
+    size = F.lit(similarity * LONG - 1)
+    listed = x.where(part("x") > size).join(y.where(part("y") > size), may & ~short & (F.col("x_id") < F.col("y_id")))
+    found = staged(
+        some.select(F.col("x_word").alias("word"), F.col("x_id").alias("id"), F.lit(None).cast("long").alias("other"))
+        .union(listed.select(F.lit(None), "x_id", "y_id"))
+    )
+    short_entries, pairs = found.where("other IS NULL"), found.where("other IS NOT NULL").select("id", "other").distinct()
+    named = found.select("id").union(pairs.select("other")).distinct()
     if named.count() <= MAX_SENT:
         known = np.sort(np.array([r[0] for r in named.collect()], np.int64))
-        lists = texts.select("text").mapInArrow(_word_lists(known), "id long, words array<long>")
+        lists = texts.select("text").mapInArrow(_word_lists(sent, known), "id long, words binary")
     else:
-        lists = texts.select("text").mapInArrow(_word_lists(None), "id long, words array<long>").join(named, "id", "left_semi")
-    lists = staged(lists.dropDuplicates(["id"]))
-    joined = pairs.join(lists.toDF("a", "in_a"), "a").join(lists.toDF("b", "in_b"), "b")
-    pairs = joined.select("a", "b", "in_a", "in_b").mapInArrow(_verified(similarity), "a long, b long")
-    checked = staged(pairs)
+        lists = texts.select("text").mapInArrow(_word_lists(sent, None), "id long, words binary").join(named, "id", "left_semi")
+    lists = lists.groupBy("id").agg(F.first("words").alias("words"))
+    first = [F.col(f"first.{n}").alias(n) for n in ("doc_id", "text_hash", "line")]
+    lists = staged(lists.join(places, "id").select("id", "words", *first))
+
+    many = short_entries.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
+    blocks = F.coalesce(F.ceil(F.col("n") / BLOCK), F.lit(1)).cast("int")
+    dealt = short_entries.join(many, "word", "left").select("word", "id", blocks.alias("blocks"))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    dealt = dealt.select("word", "id", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("word", "id", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+    together = dealt.join(lists, "id").repartition("word", "lo", "hi").sortWithinPartitions("word", "lo", "hi")
+    counted = together.mapInArrow(_linked(similarity), "id long, links long, matched boolean")
+
+    words = lists.select("id", "words")
+    joined = pairs.toDF("a", "b").join(words.toDF("a", "in_a"), "a").join(words.toDF("b", "in_b"), "b")
+    sure = joined.select("a", "b", "in_a", "in_b").mapInArrow(_verified(similarity), "a long, b long")
+    at = lists.select("id", F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "line").alias("at"))
+    sure = sure.join(at.toDF("a", "at_a"), "a").join(at.toDF("b", "at_b"), "b")
+    one = F.lit(1).cast("long")
+    counted = counted.union(sure.select("a", one, F.col("at_b") < F.col("at_a"))).union(sure.select("b", one, F.col("at_a") < F.col("at_b")))
+    total = staged(counted.groupBy("id").agg(F.sum("links").alias("links"), F.max("matched").alias("matched")))
     sent.unpersist()
-    return checked
+    return total
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -295,18 +424,10 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """
     texts = take(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), whole_text().alias("text"))
     texts = texts.withColumn("text_hash", F.xxhash64("text")).select("doc_id", "text_hash", "text")
-    links = similar_lines(texts, similarity)
     places = staged(texts.mapInArrow(_places, PLACES))
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "line")
     sets = places.groupBy("id").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-    both = links.union(links.select("b", "a")).toDF("id", "other")
-    known = staged(sets.join(both.select("id").distinct(), "id", "left_semi").select("id", "first"))
-    judged = (
-        both.join(known.toDF("id", "mine"), "id")
-        .join(known.toDF("other", "its"), "other")
-        .groupBy("id")
-        .agg(F.count(F.lit(1)).alias("links"), F.max(F.col("its") < F.col("mine")).alias("matched"))
-    )
+    judged = linked_lines(texts, sets.select("id", "first"), similarity)
     decided = sets.join(judged, "id", "left").where("n > 1 OR links IS NOT NULL")
     decided = staged(
         decided.select("id", "first", F.coalesce("matched", F.lit(False)).alias("matched"), F.coalesce("links", F.lit(0)).alias("links"))
