@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -18,13 +19,11 @@ RARITY_SLOTS = 1 << 22
 # Up to this many line ids (8 bytes each, 2 MB) are sent to the tasks that read
 # their words; more stay in Spark as a join.
 MAX_SENT = 1 << 18
-# Lines with more words are paired one by one.
-LONG = 512
-# Lines of a word that are compared with each other at once, and lines of
-# several words that are, if fewer.
-BLOCK, TOGETHER = 1024, 64
-# Columns of a matrix of lines by words.
-COLUMNS = 4096
+# Lines of several words that are compared together, and columns of a matrix of
+# lines by words.
+TOGETHER, COLUMNS = 64, 4096
+# The blocks of a word have numbers of this many bits.
+BLOCK_BITS = 9
 # Characters of text worked through at once; a longer text is alone.
 GROUP = 1 << 20
 # A word is this many bits of its hash. Above them stands its class of rarity,
@@ -35,6 +34,19 @@ _WORD = np.uint64((1 << WORD_BITS) - 1)
 _CODE = np.uint64((1 << WORD_BITS + CLASS_BITS) - 1)
 
 
+class Limits(NamedTuple):
+    """How the work is cut up; the result is the same for all values."""
+
+    #: Lines with more words are paired one by one.
+    long: int = 512
+    #: Lines that may meet at a word before their prefix entries are dealt into blocks.
+    crowd: int = 1 << 14
+    #: Lines of a word that are compared with each other at once.
+    block: int = 1024
+    #: Pairs that are filtered at once.
+    pairs: int = 1 << 18
+
+
 def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[list[str], pa.RecordBatch]]:
     """Texts of about ``GROUP`` characters together, with the rows they come from."""
     for batch in batches:
@@ -161,7 +173,7 @@ def rarity_classes(texts: DataFrame, slots: int = RARITY_SLOTS) -> np.ndarray:
 
 
 PLACES = "doc_id long, text_hash long, line int, id long"
-ENTRIES = "word long, id long, shape long, low long, high long"
+ENTRIES = "key long, id long, shape long, low long, high long"
 
 
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,14 +184,18 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "line", "id"])
 
 
-def _entries(sent, similarity: float):
+def _entries(sent, similarity: float, crowd: int):
     """Prefix entries of each line set met first in this task.
 
     Sets at the similarity share a word among the first ``size - need + 1`` of
     each, rarest first. A word whose slot counts 1 occurs once and joins
-    nothing. ``shape`` holds the size and the word's position.
+    nothing. ``shape`` holds the size and the word's position. ``key`` is the
+    word and, where its class allows more than ``crowd`` lines, a pair of blocks:
+    an entry goes to all pairs with its own block.
     """
-    schema = pa.schema([(n, pa.int64()) for n in ("word", "id", "shape", "low", "high")])
+    schema = pa.schema([(n, pa.int64()) for n in ("key", "id", "shape", "low", "high")])
+    most = np.exp2((np.arange(1 << CLASS_BITS) + 1) / 2)
+    blocks_of = np.clip(np.ceil(most / crowd), 1, 1 << BLOCK_BITS).astype(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met = _Met()
@@ -194,16 +210,83 @@ def _entries(sent, similarity: float):
             owner = np.repeat(np.arange(len(names)), lines.size)
             place = np.arange(len(owner)) - lines.first[owner]
             pick = np.flatnonzero((place < prefix[owner]) & (lines.rarity > 0))
+            blocks = blocks_of[lines.rarity[pick].astype(np.int64)]
+            other = np.arange(blocks.sum()) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+            pick = np.repeat(pick, blocks)
             owner, place = owner[pick], place[pick]
+            block = (mix64(names[owner].view(np.uint64)) % np.repeat(blocks, blocks).astype(np.uint64)).astype(np.int64)
+            key = signed(lines.words[pick]) | np.minimum(block, other) << WORD_BITS
+            key |= np.maximum(block, other) << WORD_BITS + BLOCK_BITS
             low, high = lines.bitmaps()
-            columns = (
-                signed(lines.words[pick]), names[owner], lines.size[owner] << 32 | place, signed(low)[owner], signed(high)[owner]
-            )
+            columns = key, names[owner], lines.size[owner] << 32 | place, signed(low)[owner], signed(high)[owner]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
 
     return run
 
 
+def _whole_groups(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Rows that come sorted by these columns, cut between groups, and the number of each row's group."""
+    held: pa.RecordBatch | None = None
+    for batch in itertools.chain(batches, [None]):
+        parts = [b for b in (held, batch) if b is not None and b.num_rows]
+        if not parts:
+            continue
+        rows = parts[0] if len(parts) == 1 else pa.concat_batches(parts)
+        keys = [rows.column(n).to_numpy() for n in names]
+        new = np.zeros(rows.num_rows, bool)
+        for key in keys:
+            new[1:] |= key[1:] != key[:-1]
+        end = rows.num_rows if batch is None else int(np.flatnonzero(new)[-1]) if new.any() else 0
+        held = rows.slice(end)
+        if end:
+            yield rows.slice(0, end), np.cumsum(new[:end])
+
+
+def _candidates(similarity: float, limits: Limits):
+    """Entries with a partner that passes the filters, once each; of long lines the pairs (``id`` < ``other``)."""
+    schema = pa.schema([(n, pa.int64()) for n in ("word", "id", "other")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, group in _whole_groups(batches, "key"):
+            word, name, shape, low, high = (rows.column(i).to_numpy() for i in range(5))
+            low, high = low.view(np.uint64), high.view(np.uint64)
+            size = shape >> 32
+            order = np.lexsort((name, size, group))
+            again = np.zeros(len(order), bool)
+            again[1:] = (np.diff(group[order]) == 0) & (np.diff(name[order]) == 0)
+            order = order[~again]
+            group, word, name, size, low, high = (c[order] for c in (group, word, name, size, low, high))
+            later = size - (shape[order] & ((1 << 32) - 1))
+            # Partners of a line stand after it, up to the largest size at the similarity.
+            reach = group << 32 | np.floor(size / similarity + 1e-9).astype(np.int64)
+            partners = np.searchsorted(group << 32 | size, reach, "right") - np.arange(len(order)) - 1
+            total = np.cumsum(partners)
+            cuts = np.searchsorted(total, np.arange(limits.pairs, (total[-1] if len(total) else 0) + limits.pairs, limits.pairs)) + 1
+            some, long_pairs = np.zeros(len(order), bool), []
+            for start, stop in itertools.pairwise([0, *np.unique(np.minimum(cuts, len(order))).tolist()]):
+                n = partners[start:stop]
+                i = np.repeat(np.arange(start, stop), n)
+                j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n)
+                both = size[i] + size[j]
+                need = np.ceil(similarity / (1 + similarity) * both - 1e-9).astype(np.int64)
+                at = np.flatnonzero(np.minimum(later[i], later[j]) >= need)
+                i, j, both, need = i[at], j[at], both[at], need[at]
+                differ = np.bitwise_count(low[i] ^ low[j]).astype(np.int64) + np.bitwise_count(high[i] ^ high[j])
+                may = both - differ >= 2 * need
+                short = may & (size[j] <= limits.long)
+                some[i[short]] = some[j[short]] = True
+                pair = np.stack([name[i[may & ~short]], name[j[may & ~short]]])
+                long_pairs.append(np.sort(pair, axis=0))
+            at = np.flatnonzero(some)
+            pairs = np.concatenate([*long_pairs, np.zeros((2, 0), np.int64)], axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(word[at] & int(_WORD)), pa.array(name[at]), pa.nulls(len(at), pa.int64())], schema=schema
+            )
+            yield pa.RecordBatch.from_arrays([pa.nulls(pairs.shape[1], pa.int64()), *map(pa.array, pairs)], schema=schema)
+
+    return run
+
+
 def _packed(words: np.ndarray) -> np.ndarray:
     """The words as bytes, ``PACKED`` each."""
     return words.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :PACKED]
@@ -283,17 +366,8 @@ def _linked(similarity: float):
     """Links of the rows of each group (``word``, ``lo``, ``hi``), which stand together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.RecordBatch | None = None
-        for batch in itertools.chain(batches, [None]):
-            parts = [b for b in (held, batch) if b is not None and b.num_rows]
-            if not parts:
-                continue
-            rows = parts[0] if len(parts) == 1 else pa.concat_batches(parts)
-            keys = [rows.column(n).to_numpy() for n in ("word", "lo", "hi")]
-            new = np.logical_or.reduce([np.diff(k, prepend=k[0] - 1) != 0 for k in keys])
-            group, starts = np.cumsum(new), np.flatnonzero(new).tolist()
-            ends = starts[1:] + ([rows.num_rows] if batch is None else [])
-            held = None if batch is None else rows.slice(starts[-1])
+        for rows, group in _whole_groups(batches, "word", "lo", "hi"):
+            ends = [*np.flatnonzero(np.diff(group)) + 1, rows.num_rows]
             first = 0
             for end in ends:
                 if end - first < TOGETHER and end != ends[-1]:
@@ -326,53 +400,30 @@ def _verified(similarity: float):
     return run
 
 
-def linked_lines(texts: DataFrame, places: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def linked_lines(
+    texts: DataFrame, places: DataFrame, similarity: float = SIMILARITY, limits: Limits = Limits()
+) -> DataFrame:
     """``id``, ``links`` and ``matched`` of each line set with Jaccard at least ``similarity`` to another.
 
     ``links`` counts those sets, ``matched`` tells whether one of them stands
     earlier in the corpus than the set does first (``places`` has each
     ``id`` with its ``first``); staged.
 
-    Prefix, length and positional filters and a bound on the overlap from 128
-    bits per line are the condition of a semi-join, which leaves the prefix
-    entries that have any partner, never pairs. Their words are brought
-    together by prefix word, in blocks of about ``BLOCK`` lines where many share
-    one, and each pair of blocks is one matrix product. So a group of similar
-    lines costs rows in proportion to its size and number of blocks. Words of
-    a line are repeated per entry; of lines above ``LONG`` words that would be
-    too many, so pairs with such a line are listed and verified one by one.
-    None of the filters loses a pair.
+    Lines meet by prefix word, in blocks where many may share one. Length and
+    positional filters and a bound on the overlap from 128 bits per line leave
+    the prefix entries that have any partner, never pairs. Their words are
+    brought together by prefix word, in blocks of about ``limits.block`` lines
+    where many still share one, and each pair of blocks is one matrix product.
+    So a group of similar lines costs rows in proportion to its size and number
+    of blocks. Words of a line are repeated per entry; of lines above
+    ``limits.long`` words that would be too many, so pairs with such a line are
+    listed and verified one by one. None of the filters loses a pair.
     """
     spark = texts.sparkSession
     sent = spark.sparkContext.broadcast(rarity_classes(texts))
-    entries = texts.select("text").mapInArrow(_entries(sent, similarity), ENTRIES)
-    entries = entries.repartition("word").dropDuplicates(["word", "id"])
-
-    def part(name: str) -> Column:
-        return F.shiftright(f"{name}_shape", 32)
-
-    def later(name: str) -> Column:
-        return part(name) - F.col(f"{name}_shape").bitwiseAND(F.lit((1 << 32) - 1))
-
-    x, y = (
-        entries.select(*[F.col(c).alias(f"{s}_{c}") for c in ("word", "id", "shape", "low", "high")]) for s in ("x", "y")
-    )
-    both = part("x") + part("y")
-    need = F.ceil(F.lit(similarity / (1 + similarity)) * both - 1e-9)
-    differ = F.bit_count(F.col("x_low").bitwiseXOR(F.col("y_low"))) + F.bit_count(F.col("x_high").bitwiseXOR(F.col("y_high")))
-    may = (
-        (F.col("x_word") == F.col("y_word"))
-        & (F.least(later("x"), later("y")) >= need)
-        & (both - differ >= need * 2)
-    )
-    short = F.greatest(part("x"), part("y")) <= LONG
-    some = x.join(y, may & short & (F.col("x_id") != F.col("y_id")), "left_semi")
-    size = F.lit(similarity * LONG - 1)
-    listed = x.where(part("x") > size).join(y.where(part("y") > size), may & ~short & (F.col("x_id") < F.col("y_id")))
-    found = staged(
-        some.select(F.col("x_word").alias("word"), F.col("x_id").alias("id"), F.lit(None).cast("long").alias("other"))
-        .union(listed.select(F.lit(None), "x_id", "y_id"))
-    )
+    entries = texts.select("text").mapInArrow(_entries(sent, similarity, limits.crowd), ENTRIES)
+    entries = entries.repartition("key").sortWithinPartitions("key")
+    found = staged(entries.mapInArrow(_candidates(similarity, limits), "word long, id long, other long").distinct())
     short_entries, pairs = found.where("other IS NULL"), found.where("other IS NOT NULL").select("id", "other").distinct()
     named = found.select("id").union(pairs.select("other")).distinct()
     if named.count() <= MAX_SENT:
@@ -384,8 +435,8 @@ def linked_lines(texts: DataFrame, places: DataFrame, similarity: float = SIMILA
     first = [F.col(f"first.{n}").alias(n) for n in ("doc_id", "text_hash", "line")]
     lists = staged(lists.join(places, "id").select("id", "words", *first))
 
-    many = short_entries.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > BLOCK)
-    blocks = F.coalesce(F.ceil(F.col("n") / BLOCK), F.lit(1)).cast("int")
+    many = short_entries.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limits.block)
+    blocks = F.coalesce(F.ceil(F.col("n") / limits.block), F.lit(1)).cast("int")
     dealt = short_entries.join(many, "word", "left").select("word", "id", blocks.alias("blocks"))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     dealt = dealt.select("word", "id", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
@@ -405,7 +456,7 @@ def linked_lines(texts: DataFrame, places: DataFrame, similarity: float = SIMILA
     return total
 
 
-def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, limits: Limits = Limits()) -> DataFrame:
     """Every document without the lines that match an earlier one; one row per distinct document.
 
     Columns: ``doc_id``, ``text_hash`` (of the whole text), ``n_lines``,
@@ -427,7 +478,7 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     places = staged(texts.mapInArrow(_places, PLACES))
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "line")
     sets = places.groupBy("id").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-    judged = linked_lines(texts, sets.select("id", "first"), similarity)
+    judged = linked_lines(texts, sets.select("id", "first"), similarity, limits)
     decided = sets.join(judged, "id", "left").where("n > 1 OR links IS NOT NULL")
     decided = staged(
         decided.select("id", "first", F.coalesce("matched", F.lit(False)).alias("matched"), F.coalesce("links", F.lit(0)).alias("links"))

@@ -306,9 +306,8 @@ def test_search_finds_all_within_the_radius(spark):
 # ------------------------------------------------------------------------ lines
 
 
-def test_line_links_and_removals_equal_all_pairs(spark, texts):
-    docs = table(spark, SF, "documents")
-    got = by_id(lines.dedup_lines(docs))
+def line_results(texts):
+    """Removed lines and links of each document, from all pairs of lines."""
     sets = defaultdict(list)
     for i, t in sorted(texts.items()):
         for n, line in enumerate(t.split("\n")):
@@ -328,6 +327,38 @@ def test_line_links_and_removals_equal_all_pairs(spark, texts):
             n_links[i] += len(links[s])
             if matched or (i, n) != first[s]:
                 removed[i].add(n)
+    return removed, n_links
+
+
+SMALL = lines.Limits(long=24, crowd=4, block=5, pairs=7)
+
+
+def test_line_links_do_not_depend_on_how_the_work_is_cut(spark):
+    rng = np.random.default_rng(5)
+    words, rows = [f"w{i}" for i in range(400)], []
+    for size in (6, 12, 20, 24, 26, 30, 60):
+        first = list(rng.choice(words, size, replace=False))
+        for _ in range(40):
+            for i in rng.choice(size, int(rng.integers(0, size // 6 + 2))):
+                line = [*first]
+                line[i] = str(rng.choice(words))
+                rows.append(" ".join(line))
+                if rng.random() < 0.2:
+                    first = line
+    order = rng.permutation(len(rows))
+    texts = {n: "\n".join(rows[i] for i in order[n * 3 : n * 3 + 3]) for n in range(len(rows) // 3)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    removed, n_links = line_results(texts)
+    assert sum(n_links.values()) > 2000
+    for limits in (lines.Limits(), SMALL):
+        got = by_id(lines.dedup_lines(docs, limits=limits))
+        assert {i: (set(r.removed), r.n_links) for i, r in got.items()} == {i: (removed[i], n_links[i]) for i in texts}
+
+
+def test_line_links_and_removals_equal_all_pairs(spark, texts):
+    docs = table(spark, SF, "documents")
+    got = by_id(lines.dedup_lines(docs))
+    removed, n_links = line_results(texts)
     assert {i: set(r.removed) for i, r in got.items()} == {i: removed[i] for i in texts}
     assert {i: r.n_links for i, r in got.items()} == {i: n_links[i] for i in texts}
     cleaned = by_id(lines.remove_lines(docs))
