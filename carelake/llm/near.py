@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import hashlib
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,9 @@ WIDTH = 5
 VECTORS = 16
 SAMPLED = 3
 SIMILARITY = 0.8
+# Members of a bucket that a task holds, and about how many it compares them with.
+HELD = 1024
+STREAMED = 4096
 SKETCHED = "doc_id long, text_hash long, set_id binary, vectors array<long>"
 
 
@@ -120,6 +124,111 @@ def _verify(width: int, similarity: float):
     return run
 
 
+class Block:
+    """Members of a bucket held in a task, with an index of their items and what is known to be connected."""
+
+    def __init__(self, held: list[tuple[bytes, bytes, np.ndarray]], similarity: float):
+        self.names, roots, self.items = zip(*held, strict=True)
+        self.similarity = similarity
+        self.numbers: dict[bytes, int] = {}
+        self.label = np.zeros(0, np.int64)
+        self.of = np.array([self._number(r) for r in roots])
+        self.sizes = np.array([len(x) for x in self.items])
+        flat = np.concatenate(self.items)
+        order = np.argsort(flat, kind="stable")
+        self.flat, self.owner = flat[order], np.repeat(np.arange(len(held)), self.sizes)[order]
+
+    def _number(self, root: bytes) -> int:
+        if root not in self.numbers:
+            self.label = np.append(self.label, len(self.numbers))
+            self.numbers[root] = len(self.numbers)
+        return self.numbers[root]
+
+    def links(self, root: bytes, items: np.ndarray, start: int = 0) -> Iterator[bytes]:
+        """Held members from ``start`` on that reach the similarity and connect what was not connected."""
+        low, high = np.searchsorted(self.flat, items, "left"), np.searchsorted(self.flat, items, "right")
+        spans = high - low
+        hits = np.repeat(low - np.cumsum(spans) + spans, spans) + np.arange(spans.sum())
+        # Aligned items are common items: too few of these rule a pair out.
+        common = np.bincount(self.owner[hits], minlength=len(self.names))
+        need = self.similarity * (self.sizes + len(items)) / (1 + self.similarity)
+        near = np.flatnonzero(common >= need - 1e-9)
+        near, mine = near[near >= start], self._number(root)
+        while True:
+            near = near[self.label[self.of[near]] != self.label[mine]]
+            if not len(near):
+                return
+            k, near = near[0], near[1:]
+            if alignment(self.items[k], items, self.similarity) >= self.similarity:
+                self.label[self.label == self.label[self.of[k]]] = self.label[mine]
+                yield self.names[k]
+
+
+def _block_links(members: Iterable[tuple], inside: bool, width: int, similarity: float) -> Iterator[tuple[bytes, bytes]]:
+    """Links of the held members, which come first, with each other (if ``inside``) and with the others."""
+    held, block = [], None
+    for is_held, set_id, root, text in members:
+        items = labelled_shingles(text, width)
+        if is_held:
+            held.append((set_id, root, items))
+            continue
+        if not held:
+            continue
+        block = block or Block(held, similarity)
+        for name in block.links(root, items):
+            yield name, set_id
+    if held and inside:
+        block = block or Block(held, similarity)
+        for k, (set_id, root, items) in enumerate(held):
+            for name in block.links(root, items, k + 1):
+                yield name, set_id
+
+
+def _across(width: int, similarity: float):
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            each = arrow_rows(batches, "key", "block", "slice", "held", "set_id", "root", "text")
+            for place, members in groupby(each, lambda r: r[:3]):
+                yield from _block_links((r[3:] for r in members), place[2] == 0, width, similarity)
+
+        yield from in_batches(rows(), schema, 8192)
+
+    return run
+
+
+def blocks(members: DataFrame, held: int = HELD, streamed: int = STREAMED) -> DataFrame:
+    """Bucket members (``key``, ``set_id``, ``root``) dealt out so that all pairs of different roots meet.
+
+    Columns: ``key``, ``block``, ``slice``, ``held``, ``set_id``, ``root``. In
+    a bucket the members outside its largest root are cut into blocks of about
+    ``held``. A block meets itself, those after it and the members of the
+    largest root, in slices of about ``streamed`` members. Buckets of a single
+    root are left out.
+    """
+    counts = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
+    whole = counts.groupBy("key").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("members"))
+    whole = whole.where("members > top.n").select(
+        "key",
+        F.col("top.root").alias("largest"),
+        F.ceil((F.col("members") - F.col("top.n")) / held).cast("int").alias("blocks"),
+        F.ceil(F.col("members") / streamed).cast("int").alias("slices"),
+    )
+    other = F.col("root") != F.col("largest")
+    rows = members.join(whole, "key").withColumn("own", F.when(other, F.expr("pmod(xxhash64(set_id), blocks)")).cast("int"))
+    rows = rows.withColumn("at", F.expr("cast(pmod(xxhash64(set_id, 7), slices) as int)"))
+    kept = rows.where(other).select(
+        "key", F.col("own").alias("block"), F.explode(F.expr("sequence(0, slices - 1)")).alias("slice"),
+        F.lit(True).alias("held"), "set_id", "root",
+    )
+    met = rows.withColumn("until", F.coalesce("own", "blocks")).where("until > 0").select(
+        "key", F.explode(F.expr("sequence(0, until - 1)")).alias("block"), F.col("at").alias("slice"),
+        F.lit(False).alias("held"), "set_id", "root",
+    )
+    return kept.union(met)
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node`` and ``root`` (the smallest node of its component) of all linked nodes but the roots.
 
@@ -150,13 +259,15 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_links(sketches: DataFrame, texts: DataFrame, width: int, similarity: float) -> DataFrame | None:
-    """Verified links between distinct texts (``a``, ``b``), staged; None if no two texts share a vector.
-
-    In each bucket of a vector value the text with the largest buckets is the
-    centre, and every other member is aligned with it: one candidate per
-    member, not a pair of members. Those that share no linked centre with it go on
-    to the next round, where the rest of the bucket gets a new centre, until a
-    round adds no link.
+    """Links (``a``, ``b``) whose components are the groups, staged; None if there are none.
+
+    First in each bucket of a vector value the text with the largest buckets is
+    the centre, and every other member is aligned with it: one candidate per
+    member, not a pair of members. Then, where the other members of a bucket
+    are not all in one component of those links, all pairs of them that are
+    not are compared, linked members too. So every two texts that share a
+    bucket are either aligned (or ruled out by their number of common items)
+    or already connected.
     """
     entries = sketches.select("set_id", F.posexplode("vectors").alias("nth", "value"))
     entries = entries.select("set_id", F.xxhash64("nth", "value").alias("key"))
@@ -171,28 +282,23 @@ def near_links(sketches: DataFrame, texts: DataFrame, width: int, similarity: fl
     same = texts["doc_id"].eqNullSafe(places["in_doc"]) & (texts["text_hash"] == places["in_text"])
     bodies = staged(texts.join(places, same).select("set_id", "text").dropDuplicates(["set_id"]))
     parts = int(sketches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found: DataFrame | None = None
-    while True:
-        centres = left.groupBy("key").agg(
-            F.max(F.struct("weight", "set_id")).alias("top"), F.count(F.lit(1)).alias("members")
-        )
-        centres = centres.where("members > 1").select("key", F.col("top.set_id").alias("a"))
-        tried = left.join(centres, "key").select("key", "a", F.col("set_id").alias("b"), "weight")
-        tried = staged(tried.where("a <> b"))
-        pairs = tried.select("a", "b").distinct()
-        if found is not None:
-            pairs = pairs.join(found, ["a", "b"], "left_anti")
-        with_b = pairs.join(bodies.toDF("b", "text_b"), "b")
-        with_both = with_b.join(bodies.toDF("a", "text_a"), "a").select("a", "b", "text_a", "text_b")
-        fresh = staged(with_both.mapInArrow(_verify(width, similarity), "a binary, b binary"))
-        if fresh.isEmpty():
-            return found
-        found = fresh if found is None else staged(found.union(fresh).repartition(parts))
-        # Who shares a linked centre with this one needs no further candidate there.
-        label = found.groupBy("b").agg(F.min("a").alias("label"))
-        known = tried.join(label, "b", "left").join(label.toDF("a", "label_a"), "a", "left")
-        apart = known.where(F.coalesce("label_a", "a") != F.coalesce("label", "b"))
-        left = staged(apart.select("key", F.col("b").alias("set_id"), "weight"))
+    centres = left.groupBy("key").agg(F.max(F.struct("weight", "set_id")).alias("top"))
+    tried = left.join(centres.select("key", F.col("top.set_id").alias("a")), "key")
+    tried = staged(tried.where("a <> set_id").select("key", "a", F.col("set_id").alias("b")))
+    pairs = tried.select("a", "b").distinct()
+    with_b = pairs.join(bodies.toDF("b", "text_b"), "b")
+    with_both = with_b.join(bodies.toDF("a", "text_a"), "a").select("a", "b", "text_a", "text_b")
+    found = staged(with_both.mapInArrow(_verify(width, similarity), "a binary, b binary"))
+    stars = components(found).toDF("a", "b")
+    # The centre of a bucket has met all of it; its other members may not have met each other.
+    others = tried.select("key", F.col("b").alias("set_id")).join(stars.toDF("set_id", "root"), "set_id", "left")
+    others = staged(others.select("key", "set_id", F.coalesce("root", "set_id").alias("root")))
+    dealt = staged(blocks(others))
+    met = dealt.join(bodies, "set_id").repartition(parts, "key", "block", "slice")
+    met = met.sortWithinPartitions("key", "block", "slice", F.desc("held"))
+    fresh = met.mapInArrow(_across(width, similarity), "a binary, b binary")
+    links = staged(stars.union(fresh))
+    return None if links.isEmpty() else links
 
 
 def classes(

@@ -188,6 +188,48 @@ def test_near_classes_equal_all_pairs(spark, texts):
     assert all(r.class_size == size[want[i]] and r.kept == (want[i] == i) for i, r in got.items())
 
 
+def linked(spark, buckets, texts):
+    """Groups of names by ``near_links``, with the buckets of each text given."""
+    rows = [(n.encode(), i, zlib.crc32(n.encode()), buckets[n]) for i, n in enumerate(texts)]
+    sketches = spark.createDataFrame(rows, "set_id binary, doc_id long, text_hash long, vectors array<long>")
+    docs = [(i, zlib.crc32(n.encode()), t) for i, (n, t) in enumerate(texts.items())]
+    links = near.near_links(sketches, spark.createDataFrame(docs, "doc_id long, text_hash long, text string"), 5, 0.8)
+    pairs = [] if links is None else [(bytes(r.a).decode(), bytes(r.b).decode()) for r in links.collect()]
+    return grouped(pairs, texts)
+
+
+def test_near_links_find_a_chain_and_pairs_beside_an_unlike_centre(spark):
+    run = lambda at, name="w": " ".join(f"{name}{i}" for i in range(at, at + 200))
+    chain = {"a": run(0), "b": run(15), "c": run(30), "x": run(0, "x")}
+    items = {n: near.labelled_shingles(t) for n, t in chain.items()}
+    assert [near.alignment(items[p], items[q]) >= 0.8 for p, q in ("ab", "bc", "ac")] == [True, True, False]
+    # The first text is in two buckets, hence the centre of the one that holds all but "x".
+    buckets = {"a": [1, 5], "b": [1, 6], "c": [1, 7], "x": [2, 5]}
+    got = linked(spark, buckets, chain)
+    assert got["a"] == got["b"] == got["c"] != got["x"]
+    unlike = {"a": run(0, "t"), "b": run(15), "c": run(30), "x": run(0, "x")}
+    got = linked(spark, buckets, unlike)
+    assert got["b"] == got["c"] and len({got[n] for n in "abx"}) == 3
+
+
+def test_near_blocks_bring_all_pairs_of_two_roots_together(spark):
+    rows = [(k, f"{k}-{i}".encode(), b"r" if i % 3 else f"{k}-{i // 2}".encode()) for k in (1, 2) for i in range(40)]
+    rows += [(3, f"3-{i}".encode(), b"r") for i in range(9)]
+    dealt = near.blocks(spark.createDataFrame(rows, "key long, set_id binary, root binary"), held=4, streamed=6)
+    places = defaultdict(list)
+    for r in dealt.collect():
+        places[r.key, r.block, r["slice"]].append((r.held, bytes(r.set_id)))
+    met = set()
+    for (key, _, part), members in places.items():
+        assert key != 3
+        held = [s for h, s in members if h]
+        others = [s for h, s in members if not h]
+        met |= {frozenset(p) for p in itertools.product(held, others)}
+        met |= {frozenset(p) for p in itertools.combinations(held, 2)} if part == 0 else set()
+    for (k, s, r), (l, t, q) in itertools.combinations(rows, 2):
+        assert k != l or r == q or frozenset([s, t]) in met
+
+
 def test_alignment_equals_longest_common_subsequence():
     rng = np.random.default_rng(1)
     for _ in range(60):
