@@ -41,6 +41,7 @@ NOT_NAMES = frozenset(
     "notice notices alert popup modal overlay newsletter subscribe subscription signup login comment comments "
     "disqus respond reply replies share sharing social related recommended toolbar skip".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 HEAD = frozenset("base link meta title style script noscript template".split())
 CONTENT = frozenset(["article", "main", "body", "html"])
 
@@ -161,6 +162,13 @@ def _walk(root: Node) -> list[Node]:
     return found
 
 
+def _density(node: Node, ratio: float) -> float:
+    plain = max(node.chars - node.link_chars, 1)
+    base = math.log(node.chars / plain * node.link_chars + ratio * node.chars + math.e)
+    share = node.chars / max(node.link_chars, 1) * max(node.tags, 1) / max(node.link_tags, 1)
+    return node.chars / max(node.tags, 1) * math.log(max(share, 1.0) + 1.0) / max(math.log(base + 1.0), 1e-9)
+
+
 def measure(root: Node) -> list[Node]:
     """Set density and density sum of every node; the nodes, parents first.
 
@@ -179,45 +187,88 @@ def measure(root: Node) -> list[Node]:
             node.parent.tags += node.tags + 1
             node.parent.link_chars += node.link_chars
             node.parent.link_tags += node.link_tags + (node.tag == "a")
-    body = root
-    ratio = body.link_chars / max(body.chars, 1)
+    ratio = root.link_chars / max(root.chars, 1)
     for node in nodes:
         if node.chars:
-            plain = max(node.chars - node.link_chars, 1)
-            base = math.log(node.chars / plain * node.link_chars + ratio * node.chars + math.e)
-            share = node.chars / max(node.link_chars, 1) * max(node.tags, 1) / max(node.link_tags, 1)
-            node.density = node.chars / max(node.tags, 1) * math.log(max(share, 1.0) + 1.0) / max(math.log(base + 1.0), 1e-9)
+            node.density = _density(node, ratio)
     for node in nodes:
         runs = sum(len(re.sub(r"\s+", "", c)) for c in node.children if isinstance(c, str))
         node.total = runs + sum(c.density for c in node.children if isinstance(c, Node) and not c.dropped)
     return nodes
 
 
-def main_node(root: Node) -> Node:
-    """The subtree with the largest density sum, widened along its path to the body.
+def main_nodes(root: Node) -> list[Node]:
+    """The parts of the page that are its article, in page order.
 
-    The lowest density on the path from that node to the body is the
-    threshold. The choice moves up while a block beside it reaches the
-    threshold, so that an article in several sections stays whole, and to the
-    enclosing ``article`` if there is one.
+    The article is the enclosing ``article`` or ``main`` of the subtree with
+    the largest density sum. Without one, the lowest density on the path from
+    that subtree to the body is the threshold: the choice moves up while a
+    block beside it reaches the threshold, and every other block of the page
+    that reaches it is part of the article too, as is a heading that directly
+    precedes such a part.
     """
     nodes = [n for n in measure(root) if n.chars and n.tag not in ("p", "a", "b", "i", "em", "strong", "span")]
     if not nodes:
-        return root
+        return [root]
     best = max(nodes, key=lambda n: n.total)
     path = [best]
     while path[-1].parent:
         path.append(path[-1].parent)
     article = next((n for n in path if n.tag == "article"), None) or next((n for n in path if n.tag == "main"), None)
     if article:
-        return article
+        return [article]
     threshold = min(n.density for n in path)
     while best.parent and best.parent.tag not in ("body", "html"):
         beside = [c for c in best.parent.children if isinstance(c, Node) and c is not best and not c.dropped]
         if not any(c.density >= threshold and c.chars for c in beside):
             break
         best = best.parent
-    return best
+    return _reaching(root, best, {id(n) for n in path}, threshold)
+
+
+def _parts(node: Node, path: set[int], ratio: float) -> list[Node]:
+    """The blocks in a node; what stands between them is a paragraph each."""
+    parts, run = [], None
+    for child in node.children:
+        if isinstance(child, Node) and child.dropped:
+            continue
+        if isinstance(child, Node) and (child.tag in BLOCKS or id(child) in path):
+            parts.append(child)
+            run = None
+            continue
+        if run is None:
+            run = Node("p", node)
+            parts.append(run)
+        run.children.append(child)
+        if isinstance(child, str):
+            run.chars += len(re.sub(r"\s+", "", child))
+        else:
+            run.chars, run.link_chars = run.chars + child.chars, run.link_chars + child.link_chars
+            run.tags, run.link_tags = run.tags + child.tags + 1, run.link_tags + child.link_tags + (child.tag == "a")
+        run.density = _density(run, ratio) if run.chars else 0.0
+    return [p for p in parts if p.chars]
+
+
+def _reaching(root: Node, best: Node, path: set[int], threshold: float) -> list[Node]:
+    """``best``, all blocks outside it that reach the threshold, and the headings before these."""
+    ratio = root.link_chars / max(root.chars, 1)
+    seen: list[tuple[Node, bool]] = []
+    waiting = [root]
+    while waiting:
+        node = waiting.pop()
+        above = id(node) in path and node is not best
+        if node is best or not above and node.density >= threshold and not _is_link_list(node):
+            seen.append((node, True))
+        elif node.tag not in HEADINGS and (above or any(isinstance(c, Node) and c.tag in BLOCKS for c in node.children)):
+            waiting += reversed(_parts(node, path, ratio))
+        else:
+            seen.append((node, False))
+    found, follows = [], False
+    for node, reaches in reversed(seen):
+        follows = reaches or follows and node.tag in HEADINGS
+        if follows:
+            found.append(node)
+    return found[::-1]
 
 
 def _is_link_list(node: Node) -> bool:
@@ -229,8 +280,8 @@ def main_text(page: str | None) -> str:
     if not page:
         return ""
     root = parse(page)
-    top = main_node(root)
-    blocks, current = [], []
+    tops = main_nodes(root)
+    blocks, current, chosen = [], [], {id(n) for n in tops}
 
     def flush() -> None:
         line = " ".join("".join(current).split())
@@ -238,7 +289,7 @@ def main_text(page: str | None) -> str:
         if line:
             blocks.append(line)
 
-    waiting: list[Node | str | None] = [top]
+    waiting: list[Node | str | None] = tops[::-1]
     while waiting:
         item = waiting.pop()
         if item is None:
@@ -247,7 +298,7 @@ def main_text(page: str | None) -> str:
             current.append(item)
         elif item.tag == "br":
             current.append(" ")
-        elif not item.dropped and not (item is not top and _is_link_list(item)):
+        elif not item.dropped and not (id(item) not in chosen and _is_link_list(item)):
             inner: list[Node | str | None] = list(reversed(item.children))
             if item.tag in BLOCKS:
                 flush()
@@ -275,7 +326,8 @@ def extract(pages: DataFrame) -> DataFrame:
     Menus, headers and footers of the page, sidebars, notices, adverts, forms,
     scripts, styles and reader comments are dropped by tag, role and by the
     words of ``class`` and ``id``; of what is left the subtree with the largest
-    sum of link-adjusted characters per tag is the article. Character
+    sum of link-adjusted characters per tag is the article, with every block
+    of the page that is as dense as the path from there to the body. Character
     references are decoded, white space becomes one space, blocks are joined by
     a line break and nothing is cut.
 

@@ -116,6 +116,17 @@ def test_html_without_article_tag():
     assert html_text.main_text(page) == f"Part\n{text}\n{text}\n{text}"
 
 
+def test_html_sections_directly_in_body():
+    texts = [f"Paragraph {i} has many words that stand in the middle of the page, and it goes on for a while." for i in range(8)]
+    first, second = ("".join(f"<p>{t}</p>" for t in part) for part in (texts[:4], texts[4:]))
+    menu = "".join(f"<li><a href=/{i}>Link number {i}</a></li>" for i in range(9))
+    whole = "\n".join(texts)
+    assert html_text.main_text(f"<body><ul>{menu}</ul><div>{first}</div><div>{second}</div><div><ul>{menu}</ul></div>") == whole
+    assert html_text.main_text(f"<body><div><ul>{menu}</ul></div><h1>Head</h1><div>{first}{second}</div>") == f"Head\n{whole}"
+    loose = f"<body><h1>Head</h1><div>{first}</div>{texts[4]} <b>bold</b> end<div><div>{second}</div></div><h2>More</h2><ul>{menu}</ul>"
+    assert html_text.main_text(loose).split("\n") == ["Head", *texts[:4], f"{texts[4]} bold end", *texts[4:]]
+
+
 def test_html_on_given_pages_equals_the_article(spark):
     got = by_id(html_text.extract(table(spark, SF, "pages")), "page_id")
     import html
