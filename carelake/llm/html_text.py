@@ -41,6 +41,11 @@ NOT_NAMES = frozenset(
     "notice notices alert popup modal overlay newsletter subscribe subscription signup login comment comments "
     "disqus respond reply replies share sharing social related recommended toolbar skip".split()
 )
+# Names of what readers wrote, and words that turn a name into its absence or into a trait of a wrapper.
+READER_NAMES = frozenset("comment comments disqus respond reply replies".split())
+QUALIFIERS = frozenset("no has have with without hide hides hidden".split())
+# A named element is the page itself if it holds more than this share of the text outside links.
+WRAPPER, READER_WRAPPER = 0.5, 0.9
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 HEAD = frozenset("base link meta title style script noscript template".split())
 CONTENT = frozenset(["article", "main", "body", "html"])
@@ -57,7 +62,7 @@ NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 class Node:
     __slots__ = ("tag", "parent", "children", "named", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, named: bool = False, dropped: bool = False):
+    def __init__(self, tag: str, parent: Node | None, named: float = 0.0, dropped: bool = False):
         self.tag, self.parent, self.children, self.named, self.dropped = tag, parent, [], named, dropped
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
@@ -78,10 +83,29 @@ def _never_text(tag: str, found: dict[str, str], in_article: bool) -> bool:
     return found.get("role", "").lower() in NOT_ROLES
 
 
-def _named_aside(found: dict[str, str], in_article: bool) -> bool:
-    """Named like a menu, an advert and so on by the words of its class or id."""
-    words = {w.lower() for w in NAME_PARTS.findall(f"{found.get('class', '')} {found.get('id', '')}")}
-    return bool(words & (NOT_NAMES - {"header"} if in_article else NOT_NAMES))
+def _named_aside(found: dict[str, str], in_article: bool) -> float:
+    """0.0 unless named like a menu, an advert and so on by the words of its class or id.
+
+    Otherwise the share of the text above which it is a wrapper all the same.
+    Words after a qualifier (``has-sidebar``, ``no-nav``) do not count.
+    """
+    words = set()
+    for name in f"{found.get('class', '')} {found.get('id', '')}".split():
+        for word in NAME_PARTS.findall(name):
+            if word.lower() in QUALIFIERS:
+                break
+            words.add(word.lower())
+    words &= NOT_NAMES - {"header"} if in_article else NOT_NAMES
+    return (READER_WRAPPER if words & READER_NAMES else WRAPPER) if words else 0.0
+
+
+def _plain_chars(nodes: list[Node]) -> dict[int, int]:
+    """Characters outside links and dropped elements by ``id`` of the node; ``nodes`` are in page order."""
+    chars: dict[int, int] = {}
+    for node in reversed(nodes):
+        own = sum(len("".join(c.split())) if isinstance(c, str) else chars[id(c)] for c in node.children)
+        chars[id(node)] = 0 if node.dropped or node.tag == "a" else own
+    return chars
 
 
 def parse(page: str) -> Node:
@@ -114,7 +138,7 @@ def parse(page: str) -> Node:
             _end_open(stack, frozenset(["p"]), CONTENT | frozenset(["td", "th", "button", "table"]))
         found = _attributes(tag["attrs"]) if tag["attrs"].strip("/ ") else {}
         inside = any(n.tag in ("article", "main") for n in stack)
-        named = name not in ("body", "main") and _named_aside(found, inside)
+        named = 0.0 if name in ("body", "main") else _named_aside(found, inside)
         node = Node(name, stack[-1], named, name != "body" and _never_text(name, found, inside))
         stack[-1].children.append(node)
         nodes.append(node)
@@ -125,12 +149,21 @@ def parse(page: str) -> Node:
             at = close.end() if close else len(page)
         elif name not in VOID:
             stack.append(node)
-    holders = set()
+    holders, whole = set(), first or root
     while first:
         holders.add(id(first))
         first = first.parent
+    if any(n.named and id(n) not in holders for n in nodes):
+        chars = _plain_chars([root, *nodes])
+        # What holds most of the text, of the article's if there is one, is a wrapper, whatever its name.
+        inside = {id(whole)}
+        for node in nodes:
+            if id(node.parent) in inside:
+                inside.add(id(node))
+                if node.named and chars[id(node)] > node.named * chars[id(whole)]:
+                    holders.add(id(node))
     for node in nodes:
-        node.dropped |= node.parent.dropped or node.named and id(node) not in holders
+        node.dropped |= node.parent.dropped or bool(node.named) and id(node) not in holders
     return root
 
 
@@ -325,7 +358,8 @@ def extract(pages: DataFrame) -> DataFrame:
     Each page is parsed whole, in the task that reads it; nothing shuffles.
     Menus, headers and footers of the page, sidebars, notices, adverts, forms,
     scripts, styles and reader comments are dropped by tag, role and by the
-    words of ``class`` and ``id``; of what is left the subtree with the largest
+    words of ``class`` and ``id``, unless an element that is only so named
+    holds most of the text; of what is left the subtree with the largest
     sum of link-adjusted characters per tag is the article, with every block
     of the page that is as dense as the path from there to the body. Character
     references are decoded, white space becomes one space, blocks are joined by

@@ -127,6 +127,18 @@ def test_html_sections_directly_in_body():
     assert html_text.main_text(loose).split("\n") == ["Head", *texts[:4], f"{texts[4]} bold end", *texts[4:]]
 
 
+def test_html_in_wrappers_named_like_asides():
+    texts = [f"Paragraph {i} has many words that stand in the middle of the page, and it goes on for a while." for i in range(4)]
+    inner = "<h1>Head</h1>" + "".join(f"<p>{t}</p>" for t in texts)
+    aside = '<div class="sidebar"><p>Some other words beside.</p></div><div class="comments"><p>I like it.</p></div>'
+    whole = "\n".join(["Head", *texts])
+    for named in ('class="no-sidebar"', 'id="content" class="hasSidebar"', 'class="page nav-collapsed"', 'class="comments-open"'):
+        assert html_text.main_text(f"<body><div {named}><div>{inner}</div>{aside}</div>") == whole, named
+        assert html_text.main_text(f"<body><article><div {named}>{inner}</div>{aside}</article>") == whole, named
+    said = "".join(f"<p>{t}</p>" for t in texts * 2)
+    assert html_text.main_text(f'<body><div><div>{inner}</div><div class="comments">{said}</div></div>') == whole
+
+
 def test_html_on_given_pages_equals_the_article(spark):
     got = by_id(html_text.extract(table(spark, SF, "pages")), "page_id")
     import html
