@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -88,7 +90,10 @@ CONFIRMED = 0.6
 
 def word_ngrams(text: str) -> set[str]:
     """Single words and pairs of neighbours, without case."""
-    words = WORD.findall(text.lower())
+    return _grams(WORD.findall(text.lower()))
+
+
+def _grams(words: list[str]) -> set[str]:
     return set(words) | {f"{a} {b}" for a, b in zip(words, words[1:])}
 
 
@@ -110,20 +115,83 @@ class LicenceModel:
         chance = np.exp(total - total.max())
         return chance / chance.sum()
 
-    def confirmed(self, family: int, grams: set[str]) -> float:
-        """The largest share of a template of the family that the paragraph contains."""
-        return max((len(grams & t) / len(t) for f, t in self.templates if f == family), default=0.0)
+    def labels(self, grams: set[str], least: float) -> list[tuple[str, float, float]]:
+        """Every family of the n-grams, with its probability against the unknown class and its share of a template.
 
-    def label(self, paragraph: str, least: float) -> tuple[str, float, float]:
-        grams = word_ngrams(paragraph)
+        A family counts if most of one of its templates is there. Beside a
+        likelier one that counts, most of what that one's templates do not
+        explain must be there too: CC BY-NC is not CC BY.
+        """
         if grams.isdisjoint(self.weights):
-            return UNKNOWN, 0.0, 0.0
+            return []
         chance = self.probabilities(grams)
-        best = int(np.argmax(chance))
-        if best == len(self.families) or chance[best] < least:
-            return UNKNOWN, float(chance[best]), 0.0
-        share = self.confirmed(best, grams)
-        return (self.families[best] if share >= CONFIRMED else UNKNOWN), float(chance[best]), share
+        against = chance[:-1] / (chance[:-1] + chance[-1])
+        found, explained = [], set()
+        for family in np.argsort(-chance[:-1], kind="stable").tolist():
+            if chance[family] <= chance[-1] or against[family] < least:
+                break
+            shares = [(len(grams & t) / len(t), t) for f, t in self.templates if f == family]
+            shares = [(share, t) for share, t in shares if share >= CONFIRMED]
+            if any(len(grams & t - explained) >= max(CONFIRMED * len(t - explained), 1) for _, t in shares):
+                found.append((self.families[family], float(against[family]), max(share for share, _ in shares)))
+                explained = explained.union(*(t for _, t in shares))
+        return found
+
+    @cached_property
+    def pairs(self) -> dict[str, list[int]]:
+        """Templates by the word pairs they hold."""
+        places: dict[str, list[int]] = {}
+        for i, (_, template) in enumerate(self.templates):
+            for gram in template:
+                if " " in gram:
+                    places.setdefault(gram, []).append(i)
+        return places
+
+    @cached_property
+    def needed(self) -> list[int]:
+        """By template the number of word pairs without which it cannot be confirmed."""
+        return [max(1, math.ceil(CONFIRMED * len(t)) - sum(" " not in g for g in t)) for _, t in self.templates]
+
+    def wrapped(self, lines: list[list[str]], least: float, known: dict[str, set[int]]) -> list[tuple[int, int, str, float, float]]:
+        """Families found in two or more neighbouring lines together: first line, last line, and what ``labels`` gives.
+
+        ``lines`` are the words of a paragraph's lines, ``known`` the lines
+        that a family is found in alone. The lines between the first and the
+        last hold at most half as many words again as the template.
+        """
+        words = [w for line in lines for w in line]
+        shown: dict[int, set[str]] = {}
+        for gram in {f"{a} {b}" for a, b in zip(words, words[1:])} & self.pairs.keys():
+            for i in self.pairs[gram]:
+                shown.setdefault(i, set()).add(gram)
+        tried = []
+        for i in sorted(shown):
+            if len(shown[i]) < self.needed[i]:
+                continue
+            family, template = self.templates[i]
+            longest = 1.5 * (sum(" " in g for g in template) + 1)
+            for first, line in enumerate(lines):
+                if template.isdisjoint(line):
+                    continue
+                got, between, last = template & _grams(line), 0, line[-1]
+                for at in range(first + 1, len(lines)):
+                    got |= template & _grams([last, *lines[at]])
+                    last = lines[at][-1]
+                    if len(got) >= CONFIRMED * len(template):
+                        tried.append((-len(got) / len(template), at - first, first, at, family))
+                    between += len(lines[at])
+                    if between > longest:
+                        break
+        found, taken = [], {name: set(at) for name, at in known.items()}
+        for _, _, first, last, family in sorted(tried):
+            name, covered = self.families[family], set(range(first, last + 1))
+            if covered.isdisjoint(taken.get(name, ())):
+                grams = _grams([w for line in lines[first : last + 1] for w in line])
+                for label in self.labels(grams, least):
+                    if label[0] == name:
+                        found.append((first, last, *label))
+                        taken.setdefault(name, set()).update(covered)
+        return sorted(found)
 
 
 def _examples(families: list[str]) -> list[tuple[int, str]]:
@@ -221,16 +289,31 @@ def _scan(model: LicenceModel, least: float):
 
         def rows():
             for doc_id, text in arrow_rows(batches, "doc_id", "text"):
-                at, count, found = 0, 0, []
-                for paragraph in text.split("\n"):
-                    if paragraph.strip():
-                        count += 1
-                        if not known.isdisjoint(WORD.findall(paragraph.lower())):
-                            family, chance, share = model.label(paragraph, least)
-                            if family != UNKNOWN:
-                                found.append({"family": family, "start": at, "end": at + len(paragraph), "probability": chance, "share": share})
-                    at += len(paragraph) + 1
-                yield doc_id, count, found
+                at, count, found, paragraph = 0, 0, [], []
+                for line in text.split("\n"):
+                    count += bool(line.strip())
+                    words = WORD.findall(line.lower())
+                    if words:
+                        paragraph.append((at, at + len(line), words))
+                    else:
+                        found += spans(paragraph)
+                        paragraph = []
+                    at += len(line) + 1
+                yield doc_id, count, found + spans(paragraph)
+
+        def spans(paragraph: list[tuple[int, int, list[str]]]) -> list[dict]:
+            found, alone = [], {}
+            for i, (_, _, words) in enumerate(paragraph):
+                if not known.isdisjoint(words):
+                    for label in model.labels(_grams(words), least):
+                        found.append((i, i, *label))
+                        alone.setdefault(label[0], set()).add(i)
+            if len(paragraph) > 1:
+                found += model.wrapped([words for _, _, words in paragraph], least, alone)
+            return [
+                {"family": family, "start": paragraph[i][0], "end": paragraph[j][1], "probability": chance, "share": share}
+                for i, j, family, chance, share in sorted(found)
+            ]
 
         yield from in_batches(rows(), schema, 1024)
 
@@ -242,8 +325,11 @@ def scan(docs: DataFrame, least: float = 0.5, max_unknown: int = MAX_UNKNOWN, mo
 
     Columns: ``doc_id``, ``n_paragraphs``, ``families`` (sorted, distinct,
     comma-joined; empty if none) and ``found`` (family, code point span,
-    calibrated probability, share of the template). A paragraph is a line; one
-    of the unknown class, below ``least`` or without a confirming template is
+    calibrated probability against the unknown class, share of the template).
+    ``n_paragraphs`` counts lines with text. Each line is tried alone, then
+    neighbouring lines together, as far as no line without words lies between
+    them, so that wrapped texts are found. A line or a run of lines can have
+    several families; one below ``least`` or without a confirming template is
     not reported. The model is fitted once on a bounded sample; texts are read
     whole where they lie and nothing shuffles.
 

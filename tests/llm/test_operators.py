@@ -166,6 +166,18 @@ def test_licence_families_are_found_and_prose_is_not(spark):
 # ---------------------------------------------------------------------- quality
 
 
+def test_wrapped_and_dual_licences_are_found_whole(spark):
+    model = licences.fit(["Is and retitioning ouen the of, nterti thorreou ndernt.", "you may use the work and the text"])
+    wrapped = " * Redistribution and use in source and binary forms, with or without\n * modification, are permitted provided that the following conditions are met."
+    texts = ["Prose here.\n" + wrapped + "\n *\n * Other words.", "SPDX-License-Identifier: MIT OR Apache-2.0",
+             wrapped.replace("\n", "\n\n"), "Licensed under the GNU Lesser General Public License, version 2.1.",
+             "Released under the\nMIT License.\nLicensed under the\nApache License,\nVersion 2.0."]
+    found = by_id(licences.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model=model))
+    assert [found[i].families for i in range(5)] == ["bsd", "apache,mit", "", "lgpl", "apache,mit"]
+    assert [texts[0][s.start : s.end] for s in found[0].found] == [wrapped]
+    assert [s.share for s in found[0].found] == [1.0]
+
+
 def test_quality_on_held_out_documents(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
