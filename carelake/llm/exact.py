@@ -190,12 +190,16 @@ def dedup(docs: DataFrame, digest_bytes: int = 32, bucket_keys: int = BUCKET_KEY
             F.count(F.lit(1)).alias("n"), F.max(F.struct("doc_id", (-F.col("row")).alias("back"))).alias("last")
         )
     )
-    snapshot, batch = counted.where("old"), counted.where("NOT old")
+    columns = ["digest", "n", "last"]
+    snapshot, batch = counted.where("old").select(columns), counted.where("NOT old").select(columns)
     buckets = max(1, -(-counted.count() // bucket_keys))
-    passed = screen(batch, build_filters(snapshot, buckets), buckets)
-    known_again = passed.join(snapshot.select("digest"), "digest", "left_semi")
-    repeated = staged(counted.where("n > 1").select("digest").union(known_again).distinct())
-    groups = counted.groupBy("digest").agg(F.sum("n").alias("group_size"), F.max("last").alias("last"))
+    passed = staged(screen(batch, build_filters(snapshot, buckets), buckets))
+    # What the filters reject is in no snapshot bucket: the batch's own groups are whole.
+    known = snapshot.union(batch.join(passed, "digest", "left_semi")).groupBy("digest")
+    known = known.agg(F.sum("n").alias("group_size"), F.max("last").alias("last"))
+    own = batch.join(passed, "digest", "left_anti").select("digest", F.col("n").alias("group_size"), "last")
+    groups = staged(known.union(own.select(*known.columns)))
+    repeated = staged(groups.where("group_size > 1").select("digest"))
     mixed = _unequal(texts, repeated, digest_bytes)
     ready = _assigned(rows.join(mixed, "digest", "left_anti"), groups, ["digest"])
     if mixed.isEmpty():

@@ -446,6 +446,14 @@ def test_line_links_and_removals_equal_all_pairs(spark, texts):
 # ------------------------------------------------------------------------ exact
 
 
+def test_exact_groups_across_the_halves_come_from_the_filters(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b"), (4, "c"), (5, "c"), (6, "a"), (7, "d")], "doc_id long, text string")
+    assert {i: r.group_size for i, r in by_id(exact.dedup(docs)).items()} == {1: 2, 2: 2, 3: 2, 4: 2, 5: 2, 6: 2, 7: 1}
+    monkeypatch.setattr(exact, "screen", lambda incoming, *_: incoming.select("digest").where("false"))
+    own = by_id(exact.dedup(docs.where("doc_id in (1, 4, 6, 7)")))
+    assert [own[i].group_size for i in (1, 4, 6, 7)] == [1, 1, 1, 1]
+
+
 def test_exact_groups_with_a_short_digest_compare_bytes(spark):
     rows = [(i, ["Aa", "aA", "Ä", "ä", None, "", "b" * (i % 3)][i % 7]) for i in range(70)]
     docs = spark.createDataFrame([*rows, (None, "aa"), (69, rows[69][1])], "doc_id long, text string")
