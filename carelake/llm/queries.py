@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.llm import exact, html_text, licences, lines, mixing, near, packing, quality, secrets, simhash
+from carelake.llm import exact, html_text, licences, lines, mixing, near, packing, quality, secrets, simhash, spelling
 from carelake.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -62,6 +62,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.drop("loss_tokens")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_html_extraction": op1_html_extraction,
@@ -74,6 +78,7 @@ def queries() -> dict[str, Query]:
         "op8_line_dedup": op8_line_dedup,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_packing": op10_packing,
+        "op11_spelling_variants": op11_spelling_variants,
     }
 
 
