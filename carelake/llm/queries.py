@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.llm import exact, html_text, licences, lines, mixing, near, packing, quality, secrets, simhash, spelling
+from carelake.llm import exact, html_text, licences, lines, mixing, near, packing, pigeonhole, quality, secrets, simhash, spelling
 from carelake.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -66,6 +66,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op13_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pigeonhole.near_components(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_html_extraction": op1_html_extraction,
@@ -79,6 +83,7 @@ def queries() -> dict[str, Query]:
         "op9_exact_dedup": op9_exact_dedup,
         "op10_packing": op10_packing,
         "op11_spelling_variants": op11_spelling_variants,
+        "op13_simhash_components": op13_simhash_components,
     }
 
 
