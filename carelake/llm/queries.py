@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carelake.llm import exact, html_text, licences, lines, mixing, near, packing, pigeonhole, quality, secrets, simhash, spelling
+from carelake.llm import exact, html_text, licences, lines, mixing, near, negatives, packing, pigeonhole, quality, secrets, simhash, spelling
 from carelake.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -66,6 +66,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(table(spark, sf_dir, "embeddings"), label=negatives.relabelled())
+
+
 def op13_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pigeonhole.near_components(table(spark, sf_dir, "documents"))
 
@@ -83,6 +87,7 @@ def queries() -> dict[str, Query]:
         "op9_exact_dedup": op9_exact_dedup,
         "op10_packing": op10_packing,
         "op11_spelling_variants": op11_spelling_variants,
+        "op12_hard_negatives": op12_hard_negatives,
         "op13_simhash_components": op13_simhash_components,
     }
 
@@ -92,4 +97,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_mixing": mixing.ORACLE,
         "op6_secret_scan": secrets.ORACLE,
         "op9_exact_dedup": exact.ORACLE,
+        "op12_hard_negatives": negatives.ORACLE,
     }
