@@ -38,6 +38,8 @@ LOOK_UP = 1000
 HELD = 1024
 STREAMED = 8192
 HOT_SHARE = 1000
+# Sums that travel in one row.
+TOGETHER = 256
 _PIECE = 1 << 16
 _APART = np.bitwise_count(np.arange(256, dtype=np.uint8)[:, None] ^ np.arange(256, dtype=np.uint8)[None, :])
 
@@ -98,20 +100,31 @@ def in_lanes(values: np.ndarray, order: list[int]) -> np.ndarray:
 
 def _totals(groups: DataFrame, measure, size: int) -> np.ndarray:
     """``measure`` of all fingerprints, an array of a fixed ``size``: summed in the tasks, then over them."""
-    schema = pa.schema([("at", pa.int32()), ("amount", pa.float64())])
+    schema = pa.schema([("part", pa.int32()), ("amounts", pa.binary())])
+
+    def rows(total: np.ndarray) -> Iterator[tuple[int, bytes]]:
+        for at in range(0, size, TOGETHER):
+            yield at // TOGETHER, total[at : at + TOGETHER].tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size)
+        total, some = np.zeros(size), False
         for batch in batches:
             if batch.num_rows:
-                total += measure(_column(batch)).ravel()
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(total[used])], schema=schema)
-
-    rows = groups.select("bits").mapInArrow(run, "at int, amount double").groupBy("at").agg(F.sum("amount").alias("amount"))
+                total, some = total + measure(_column(batch)).ravel(), True
+        if some:
+            yield from in_batches(rows(total), schema)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for part, amounts in arrow_rows(batches, "part", "amounts"):
+            total[part] = total.get(part, 0.0) + np.frombuffer(amounts)
+        yield from in_batches(((k, v.tobytes()) for k, v in total.items()), schema)
+
+    columns, parts = "part int, amounts binary", -(-size // TOGETHER)
+    counted = groups.select("bits").mapInArrow(run, columns).repartition(parts, "part")
     out = np.zeros(size)
-    for at, amount in rows.collect():
-        out[at] = amount
+    for part, amounts in counted.mapInArrow(add, columns).collect():
+        out[part * TOGETHER : (part + 1) * TOGETHER] = np.frombuffer(amounts)
     return out
 
 
