@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from carelake.operators.skew import hot_keys, salted_join
+from carelake.operators.skew import grid_join, hot_parts
 
 # A dictionary is broadcast up to these bounds; beyond them the join shuffles.
 MAX_BROADCAST_ROWS = 200_000
@@ -78,7 +78,7 @@ def lookup(
 
     ``on`` maps columns of ``df`` to the dictionary's keys. The dictionary is
     broadcast if its check allows; otherwise both sides shuffle, with the hot
-    keys of ``df`` salted.
+    keys of ``df`` cut into parts.
     """
     if sorted(on.values()) != sorted(entries.keys):
         raise ValueError(f"join needs the dictionary keys {list(entries.keys)}")
@@ -88,7 +88,8 @@ def lookup(
     columns = list(on)
     if entries.small:
         return df.join(F.broadcast(table), columns, how)
-    return salted_join(df, table, columns, hot_keys(df, columns[0]), how)
+    cells = {key: (parts, 1) for key, parts in hot_parts(df, columns[0]).items()}
+    return grid_join(df, table, columns, cells, how)
 
 
 def translate(

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from carelake.operators.lookup import Dictionary, lookup, translate
-from carelake.operators.skew import hot_keys, salted_join, skew_join
+from carelake.operators.skew import grid_join, hot_keys, hot_parts, salted_join, skew_join
 
 
 @pytest.fixture(scope="module")
@@ -53,6 +53,48 @@ def test_hot_rows_spread_over_tasks(spark, facts, dims):
     assert tasks > 1
 
 
+def test_parts_follow_the_share_of_a_key(spark, facts):
+    assert hot_parts(facts, "key", share=0.1, min_rows=10) == {"hot": 4, None: 2}
+    assert hot_parts(facts, "key", share=0.1, min_rows=1900) == {"hot": 2}
+    assert hot_parts(facts.limit(0), "key", min_rows=0) == {}
+    assert hot_parts(facts.where("key is null"), "key", min_rows=10) == {None: 50}
+
+
+
+
+@pytest.mark.parametrize("a, b", [(1, 1), (4, 1), (1, 4), (3, 5)])
+def test_grid_join_equals_the_plain_join(facts, rows, a, b):
+    other = facts.select("key", (F.col("x") + 1).alias("y"), F.monotonically_increasing_id().alias("z")).where("x < 90")
+    cells = {"hot": (a, b), "k2": (b, a), "absent": (2, 2), None: (2, 2)}
+    expected = facts.join(other, "key").groupBy("key", "x", "y", "z").count()
+    found = grid_join(facts, other, ["key"], cells).groupBy("key", "x", "y", "z").count()
+    assert rows(found) == rows(expected)
+
+
+def test_a_key_hot_on_the_right_is_cut_there_and_not_copied(spark, facts):
+    """The left side has one row of the key: it is copied, the many right rows are not."""
+    few = spark.createDataFrame([("hot", 1), ("k1", 2)], "key string, y int")
+    text = skew_join(few, facts, "key", share=0.1, min_rows=10)
+    logical = text._jdf.queryExecution().optimizedPlan().toString()
+    assert logical.count("Generate") == 1
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        joined = skew_join(few, facts, "key", share=0.05, min_rows=10).where("key = 'hot'")
+        per_task = [r[0] for r in joined.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert sum(per_task) == 2000 and len(per_task) >= 3 and max(per_task) <= 1400
+
+
+def test_a_left_join_does_not_cut_the_right_side(facts, dims):
+    with pytest.raises(ValueError, match="right side"):
+        grid_join(facts, dims, ["key"], {"hot": (1, 2)}, "left")
+
+
 def test_other_join_kinds_are_refused(facts, dims):
     with pytest.raises(ValueError, match="full"):
         salted_join(facts, dims, ["key"], ["hot"], "full")
