@@ -1,38 +1,85 @@
-"""Graphs kept as Parquet, one directory per predicate."""
+"""Graphs kept as Parquet: one directory per predicate, bucketed and sorted by subject.
+
+All triples of a subject lie in the bucket of the same number, whatever their
+predicate, so patterns that share a subject are joined without an exchange.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from carelake import schemas
-from carelake.operators.match import HOT_SHARE, Graph, graph_of, hot_terms, node_kinds
+from carelake.operators.match import HOT_SHARE, Graph, graph_of, hot_terms, profile
 from carelake.operators.skew import MIN_HOT_ROWS
-from carelake.sources.tables import path_exists, write_partitioned, write_tables
+from carelake.sources import versions
+from carelake.sources.tables import write_tables
+
+HOT_TERMS = "p string, kind string, position string, term string, parts int"
+PROFILE = "p string, subject string, position string, kind string, rows long, distinct long, numbers array<double>, sketch binary"
+# Triples that a bucket should hold, and the least and most buckets.
+BUCKET_ROWS, LEAST_BUCKETS, MOST_BUCKETS = 4_000_000, 8, 1 << 14
 
-HOT_TERMS = "p string, position string, term string"
-NODE_KINDS = "p string, position string, kind string"
+
+def buckets_for(triples: int) -> int:
+    """The power of two that gives each bucket about :data:`BUCKET_ROWS` triples."""
+    wanted = -(-triples // BUCKET_ROWS)
+    return min(MOST_BUCKETS, max(LEAST_BUCKETS, 1 << max(wanted - 1, 0).bit_length()))
 
 
 def save_graph(
-    triples: DataFrame, path: str, share: float = HOT_SHARE, min_rows: int = MIN_HOT_ROWS
+    triples: DataFrame,
+    path: str,
+    share: float = HOT_SHARE,
+    min_rows: int = MIN_HOT_ROWS,
+    buckets: int | None = None,
 ) -> None:
-    """Write the triples, then the hot terms and node kinds found in what was written.
+    """Write the triples, then the hot terms and the profile of what was written, and commit all three as one version.
 
     A pattern with a constant predicate then reads one directory only. Files
-    are sorted by subject, so that a node kind is a run of row groups.
+    are sorted by subject, so that a node kind is a run of row groups. Without
+    ``buckets`` there are as many as the session's shuffle partitions; take
+    :func:`buckets_for` where the number of triples is known.
     """
     spark = triples.sparkSession
-    write_partitioned(triples, f"{path}/triples", "p", sort_by=["s"])
-    written = spark.read.schema(schemas.TRIPLES).parquet(f"{path}/triples")
-    found = {"hot_terms": hot_terms(written, share, min_rows), "kinds": node_kinds(written)}
-    write_tables({name: df.coalesce(1) for name, df in found.items()}, path)
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    version = versions.new_version(path)
+    name = _table_name(version)
+    placed = triples.select(schemas.TRIPLES.names).repartition(count, "s")
+    writer = placed.write.mode("overwrite").partitionBy("p").bucketBy(count, "s").sortBy("s")
+    writer.option("path", f"{version}/triples").saveAsTable(name)
+    # The files are the graph; whoever reads it declares them again.
+    spark.sql(f"DROP TABLE {name}")
+    written = spark.read.schema(schemas.TRIPLES).parquet(f"{version}/triples")
+    write_tables({"hot_terms": hot_terms(written, share, min_rows), "profile": profile(written)}, version)
+    versions.commit(spark, path, version, buckets=str(count))
+
+
+def _table_name(version: str) -> str:
+    return "carelake_" + version.rpartition("/")[2].replace("-", "_")
+
+
+def _declared(spark: SparkSession, version: versions.Version) -> DataFrame:
+    """The written triples as a table of this session, which knows their buckets."""
+    name = _table_name(version.path)
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schemas.TRIPLES.fields)
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY (p) "
+            f"CLUSTERED BY (s) SORTED BY (s) INTO {int(version.options['buckets'])} BUCKETS "
+            f"LOCATION '{version.path}/triples'"
+        )
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    return spark.table(name).select(schemas.TRIPLES.names)
 
 
 def load_graph(spark: SparkSession, path: str) -> Graph:
-    triples = spark.read.schema(schemas.TRIPLES).parquet(f"{path}/triples")
-    hot = spark.read.schema(HOT_TERMS).parquet(f"{path}/hot_terms")
-    return graph_of(triples, hot, spark.read.schema(NODE_KINDS).parquet(f"{path}/kinds"))
+    """The graph as last committed."""
+    version = versions.current(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no graph at {path}")
+    hot = spark.read.schema(HOT_TERMS).parquet(f"{version.path}/hot_terms")
+    return graph_of(_declared(spark, version), hot, spark.read.schema(PROFILE).parquet(f"{version.path}/profile"))
 
 
 def graph_exists(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, f"{path}/triples")
+    return versions.current(spark, path) is not None
