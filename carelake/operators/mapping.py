@@ -1,12 +1,13 @@
 """Mapping of the integrated tables to triples.
 
-A table's rows become distinct on the mapped columns before they fan out. When
-every node then has a single row, which a count of the node ids shows, its
-triples cannot repeat, and the many and wide triples need no shuffle at all.
+Rows meet once, by node: each node's distinct rows become its triples where
+they are, and rows that disagree about a node are told apart there too. So the
+many and wide triples need no shuffle, and nothing is counted beforehand.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,11 +21,12 @@ from carelake.operators.integrate import Dictionaries, missing_entities
 from carelake.operators.lookup import Dictionary, lookup
 from carelake.session import concurrently
 
-NODE = "node"
+NODE, ROWS = "node", "rows"
+Field = Callable[[str], Column]
 
 
-def _patient() -> Column:
-    return v.node("patient", F.col("patient_id_pseudo"))
+def _patient(field: Field = F.col) -> Column:
+    return v.node("patient", field("patient_id_pseudo"))
 
 
 def _node_triples(
@@ -32,25 +34,31 @@ def _node_triples(
     kind: str,
     key: Column,
     columns: list[str],
-    *triples: Column,
+    triples: Callable[[Field], list[Column]],
     staging: str | None = None,
 ) -> DataFrame:
-    """The set of triples of one kind of node, which ``triples`` call ``node``.
+    """The set of triples of one kind of node, in one exchange.
 
-    ``columns`` are those that the triples use. If some node has several rows,
-    whose triples may then repeat, they are compared triple by triple. With
-    ``staging``, the distinct rows are written there once instead of being
-    worked out for the count and again for the triples.
+    ``triples`` builds a row's triples from its fields, which are among
+    ``columns``; every one of them names the node. Repeated rows go within
+    each task, before the exchange by node. A node has several distinct rows
+    only where its sources disagree; its triples are then made distinct as a
+    list. That list is held in memory, so a key that stands for many things
+    (say one id for all results) is an error to be cleaned before.
     """
-    node = v.node(kind, key)
-    rows = df.select(node.alias(NODE), *columns).where(F.col(NODE).isNotNull()).dropDuplicates()
+    rows = df.select(v.node(kind, key).alias(NODE), *columns).where(F.col(NODE).isNotNull())
+    if not columns:
+        return v.emit(rows.distinct(), *triples(F.col))
+    grouped = rows.groupBy(NODE).agg(F.collect_set(F.struct(*columns)).alias(ROWS))
     if staging is not None:
         path = f"{staging}/{kind}"
-        rows.write.mode("overwrite").parquet(path)
-        rows = df.sparkSession.read.schema(rows.schema).parquet(path)
-    total, nodes = rows.agg(F.count(F.lit(1)), F.count_distinct(NODE)).first()
-    found = v.emit(rows, *triples)
-    return found if total == nodes else found.dropDuplicates()
+        grouped.write.mode("overwrite").parquet(path)
+        grouped = df.sparkSession.read.schema(grouped.schema).parquet(path)
+    only = F.col(ROWS)[0]
+    one = F.array(*triples(lambda name: only[name]))
+    several = F.flatten(F.transform(ROWS, lambda row: F.array(*triples(lambda name: row[name]))))
+    found = grouped.select(F.inline(F.when(F.size(ROWS) == 1, one).otherwise(F.array_distinct(several))))
+    return found.where(F.col("s").isNotNull() & F.col("o").isNotNull())
 
 
 def map_patients(patients: DataFrame, staging: str | None = None) -> DataFrame:
@@ -62,9 +70,8 @@ def map_patients(patients: DataFrame, staging: str | None = None) -> DataFrame:
         "patient",
         F.col("patient_id_pseudo"),
         ["name"],
-        v.typed(p, "ont:Patient"),
-        v.triple(p, "ont:label", F.col("name")),
-        staging=staging,
+        lambda field: [v.typed(p, "ont:Patient"), v.triple(p, "ont:label", field("name"))],
+        staging,
     )
 
 
@@ -81,34 +88,37 @@ def map_imaging(
     people = complete.select("patient_id_pseudo").distinct()
     if patients is not None:
         people = missing_entities(complete, patients, "patient_id_pseudo")
-    node, p = F.col(NODE), _patient()
-    study_date = blank_to_null(date_text(F.col("study_date")))
+    node = F.col(NODE)
     studies = _node_triples(
         complete,
         "imagingstudy",
         F.col("study_uid"),
         ["study_uid", "study_date", "patient_id_pseudo"],
-        v.typed(node, "ont:ImagingStudy"),
-        v.triple(node, "ont:studyUID", F.col("study_uid")),
-        v.triple(node, "ont:date", study_date, dtype=XSD_DATE),
-        v.triple(p, "ont:hasImagingStudy", node, IRI),
-        staging=staging,
+        lambda field: [
+            v.typed(node, "ont:ImagingStudy"),
+            v.triple(node, "ont:studyUID", field("study_uid")),
+            v.triple(node, "ont:date", blank_to_null(date_text(field("study_date"))), dtype=XSD_DATE),
+            v.triple(_patient(field), "ont:hasImagingStudy", node, IRI),
+        ],
+        staging,
     )
     instances = _node_triples(
         complete,
         "dicom",
         F.col("dicom_id"),
         [*keys, "series_uid", "modality", "file_path"],
-        v.typed(node, "ont:DicomInstance"),
-        v.triple(node, "ont:hasPatient", p, IRI),
-        v.triple(node, "ont:seriesUID", blank_to_null(F.col("series_uid"))),
-        v.triple(node, "ont:sopUID", F.col("dicom_id")),
-        v.triple(node, "ont:modality", blank_to_null(F.col("modality"))),
-        v.triple(node, "ont:filePath", blank_to_null(F.col("file_path"))),
-        v.triple(v.node("imagingstudy", F.col("study_uid")), "ont:hasDicomInstance", node, IRI),
-        staging=staging,
+        lambda field: [
+            v.typed(node, "ont:DicomInstance"),
+            v.triple(node, "ont:hasPatient", _patient(field), IRI),
+            v.triple(node, "ont:seriesUID", blank_to_null(field("series_uid"))),
+            v.triple(node, "ont:sopUID", field("dicom_id")),
+            v.triple(node, "ont:modality", blank_to_null(field("modality"))),
+            v.triple(node, "ont:filePath", blank_to_null(field("file_path"))),
+            v.triple(v.node("imagingstudy", field("study_uid")), "ont:hasDicomInstance", node, IRI),
+        ],
+        staging,
     )
-    typed = v.emit(people, v.typed(p, "ont:Patient"))
+    typed = v.emit(people, v.typed(_patient(), "ont:Patient"))
     return typed.unionByName(studies).unionByName(instances)
 
 
@@ -122,11 +132,13 @@ def map_conditions(
         "condition",
         key,
         ["patient_id_pseudo", "icd10_code", "icd10_label"],
-        v.typed(node, "ont:Condition"),
-        v.triple(node, "ont:icd10Code", F.col("icd10_code")),
-        v.triple(node, "ont:label", F.col("icd10_label")),
-        v.triple(_patient(), "ont:hasCondition", node, IRI),
-        staging=staging,
+        lambda field: [
+            v.typed(node, "ont:Condition"),
+            v.triple(node, "ont:icd10Code", field("icd10_code")),
+            v.triple(node, "ont:label", field("icd10_label")),
+            v.triple(_patient(field), "ont:hasCondition", node, IRI),
+        ],
+        staging,
     )
 
 
@@ -144,11 +156,13 @@ def map_allergies(
         "allergy",
         key,
         ["patient_id_pseudo", "allergy", "family"],
-        v.typed(node, "ont:Allergy"),
-        v.triple(node, "ont:label", F.col("allergy")),
-        v.triple(_patient(), "ont:hasAllergy", node, IRI),
-        v.triple(node, "ont:affectsFamily", v.node("drugfamily", F.col("family")), IRI),
-        staging=staging,
+        lambda field: [
+            v.typed(node, "ont:Allergy"),
+            v.triple(node, "ont:label", field("allergy")),
+            v.triple(_patient(field), "ont:hasAllergy", node, IRI),
+            v.triple(node, "ont:affectsFamily", v.node("drugfamily", field("family")), IRI),
+        ],
+        staging,
     )
 
 
@@ -156,31 +170,36 @@ def map_prescriptions(
     prescriptions: DataFrame, keep: int = 32, staging: str | None = None
 ) -> DataFrame:
     """Drugs with their family, and prescriptions; an undated one has an id but no date."""
-    drug = F.replace(F.col("drug"), F.lit(" "), F.lit("_"))
     key = node_id(F.col("patient_id"), F.col("drug"), F.col("date"), keep=keep)
     node = F.col(NODE)
-    family = v.node("drugfamily", F.col("drug_family"))
+
+    def drug(field: Field) -> Column:
+        return F.replace(field("drug"), F.lit(" "), F.lit("_"))
+
     drugs = _node_triples(
         prescriptions,
         "drug",
-        drug,
+        drug(F.col),
         ["drug", "drug_family"],
-        v.typed(node, "ont:Drug"),
-        v.triple(node, "ont:label", F.col("drug")),
-        v.triple(node, "ont:belongsToFamily", family, IRI),
-        staging=staging,
+        lambda field: [
+            v.typed(node, "ont:Drug"),
+            v.triple(node, "ont:label", field("drug")),
+            v.triple(node, "ont:belongsToFamily", v.node("drugfamily", field("drug_family")), IRI),
+        ],
+        staging,
     )
-    date = blank_to_null(F.col("date").cast("string"))
     prescribed = _node_triples(
         prescriptions,
         "prescription",
         key,
         ["patient_id_pseudo", "drug", "date"],
-        v.typed(node, "ont:Prescription"),
-        v.triple(node, "ont:drug", v.node("drug", drug), IRI),
-        v.triple(node, "ont:date", date, dtype=XSD_DATE),
-        v.triple(_patient(), "ont:hasPrescription", node, IRI),
-        staging=staging,
+        lambda field: [
+            v.typed(node, "ont:Prescription"),
+            v.triple(node, "ont:drug", v.node("drug", drug(field)), IRI),
+            v.triple(node, "ont:date", blank_to_null(field("date").cast("string")), dtype=XSD_DATE),
+            v.triple(_patient(field), "ont:hasPrescription", node, IRI),
+        ],
+        staging,
     )
     return drugs.unionByName(prescribed)
 
@@ -188,23 +207,24 @@ def map_prescriptions(
 def map_labs(labs: DataFrame, staging: str | None = None) -> DataFrame:
     """Laboratory results, all of them."""
     node = F.col(NODE)
-    test = F.col("test_code_loinc")
     results = _node_triples(
         labs,
         "lab",
         F.col("lab_id"),
         ["patient_id_pseudo", "value", "unit", "date", "test_code_loinc", "test_name"],
-        v.typed(node, "ont:LabResult"),
-        v.triple(node, "ont:hasPatient", _patient(), IRI),
-        v.triple(node, "ont:value", F.nanvl(number(F.col("value")), F.lit(None).cast("double")), dtype=XSD_FLOAT),
-        v.triple(node, "ont:unit", F.col("unit")),
-        v.triple(node, "ont:date", F.col("date"), dtype=XSD_DATE),
-        v.triple(node, "ont:loincCode", F.col("test_code_loinc")),
-        v.triple(node, "ont:label", F.col("test_name")),
-        v.triple(node, "ont:hasTest", v.node("loinc", test), IRI),
-        staging=staging,
+        lambda field: [
+            v.typed(node, "ont:LabResult"),
+            v.triple(node, "ont:hasPatient", _patient(field), IRI),
+            v.triple(node, "ont:value", F.nanvl(number(field("value")), F.lit(None).cast("double")), dtype=XSD_FLOAT),
+            v.triple(node, "ont:unit", field("unit")),
+            v.triple(node, "ont:date", field("date"), dtype=XSD_DATE),
+            v.triple(node, "ont:loincCode", field("test_code_loinc")),
+            v.triple(node, "ont:label", field("test_name")),
+            v.triple(node, "ont:hasTest", v.node("loinc", field("test_code_loinc")), IRI),
+        ],
+        staging,
     )
-    tests = _node_triples(labs, "loinc", test, [], v.typed(node, "ont:Test"), staging=staging)
+    tests = _node_triples(labs, "loinc", F.col("test_code_loinc"), [], lambda _: [v.typed(node, "ont:Test")])
     return results.unionByName(tests)
 
 
@@ -219,8 +239,7 @@ def build_graph(
     """The whole graph as a set of triples.
 
     Each part is a set and no two parts share a triple, since a triple names a
-    node of its own kind; so the union is a set as it stands. The parts are
-    counted as the plan is made: pass written tables, and a ``staging`` folder.
+    node of its own kind; so the union is a set as it stands.
     """
     ruled_out = dictionaries.allergy_families
     parts = concurrently(

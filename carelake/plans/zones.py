@@ -315,7 +315,7 @@ def run_pipeline(
         for name in schemas.INTEGRATED_TABLES
     }
 
-    triples = build_graph(spark, gold, dictionaries, staging=f"{out_dir}/staging/graph")
+    triples = build_graph(spark, gold, dictionaries)
     save_graph(triples, f"{out_dir}/graph")
     graph = load_graph(spark, f"{out_dir}/graph")
     write_ntriples(graph.triples, f"{out_dir}/rdf", names)
