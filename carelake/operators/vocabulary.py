@@ -11,16 +11,44 @@ from carelake.operators.integrate import Dictionaries
 from carelake.operators.lookup import local_table
 
 # The declared classes and properties, and the scheme labels.
-CLASSES = (
-    "Patient LabResult Test Condition Drug DrugFamily Allergy Alert ImagingStudy DicomInstance"
-).split()
-OBJECT_PROPERTIES = (
-    "hasPatient hasTest hasCondition hasAllergy hasPrescription hasImagingStudy "
-    "hasDicomInstance drug belongsToFamily affectsFamily triggersAlert"
-).split()
-DATATYPE_PROPERTIES = (
-    "value unit loincCode icd10Code label date modality studyUID seriesUID sopUID filePath"
-).split()
+CLASSES = [
+    "Patient",
+    "LabResult",
+    "Test",
+    "Condition",
+    "Drug",
+    "DrugFamily",
+    "Allergy",
+    "Alert",
+    "ImagingStudy",
+    "DicomInstance",
+]
+OBJECT_PROPERTIES = [
+    "hasPatient",
+    "hasTest",
+    "hasCondition",
+    "hasAllergy",
+    "hasPrescription",
+    "hasImagingStudy",
+    "hasDicomInstance",
+    "drug",
+    "belongsToFamily",
+    "affectsFamily",
+    "triggersAlert",
+]
+DATATYPE_PROPERTIES = [
+    "value",
+    "unit",
+    "loincCode",
+    "icd10Code",
+    "label",
+    "date",
+    "modality",
+    "studyUID",
+    "seriesUID",
+    "sopUID",
+    "filePath",
+]
 SCHEME_LABELS = {"loinc": "LOINC mini scheme", "icd10": "ICD-10 mini scheme"}
 FAMILY_ROOT = "Medicines"
 DEFAULT_TITLE = "Health Mini Ontology"

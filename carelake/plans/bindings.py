@@ -20,7 +20,7 @@ from carelake.operators.skew import hot_keys, salted_join
 from carelake.plans import zones
 from carelake.session import scratch_path, tune
 from carelake.sources import tables as io
-from carelake.sources.graphs import load_graph, save_graph
+from carelake.sources.graphs import buckets_for, load_graph, save_graph
 
 LAB_TESTS = [
     ("c-click", "click", "mg/dL", 1.0, 140.0),
@@ -30,7 +30,6 @@ LAB_TESTS = [
 CONDITION_LABELS = [("1", "Urgent"), ("2", "High"), ("3", "Medium")]
 ALLERGY_FAMILIES = [("AUTOMOBILE", "ECONOMY"), ("BUILDING", "PROMO")]
 UNIT_RULES = [("click", "µmol/L", "mg/dL", 88.4, 3)]
-UNLISTED_TYPE = "STANDARD"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,7 +56,7 @@ def _once(spark: SparkSession, sf_dir: str, what: str, find):
 
 
 def dictionaries(spark: SparkSession, sf_dir: str) -> Dictionaries:
-    drugs = table(spark, sf_dir, "part").where(F.col("p_type") != UNLISTED_TYPE)
+    drugs = table(spark, sf_dir, "part")
     data = schemas.ReferenceData(
         lab_tests=LAB_TESTS,
         condition_labels=CONDITION_LABELS,
@@ -213,7 +212,9 @@ def _write_graph(spark: SparkSession, sf_dir: str, path: str) -> None:
         name: io.table_or_empty(spark, f"{root}/gold", name) for name in schemas.INTEGRATED_TABLES
     }
     bound = dictionaries(spark, sf_dir)
-    save_graph(build_graph(spark, gold, bound, staging=f"{path}/staging"), path)
+    # A row gives four to eight triples; counting reads file footers alone.
+    rows = sum(df.count() for df in gold.values())
+    save_graph(build_graph(spark, gold, bound), path, buckets=buckets_for(6 * rows))
 
 
 def stored_graph(spark: SparkSession, sf_dir: str) -> Graph:

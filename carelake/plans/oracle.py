@@ -18,12 +18,6 @@ def node_key(*parts: str) -> str:
     return f"substr(sha256({framed}), 1, 32)"
 
 
-def checksum(*columns: str) -> str:
-    text = ", ".join(f"coalesce(cast({c} as varchar), '~')" for c in columns)
-    digits = f"substr(sha256(concat_ws('|', {text})), 1, 8)"
-    return f"cast(sum(cast('0x' || {digits} as bigint)) % {2**61} as bigint)"
-
-
 def full(term: str) -> str:
     return f"'{RES}' || substr({term}, 5)"
 
@@ -69,7 +63,7 @@ RULED_OUT = "(values ('AUTOMOBILE', 'ECONOMY'), ('BUILDING', 'PROMO')) m(allergy
 PRESCRIPTIONS = f"""
 select cast(o_custkey as varchar) patient_id, cast(l_partkey as varchar) drug,
   strftime(l_shipdate, '%Y-%m-%d') "date", {pseudo('o_custkey')} patient_id_pseudo,
-  case when p_type is null or p_type = 'STANDARD' then 'UnknownFamily' else p_type end drug_family
+  coalesce(p_type, 'UnknownFamily') drug_family
 from lineitem join orders on l_orderkey = o_orderkey left join part on p_partkey = l_partkey"""
 INSTANCE = "concat_ws('.', l_orderkey, l_linenumber, l_returnflag)"
 IMAGES = f"""
@@ -182,7 +176,7 @@ select 'loinc' scheme, code, name as label
 from (values ('c-click', 'click'), ('c-view', 'view'), ('c-error', 'error')) t(code, name)
 union all select 'icd10', code, label from (values ('1', 'Urgent'), ('2', 'High'), ('3', 'Medium')) d(code, label)"""
 CODE_NODE, FAMILY_NODE = "'res:' || scheme || '/' || code", "'res:drugfamily/' || family"
-FAMILIES = "select distinct p_type family from part where p_type <> 'STANDARD'"
+FAMILIES = "select distinct p_type family from part where p_type is not null"
 ROOT = "'res:drugfamily/Medicines'"
 CONCEPTS = " union ".join(
     f"(select * from ({part}))"
@@ -231,12 +225,8 @@ STATIC = _static()
 GRAPH = " union ".join(f"(select * from ({part}))" for part in [STATIC, CONCEPTS, *MAPPED.values()])
 
 
-def by_predicate(source: str) -> str:
-    total = checksum("s", "o", "o_kind", "o_dtype")
-    return (
-        f"select p, count(*) as triples, {total} as checksum "
-        f"from ({source}) g group by p"
-    )
+def triple_rows(source: str) -> str:
+    return f"select s, p, o, o_kind, o_dtype, cast(null as varchar) as o_lang from ({source}) g"
 
 
 # --------------------------------------------------------------------- answers
@@ -253,7 +243,21 @@ def _uid(seed: str) -> str:
     return f"'1.2.826.0.1.3680043.10.543.' || cast({number} as varchar)"
 
 
-LAB_COLUMNS = "lab_id patient_id test_code_loinc test_name value unit date status source_system patient_id_pseudo ref_low ref_high is_abnormal".split()
+LAB_COLUMNS = [
+    "lab_id",
+    "patient_id",
+    "test_code_loinc",
+    "test_name",
+    "value",
+    "unit",
+    "date",
+    "status",
+    "source_system",
+    "patient_id_pseudo",
+    "ref_low",
+    "ref_high",
+    "is_abnormal",
+]
 
 
 def _nulls(column: str) -> str:
@@ -275,12 +279,12 @@ def _completeness(name: str) -> str:
 
 
 TABLE_COLUMNS = {
-    "patients": "patient_id first_name last_name gender birthDate country patient_id_pseudo gender_unified".split(),
+    "patients": ["patient_id", "first_name", "last_name", "gender", "birthDate", "country", "patient_id_pseudo", "gender_unified"],
     "lab_results": LAB_COLUMNS,
-    "conditions": "patient_id icd10_code patient_id_pseudo icd10_label".split(),
-    "allergies": "patient_id allergy patient_id_pseudo".split(),
-    "prescriptions": "patient_id drug date patient_id_pseudo drug_family".split(),
-    "dicom_images": "dicom_id patient_id patient_id_pseudo study_uid series_uid modality study_date file_path rows cols".split(),
+    "conditions": ["patient_id", "icd10_code", "patient_id_pseudo", "icd10_label"],
+    "allergies": ["patient_id", "allergy", "patient_id_pseudo"],
+    "prescriptions": ["patient_id", "drug", "date", "patient_id_pseudo", "drug_family"],
+    "dicom_images": ["dicom_id", "patient_id", "patient_id_pseudo", "study_uid", "series_uid", "modality", "study_date", "file_path", "rows", "cols"],
 }
 
 
@@ -289,7 +293,8 @@ def _gold(name: str) -> str:
     columns = [
         f'cast("{c}" as decimal(18,6))' if c in doubles else f'"{c}"' for c in TABLE_COLUMNS[name]
     ]
-    return f"select '{name}' as \"table\", count(*) as \"rows\", {checksum(*columns)} as checksum from ({TABLES[name]})"
+    text = ", ".join(f"coalesce(cast({c} as varchar), '~')" for c in columns)
+    return f"select '{name}' as \"table\", concat_ws('|', {text}) as \"row\" from ({TABLES[name]})"
 
 
 def _lineage() -> str:
@@ -417,13 +422,13 @@ ORACLE = {
         from (values {', '.join(f"('{t}', '{k}')" for t, k in DECLARED)}) d(term, kind)
         left join (select case when p = 'rdf:type' then o else p end as term, count(*) as n
                    from ({GRAPH}) g group by 1) u on u.term = d.term""",
-    "vocab_concepts": by_predicate(CONCEPTS),
-    "map_patients": by_predicate(MAPPED["patients"]),
-    "map_imaging": by_predicate(MAPPED["dicom_images"]),
-    "map_conditions": by_predicate(MAPPED["conditions"]),
-    "map_allergies": by_predicate(MAPPED["allergies"]),
-    "map_prescriptions": by_predicate(MAPPED["prescriptions"]),
-    "map_labs": by_predicate(MAPPED["lab_results"]),
+    "vocab_concepts": triple_rows(CONCEPTS),
+    "map_patients": triple_rows(MAPPED["patients"]),
+    "map_imaging": triple_rows(MAPPED["dicom_images"]),
+    "map_conditions": triple_rows(MAPPED["conditions"]),
+    "map_allergies": triple_rows(MAPPED["allergies"]),
+    "map_prescriptions": triple_rows(MAPPED["prescriptions"]),
+    "map_labs": triple_rows(MAPPED["lab_results"]),
     "graph_size": f"select count(*) as triples from ({GRAPH}) g",
     "bgp_single": f"select distinct {LAB} as lab from ({LABS}) where test_name = 'click'",
     "bgp_star": STAR,
@@ -451,11 +456,9 @@ ORACLE = {
     "route_resources": ROUTED,
     "to_resources": RESOURCES,
     "table_roundtrip": LABS,
-    "ntriples_roundtrip": by_predicate(GRAPH),
+    "ntriples_roundtrip": triple_rows(GRAPH),
     "scan_imaging": SCANNED,
-    "imaging_headers": f"""
-        select modality, count(*) as instances, {checksum(*[f'"{c}"' for c in TABLE_COLUMNS["dicom_images"]])} as checksum
-        from ({IMAGES}) group by 1""",
+    "imaging_headers": f"select {', '.join(f'\"{c}\"' for c in TABLE_COLUMNS['dicom_images'])} from ({IMAGES})",
     "zones_silver": f"""
         select lab_id, source_system, cast("date" as date) as "date", value, unit, {TAGS} as tags from ({LABS})""",
     "zones_gold": " union all ".join(_gold(name) for name in TABLES),
