@@ -71,7 +71,7 @@ class Lines:
     """The distinct words of each line of some texts, rarest first, as flat arrays.
 
     ``first`` and ``size`` tell where the words of each line with a word are,
-    ``text`` and ``number`` which line of which text it is.
+    ``repeats`` how often each word stands in its line, ``text`` and ``number`` which line of which text it is.
     """
 
     def __init__(self, texts: list[str], classes: np.ndarray | None = None):
@@ -79,7 +79,7 @@ class Lines:
         if classes is not None:
             rarity = classes[(words & np.uint64(len(classes) - 1)).astype(np.int64)]
             words |= rarity.astype(np.uint64) << np.uint64(WORD_BITS)
-        codes, owners = [], []
+        codes, owners, repeats = [], [], []
         step = 1 << SLICE_BITS
         cuts = np.searchsorted(line, np.arange(0, (line[-1] if len(line) else 0) + step + 1, step))
         for nth, (start, stop) in enumerate(itertools.pairwise(cuts.tolist())):
@@ -88,10 +88,11 @@ class Lines:
             key.sort()
             new = np.ones(len(key), bool)
             new[1:] = key[1:] != key[:-1]
+            repeats.append(np.diff(np.append(np.flatnonzero(new), len(key))))
             key = key[new]
             codes.append(key & _CODE)
             owners.append((key >> np.uint64(WORD_BITS + CLASS_BITS)).astype(np.int64) + nth * step)
-        codes, owner = np.concatenate(codes), np.concatenate(owners)
+        codes, owner, self.repeats = np.concatenate(codes), np.concatenate(owners), np.concatenate(repeats)
         self.words, self.rarity = codes & _WORD, codes >> np.uint64(WORD_BITS)
         self.first = np.flatnonzero(np.diff(owner, prepend=-1))
         self.size = np.diff(np.append(self.first, len(owner)))
@@ -144,46 +145,70 @@ class _Met:
         return np.sort(place[new])
 
 
-def _counted(slots: int):
-    schema = pa.schema([("slot", pa.int32()), ("n", pa.int64())])
+SURVEY = "doc_id long, text_hash long, line int, id long, counts binary"
+# Slots whose counts travel in one row.
+SLOT_RANGE = 1 << 16
+
+
+def _survey(slots: int):
+    """One pass over the texts: a row per line with its id, one per text with its number of lines, then word counts.
+
+    A text's row has no ``id``. Rows with ``counts`` hold pairs of a slot and
+    the number of its words in this task, for the range of slots numbered ``line``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(slots, np.int64)
-        for texts, _ in _groups(batches):
-            np.add.at(total, (_words(texts)[0] & np.uint64(slots - 1)).astype(np.int64), 1)
-        used = np.flatnonzero(total)
-        for i in range(0, len(used), 1 << 16):
-            part = used[i : i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(total[part])], schema=schema)
+        for texts, rows in _groups(batches):
+            lines = Lines(texts)
+            if len(lines.words):
+                np.add.at(total, (lines.words & np.uint64(slots - 1)).astype(np.int64), lines.repeats)
+            every = np.concatenate([lines.text, np.arange(len(texts))])
+            number = np.concatenate([lines.number, [t.count("\n") + 1 for t in texts]])
+            columns = [rows.column(n).take(pa.array(every)) for n in ("doc_id", "text_hash")]
+            ids = pa.concat_arrays([pa.array(signed(lines.ids())), pa.nulls(len(texts), pa.int64())])
+            columns += [pa.array(number, pa.int32()), ids, pa.nulls(len(every), pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "line", "id", "counts"])
+        for nth in range(0, slots, SLOT_RANGE):
+            used = np.flatnonzero(total[nth : nth + SLOT_RANGE])
+            if len(used):
+                pairs = np.stack([used, total[nth + used]], axis=1).astype("<i8").tobytes()
+                none = pa.nulls(1, pa.int64())
+                columns = [none, none, pa.array([nth // SLOT_RANGE], pa.int32()), none, pa.array([pairs], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "line", "id", "counts"])
 
     return run
 
 
-def rarity_classes(texts: DataFrame, slots: int = RARITY_SLOTS) -> np.ndarray:
+def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per range of slots one byte a slot: twice the binary logarithm of its number of words."""
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for nth, pairs in zip(batch.column("line").to_pylist(), batch.column("counts"), strict=True):
+            slot, n = np.frombuffer(pairs.as_buffer(), "<i8").reshape(-1, 2).T
+            total.setdefault(nth, np.zeros(SLOT_RANGE, np.int64))[slot] += n
+    for nth, n in total.items():
+        level = np.minimum(np.floor(np.log2(np.maximum(n, 1)) * 2), (1 << CLASS_BITS) - 1).astype(np.uint8)
+        yield pa.RecordBatch.from_arrays([pa.array([nth], pa.int32()), pa.array([level.tobytes()], pa.binary())], ["nth", "level"])
+
+
+def rarity_classes(survey: DataFrame, slots: int = RARITY_SLOTS) -> np.ndarray:
     """How common the words of each hash slot are in all texts: twice the binary logarithm of their number.
 
     ``slots`` bytes, whatever the input; 0 stands for one occurrence.
     """
-    found = texts.select("text").mapInArrow(_counted(slots), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    level = F.least(F.floor(F.log2("n") * 2), F.lit((1 << CLASS_BITS) - 1)).cast("byte").alias("level")
-    known = found.where("n > 1").select("slot", level).toArrow()
+    parts = int(survey.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = survey.where("counts IS NOT NULL").select("line", "counts").repartition(parts, "line")
     classes = np.zeros(slots, np.uint8)
-    classes[known.column("slot").to_numpy()] = known.column("level").to_numpy()
+    for nth, level in counts.mapInArrow(_levels, "nth int, level binary").collect():
+        at = nth * SLOT_RANGE
+        classes[at : at + SLOT_RANGE] = np.frombuffer(level, np.uint8)[: slots - at]
     return classes
 
 
-PLACES = "doc_id long, text_hash long, line int, id long"
 ENTRIES = "key long, id long, shape long, low long, high long"
 
 
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for texts, rows in _groups(batches):
-        lines = Lines(texts)
-        columns = [rows.column(n).take(pa.array(lines.text)) for n in ("doc_id", "text_hash")]
-        columns += [pa.array(lines.number, pa.int32()), pa.array(signed(lines.ids()))]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "line", "id"])
-
-
 def _entries(sent, similarity: float, crowd: int):
     """Prefix entries of each line set met first in this task.
 
@@ -401,13 +426,13 @@ def _verified(similarity: float):
 
 
 def linked_lines(
-    texts: DataFrame, places: DataFrame, similarity: float = SIMILARITY, limits: Limits = Limits()
+    texts: DataFrame, survey: DataFrame, places: DataFrame, similarity: float = SIMILARITY, limits: Limits = Limits()
 ) -> DataFrame:
     """``id``, ``links`` and ``matched`` of each line set with Jaccard at least ``similarity`` to another.
 
     ``links`` counts those sets, ``matched`` tells whether one of them stands
     earlier in the corpus than the set does first (``places`` has each
-    ``id`` with its ``first``); staged.
+    ``id`` with its ``first``); staged. ``survey`` has the word counts of the texts.
 
     Lines meet by prefix word, in blocks where many may share one. Length and
     positional filters and a bound on the overlap from 128 bits per line leave
@@ -420,7 +445,7 @@ def linked_lines(
     listed and verified one by one. None of the filters loses a pair.
     """
     spark = texts.sparkSession
-    sent = spark.sparkContext.broadcast(rarity_classes(texts))
+    sent = spark.sparkContext.broadcast(rarity_classes(survey))
     entries = texts.select("text").mapInArrow(_entries(sent, similarity, limits.crowd), ENTRIES)
     entries = entries.repartition("key").sortWithinPartitions("key")
     found = staged(entries.mapInArrow(_candidates(similarity, limits), "word long, id long, other long").distinct())
@@ -475,10 +500,11 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, limits: Limits
     """
     texts = take(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), whole_text().alias("text"))
     texts = texts.withColumn("text_hash", F.xxhash64("text")).select("doc_id", "text_hash", "text")
-    places = staged(texts.mapInArrow(_places, PLACES))
+    survey = staged(texts.mapInArrow(_survey(RARITY_SLOTS), SURVEY))
+    places = survey.where("id IS NOT NULL").select("doc_id", "text_hash", "line", "id")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "line")
     sets = places.groupBy("id").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-    judged = linked_lines(texts, sets.select("id", "first"), similarity, limits)
+    judged = linked_lines(texts, survey, sets.select("id", "first"), similarity, limits)
     decided = sets.join(judged, "id", "left").where("n > 1 OR links IS NOT NULL")
     decided = staged(
         decided.select("id", "first", F.coalesce("matched", F.lit(False)).alias("matched"), F.coalesce("links", F.lit(0)).alias("links"))
@@ -487,8 +513,7 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, limits: Limits
     by_doc = met.groupBy("doc_id", "text_hash").agg(
         F.sum("links").alias("n_links"), F.array_sort(F.collect_set(F.when(F.col("removed"), F.col("line")))).alias("removed")
     )
-    lengths = F.size(F.split("text", "\n", -1))
-    listed = texts.groupBy("doc_id", "text_hash").agg(F.max(lengths).alias("n_lines"))
+    listed = survey.where("id IS NULL AND counts IS NULL").groupBy("doc_id", "text_hash").agg(F.max("line").alias("n_lines"))
     return join_documents(listed, by_doc).select(
         "doc_id",
         "text_hash",
