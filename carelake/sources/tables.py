@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
-from functools import partial
+from dataclasses import dataclass
+from functools import partial, reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,22 +16,100 @@ from pyspark.sql import types as T
 from carelake import schemas
 from carelake.session import concurrently
 
+# Where a reader puts a record that it could not parse, and the file it was in.
+CORRUPT, FILE = "__corrupt", "__file"
 NOT_FOUND = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND")
 
 # ----------------------------------------------------------------------- read
 
 
+@dataclass(frozen=True)
+class Parsed:
+    """Rows that could be read, and the ``file`` and ``record`` of those that could not."""
+
+    table: DataFrame
+    quarantine: DataFrame
+
+    def counts(self) -> DataFrame:
+        """``file``, ``n_rejected``: how many records of each file were set aside."""
+        return self.quarantine.groupBy("file").agg(F.count(F.lit(1)).alias("n_rejected"))
+
+
+def _split(read: DataFrame) -> Parsed:
+    """Divides rows read with :data:`CORRUPT` by whether that column is filled."""
+    kept = [F.col(f"`{c}`") for c in read.columns if c not in (CORRUPT, FILE)]
+    # Spark reads that column only together with another one; this holds for every row.
+    with_another = F.length(F.concat_ws("", kept[0].cast("string"))) >= 0
+    bad = read.where(F.col(CORRUPT).isNotNull() & with_another)
+    return Parsed(read.where(F.col(CORRUPT).isNull()).select(*kept), bad.select(F.col(FILE).alias("file"), F.col(CORRUPT).alias("record")))
+
+
+def _with_corrupt(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+
+def csv_headers(spark: SparkSession, path: str) -> list[tuple[list[str], list[str]]]:
+    """The distinct header lines below ``path``, as names, and the files that have each.
+
+    The first line of a file is the first row of its first block, so this is
+    one pass over the text, without parsing it; only file names and headers
+    reach the driver. An empty file has no header.
+    """
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    first = lines.where("file_block_start = 0").withColumn("at", F.monotonically_increasing_id())
+    headers = first.groupBy("file_path").agg(F.min_by("value", "at").alias("header"))
+    found = headers.groupBy("header").agg(F.array_sort(F.collect_list("file_path")).alias("files")).orderBy("files").collect()
+    return [(next(csv.reader([r["header"].removeprefix("\ufeff")]), []), r["files"]) for r in found]
+
+
+def _csv(spark: SparkSession, path: str, schema: T.StructType, options: dict[str, object], set_aside: bool) -> DataFrame:
+    parts = []
+    for names, files in csv_headers(spark, path):
+        missing = [f.name for f in schema.fields if f.name not in names]
+        if missing:
+            raise ValueError(f"no column {', '.join(missing)} in {files[0]}")
+        # Every place of the header gets a column; a name that repeats counts where it stands first.
+        places = [
+            T.StructField(name, schema[name].dataType) if name in schema.names and names.index(name) == i else T.StructField(f"__{i}", T.StringType())
+            for i, name in enumerate(names)
+        ]
+        whole = T.StructType(places)
+        reader = spark.read.schema(_with_corrupt(whole) if set_aside else whole).options(**options)
+        read = reader.csv([unquote(f) if f.startswith("file:") else f for f in files])
+        extra = [F.col("_metadata.file_path").alias(FILE), CORRUPT] if set_aside else []
+        parts.append(read.select(*[F.col(f"`{n}`") for n in schema.names], *extra))
+    if parts:
+        return reduce(DataFrame.unionByName, parts)
+    more = [T.StructField(FILE, T.StringType()), T.StructField(CORRUPT, T.StringType())] if set_aside else []
+    return spark.createDataFrame([], T.StructType([*schema.fields, *more]))
+
+
+def _csv_options(multi_line: bool, set_aside: bool) -> dict[str, object]:
+    mode = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT} if set_aside else {"mode": "FAILFAST"}
+    # A row with too few or too many fields is noticed only if all of its columns are parsed.
+    return {"header": True, "escape": '"', "multiLine": multi_line, "columnPruning": False, **mode}
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType = schemas.EHR_PATIENTS, multi_line: bool = False
 ) -> DataFrame:
-    """CSV with a header line; columns are found by their names in it.
-
-    Quotes inside a quoted field are doubled. With ``multi_line``, a quoted
-    field may hold line breaks, and a file is then read by one task.
+    """CSV files with a header line each; columns are found by their names in the file's own header.
+
+    Columns that ``schema`` does not name are left out; a file that lacks one
+    of its columns is refused. A row that is shorter or longer than its header,
+    or a value that is not of its type, fails the job; see
+    :func:`read_csv_set_aside`. Quotes inside a quoted field are doubled. With
+    ``multi_line``, a quoted field may hold line breaks, and a file is then
+    read by one task.
     """
-    options = {"header": True, "escape": '"', "multiLine": multi_line}
-    found = spark.read.options(**options).csv(path)
-    return found.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+    return _csv(spark, path, schema, _csv_options(multi_line, False), False)
+
+
+def read_csv_set_aside(
+    spark: SparkSession, path: str, schema: T.StructType = schemas.EHR_PATIENTS, multi_line: bool = False
+) -> Parsed:
+    """The same, but rows that :func:`read_csv` would fail at come back on their own."""
+    return _split(_csv(spark, path, schema, _csv_options(multi_line, True), True))
 
 
 def read_json_array(
@@ -49,6 +130,15 @@ def read_ndjson(
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
+def read_ndjson_set_aside(
+    spark: SparkSession, path: str, schema: T.StructType = schemas.CLINICAL_RESOURCE
+) -> Parsed:
+    """The same, but lines that are no JSON of the schema's types come back on their own."""
+    reader = spark.read.schema(_with_corrupt(schema)).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    read = reader.json(path)
+    return _split(read.select(*schema.names, F.col("_metadata.file_path").alias(FILE), CORRUPT))
+
+
 def read_xml(spark: SparkSession, path: str, row_tag: str, schema: T.StructType) -> DataFrame:
     return spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
 

@@ -162,3 +162,76 @@ def test_csv_round_trip_of_awkward_text(spark, tmp_path, rows):
     df = spark.createDataFrame(texts, "id string, text string")
     io.write_csv(df, str(tmp_path / "t"))
     assert rows(io.read_csv(spark, str(tmp_path / "t"), df.schema, multi_line=True)) == sorted(texts, key=repr)
+
+
+TWO_FILES = {
+    "a.csv": "patient_id,first_name,last_name,gender,birthDate,country\nP1,Ann,Lee,female,1970-05-01,FR\n",
+    "b.csv": "country,last_name,patient_id,first_name,note,gender,birthDate\nDE,Weiß,P2,Bo,x,male,1980-01-02\n",
+    "empty.csv": "",
+    "c d.csv": "\ufeffpatient_id,first_name,last_name,gender,birthDate,country\nP3,Cy,Poe,,,NA\n",
+}
+
+
+def csv_folder(tmp_path, **more):
+    for name, text in {**TWO_FILES, **more}.items():
+        (tmp_path / name).write_text(text, encoding="utf-8")
+    return str(tmp_path)
+
+
+GOOD = [
+    ("P1", "Ann", "Lee", "female", "1970-05-01", "FR"),
+    ("P2", "Bo", "Weiß", "male", "1980-01-02", "DE"),
+    ("P3", "Cy", "Poe", None, None, "NA"),
+]
+
+
+def test_each_csv_file_is_read_by_its_own_header(spark, tmp_path, rows):
+    found = io.read_csv(spark, csv_folder(tmp_path))
+    assert rows(found) == GOOD and found.schema.names == schemas.EHR_PATIENTS.names
+    headers = io.csv_headers(spark, str(tmp_path))
+    assert sorted(len(files) for _, files in headers) == [1, 2]
+
+
+BAD = {"bad.csv": TWO_FILES["b.csv"] + "DE,Short,P4\nFR,Right,P5,Di,,female,1990-01-01\nFR,Long,P6,Ed,,,1,2,3\n"}
+
+
+def test_short_and_long_csv_rows_fail(spark, tmp_path):
+    found = io.read_csv(spark, csv_folder(tmp_path, **BAD))
+    with pytest.raises(Exception, match="(?i)malformed"):
+        found.collect()
+    with pytest.raises(Exception, match="(?i)malformed"):
+        found.select("patient_id").collect()
+
+
+def test_short_and_long_csv_rows_can_be_set_aside(spark, tmp_path, rows):
+    parsed = io.read_csv_set_aside(spark, csv_folder(tmp_path, **BAD))
+    assert rows(parsed.table) == sorted([*GOOD, GOOD[1], ("P5", "Di", "Right", "female", "1990-01-01", "FR")], key=repr)
+    assert sorted(r.record for r in parsed.quarantine.collect()) == ["DE,Short,P4", "FR,Long,P6,Ed,,,1,2,3"]
+    assert [(r.file.rpartition("/")[2], r.n_rejected) for r in parsed.counts().collect()] == [("bad.csv", 2)]
+
+
+def test_a_csv_file_without_a_column_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="country in .*d.csv"):
+        io.read_csv(spark, csv_folder(tmp_path, **{"d.csv": "patient_id,first_name,last_name,gender,birthDate\n"}))
+
+
+def test_csv_of_nothing(spark, tmp_path):
+    (tmp_path / "e.csv").write_text("")
+    assert io.read_csv(spark, str(tmp_path)).count() == 0
+    parsed = io.read_csv_set_aside(spark, str(tmp_path))
+    assert parsed.table.count() == parsed.quarantine.count() == 0
+
+
+def test_typed_csv_columns(spark, tmp_path, rows):
+    schema = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("a.b", T.StringType())])
+    (tmp_path / "t.csv").write_text("a.b,n,n\nx,1,9\ny,one,9\n")
+    parsed = io.read_csv_set_aside(spark, str(tmp_path), schema)
+    assert rows(parsed.table) == [(1, "x")] and parsed.quarantine.first().record == "y,one,9"
+
+
+def test_broken_ndjson_lines_can_be_set_aside(spark, tmp_path, rows):
+    (tmp_path / "b.ndjson").write_text("\n".join([*LINES, '{"resourceType": "Patient", "id"', "[1"]) + "\n", encoding="utf-8")
+    parsed = io.read_ndjson_set_aside(spark, str(tmp_path))
+    whole = resources.route_resources(parsed.table)
+    assert rows(whole.conditions) == [("P1", "I10")] and rows(whole.patients) == [("P1", "male"), ("P1", None)]
+    assert sorted(r.record for r in parsed.quarantine.collect()) == ["[1", '{"resourceType": "Patient", "id"']
