@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -95,3 +97,62 @@ def quality_profile(df: DataFrame, dataset: str, flag: str = "is_abnormal") -> D
         *[metric("missing", F.lit(c), f"`{c}`") for c in columns],
     ]
     return totals.select(F.lit(dataset).alias("dataset"), F.inline(F.array(*entries)))
+
+
+@dataclass(frozen=True)
+class Reference:
+    """Every known value of ``column`` is to occur in ``key`` of ``parent``."""
+
+    column: str
+    parent: DataFrame
+    key: str
+
+
+def orphans(df: DataFrame, reference: Reference) -> DataFrame:
+    """``column`` and ``n`` (rows) of the values that the parent does not have.
+
+    Rows are counted by value before they meet the parent's distinct keys, so
+    a value that many rows share travels once per task.
+    """
+    column = reference.column
+    counted = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    keys = reference.parent.select(F.col(reference.key).alias(column)).distinct()
+    return counted.join(keys, column, "left_anti")
+
+
+def consistency(
+    df: DataFrame,
+    dataset: str,
+    denials: Mapping[str, str] | None = None,
+    references: Mapping[str, Reference] | None = None,
+) -> DataFrame:
+    """Long table ``dataset, metric, column, value`` of what contradicts itself or other tables.
+
+    ``denials`` names conditions that no row may meet; all are counted in one
+    aggregate (``violations`` by name, and in ``consistent_pct`` the share of
+    rows that meet none; a condition that is null is not met). ``references``
+    adds, by name, the rows (``orphan_rows``) and values (``orphan_keys``)
+    without a parent. An empty table has no share.
+    """
+    denials, none = dict(denials or {}), F.lit(None).cast("string")
+    met = {name: F.coalesce(F.expr(condition), F.lit(False)) for name, condition in denials.items()}
+    clean = reduce(Column.__and__, [~m for m in met.values()], F.lit(True))
+    rows = F.count(F.lit(1))
+    totals = df.agg(
+        F.when(rows > 0, F.count_if(clean) * F.lit(100.0) / rows).alias("__clean"),
+        *[F.count_if(m).cast("double").alias(name) for name, m in met.items()],
+    )
+
+    def metric(name: str, column: Column, value: Column) -> Column:
+        return F.struct(F.lit(name).alias("metric"), column.alias("column"), value.alias("value"))
+
+    entries = [metric("consistent_pct", none, F.col("__clean"))]
+    entries += [metric("violations", F.lit(name), F.col(f"`{name}`")) for name in met]
+    parts = [totals.select(F.lit(dataset).alias("dataset"), F.inline(F.array(*entries)))]
+    for name, reference in (references or {}).items():
+        lost = orphans(df, reference).agg(
+            F.coalesce(F.sum("n"), F.lit(0)).cast("double").alias("rows"), F.count(F.lit(1)).cast("double").alias("keys")
+        )
+        pair = [metric("orphan_rows", F.lit(name), F.col("rows")), metric("orphan_keys", F.lit(name), F.col("keys"))]
+        parts.append(lost.select(F.lit(dataset).alias("dataset"), F.inline(F.array(*pair))))
+    return reduce(DataFrame.unionByName, parts)

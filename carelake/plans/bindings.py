@@ -16,8 +16,9 @@ from carelake.operators import integrate as it
 from carelake.operators.integrate import Dictionaries, Sources
 from carelake.operators.mapping import build_graph
 from carelake.operators.match import Graph
-from carelake.operators.skew import hot_keys, salted_join
+from carelake.operators.skew import grid_join, hot_parts
 from carelake.plans import zones
+from carelake.plans.recording import Recorder
 from carelake.session import scratch_path, tune
 from carelake.sources import tables as io
 from carelake.sources.graphs import buckets_for, load_graph, save_graph
@@ -130,11 +131,10 @@ def spread(df: DataFrame, files: int) -> DataFrame:
 
 def _ordered_items(spark: SparkSession, sf_dir: str, items: list, orders: list) -> DataFrame:
     """Line items with columns of their order."""
-    lines = table(spark, sf_dir, "lineitem")
-    left = lines.select(F.col("l_orderkey").alias("key"), *items)
+    left = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("key"), *items)
     right = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("key"), *orders)
-    hot = _once(spark, sf_dir, "hot orders", lambda: hot_keys(left, "key"))
-    return salted_join(spread(left, len(lines.inputFiles())), right, ["key"], hot)
+    hot = _once(spark, sf_dir, "hot orders", lambda: hot_parts(left, "key"))
+    return grid_join(left, right, ["key"], {key: (parts, 1) for key, parts in hot.items()})
 
 
 def prescriptions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,9 +208,7 @@ def _written(spark: SparkSession, sf_dir: str, what: str, write) -> str:
 def _write_graph(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Map the written gold tables to triples and write those."""
     root = stored_lake(spark, sf_dir)
-    gold = {
-        name: io.table_or_empty(spark, f"{root}/gold", name) for name in schemas.INTEGRATED_TABLES
-    }
+    gold = gold_zone(spark, root)
     bound = dictionaries(spark, sf_dir)
     # A row gives four to eight triples; counting reads file footers alone.
     rows = sum(df.count() for df in gold.values())
@@ -224,28 +222,41 @@ def stored_graph(spark: SparkSession, sf_dir: str) -> Graph:
     return load_graph(spark, path)
 
 
+# The given tables that the bound lake is made of.
+GIVEN = ["customer", "events", "orders", "lineitem", "part"]
+
+
 def _write_lake(spark: SparkSession, sf_dir: str, path: str) -> None:
     bound, raw = dictionaries(spark, sf_dir), sources(spark, sf_dir)
-    silver = f"{path}/silver"
-    io.write_tables(
+    datasets = [(f"bronze/{name}", "bronze", f"{sf_dir}/{name}.parquet", "parquet") for name in GIVEN]
+    record = Recorder(spark, {location: name for name, _, location, _ in datasets})
+    record.write_all(
+        path,
+        "silver",
         {
-            "patients": zones.silver_patients(raw.ehr_patients),
-            "clinical_patients": raw.clinical_patients,
-            "conditions": it.integrate_conditions(raw.conditions, bound),
-            "allergies": it.pseudonymize(raw.allergies),
-            "prescriptions": zones.silver_prescriptions(raw.prescriptions, bound),
-            "dicom_images": raw.imaging,
+            "patients": (zones.silver_patients(raw.ehr_patients), "pseudonymize"),
+            "clinical_patients": (raw.clinical_patients, "route"),
+            "conditions": (it.integrate_conditions(raw.conditions, bound), "route"),
+            "allergies": (it.pseudonymize(raw.allergies), "route"),
+            "prescriptions": (zones.silver_prescriptions(raw.prescriptions, bound), "route"),
+            "dicom_images": (raw.imaging, "read_headers"),
+            "lab_results": (zones.silver_labs(raw.labs, bound), "harmonize"),
         },
-        silver,
+        {"lab_results": zones.write_labs},
     )
-    zones.write_labs(zones.silver_labs(raw.labs, bound), f"{silver}/lab_results")
-    gold = zones.gold_tables(zones.read_silver(spark, silver, zones.SILVER_TABLES))
-    io.write_tables(gold, f"{path}/gold")
-    written = {f"gold/{name}": io.table_or_empty(spark, f"{path}/gold", name) for name in gold}
-    cleaned = zones.read_silver(spark, silver, zones.SILVER_TABLES)
-    written |= {f"silver/{name}": df for name, df in cleaned.items()}
-    steps = zones.SILVER_STEPS + zones.GOLD_STEPS
-    zones.write_catalog(spark, path, zones.zone_datasets(path), written, steps)
+    zones.write_gold(spark, path, record)
+    written = {f"gold/{name}": df for name, df in gold_zone(spark, path).items()}
+    written |= {f"silver/{name}": df for name, df in silver_zone(spark, path).items()}
+    written |= {f"bronze/{name}": table(spark, sf_dir, name) for name in GIVEN}
+    zones.write_catalog(spark, path, datasets + zones.zone_datasets(path), written, record.lineage())
+
+
+def silver_zone(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    return zones.read_silver(spark, f"{root}/silver", zones.SILVER_TABLES)
+
+
+def gold_zone(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    return {name: io.table_or_empty(spark, f"{root}/gold", name) for name in schemas.INTEGRATED_TABLES}
 
 
 def stored_lake(spark: SparkSession, sf_dir: str) -> str:

@@ -269,12 +269,12 @@ COMPLETENESS = f"round(({FILLED}) * 100.0 / (count(*) * {len(LAB_COLUMNS)}), 6)"
 RATE = "round(avg(cast(is_abnormal as int)) * 100, 6)"
 
 
-def _completeness(name: str) -> str:
-    columns = TABLE_COLUMNS[name]
+def _described(zone: str, name: str, place: str, columns: list[str], source: str) -> str:
     filled = " + ".join(f'count("{c}")' for c in columns)
     return (
-        f"select 'gold/{name}' as dataset, 'parquet' as format, count(*) as records, "
-        f"round(({filled}) * 100.0 / (count(*) * {len(columns)}), 6) as completeness from ({TABLES[name]})"
+        f"select '{zone}/{name}' as dataset, '{zone}' as zone, 'parquet' as format, '{place}' as place, "
+        f"true as has_bytes, true as has_time, count(*) as records, "
+        f"round(({filled}) * 100.0 / (count(*) * {len(columns)}), 6) as completeness from ({source})"
     )
 
 
@@ -288,6 +288,25 @@ TABLE_COLUMNS = {
 }
 
 
+GIVEN_COLUMNS = {
+    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    "events": ["event_id", "ts", "user_id", "event_type", "value", "props"],
+    "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"],
+    "lineitem": [
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+    ],
+    "part": ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"],
+}
+# Silver patients have no unified gender yet, silver results have tags.
+SILVER_COLUMNS = {
+    "patients": [c for c in TABLE_COLUMNS["patients"] if c != "gender_unified"],
+    "clinical_patients": ["patient_id", "gender_fhir"],
+    "lab_results": [*LAB_COLUMNS, "tags"],
+}
+SILVER = TABLES | {"clinical_patients": CLINICAL, "lab_results": f"select l.*, 1 as tags from ({LABS}) l"}
+
+
 def _gold(name: str) -> str:
     doubles = {"value", "ref_low", "ref_high"}
     columns = [
@@ -302,10 +321,16 @@ def _lineage() -> str:
         ("gold/patients", "silver/patients", "unify"),
         ("gold/patients", "silver/clinical_patients", "unify"),
         *[(f"gold/{t}", f"silver/{t}", "curate") for t in TABLES if t != "patients"],
-        ("silver/patients", "bronze/ehr", "pseudonymize"),
-        ("silver/lab_results", "bronze/lab", "harmonize"),
-        ("silver/dicom_images", "bronze/dicom", "read_headers"),
-        *[(f"silver/{t}", "bronze/fhir", "route") for t in ("clinical_patients", "conditions", "allergies", "prescriptions")],
+        ("silver/patients", "bronze/customer", "pseudonymize"),
+        ("silver/clinical_patients", "bronze/events", "route"),
+        ("silver/lab_results", "bronze/events", "harmonize"),
+        ("silver/conditions", "bronze/orders", "route"),
+        ("silver/allergies", "bronze/customer", "route"),
+        ("silver/prescriptions", "bronze/lineitem", "route"),
+        ("silver/prescriptions", "bronze/orders", "route"),
+        ("silver/prescriptions", "bronze/part", "route"),
+        ("silver/dicom_images", "bronze/lineitem", "read_headers"),
+        ("silver/dicom_images", "bronze/orders", "read_headers"),
     ]
     rows = TABLES | {"clinical_patients": CLINICAL}
     return " union all ".join(
@@ -315,6 +340,44 @@ def _lineage() -> str:
     )
 
 
+# Conditions that no row may meet, per table.
+DENIED = {
+    "lab_results": {
+        "other_unit": "unit <> expected_unit",
+        "undated": '"date" is null',
+        "empty_range": "ref_low > ref_high",
+        "flag_without_range": "is_abnormal and ref_low is null",
+    },
+    "prescriptions": {"undated": '"date" is null'},
+    "patients": {"unnamed": "first_name is null and last_name is null"},
+}
+
+
+def _contradictions(zone: str) -> list[str]:
+    parts = []
+    for name, source in TABLES.items():
+        if name == "lab_results":
+            source = f"""select l.*, u.unit as expected_unit from ({source}) l
+              left join (values ('click', 'mg/dL'), ('view', 'mg/dL'), ('error', 'mg/dL')) u(name, unit) on u.name = l.test_name"""
+        head = f"select '{zone}/{name}' as dataset"
+        denied = DENIED.get(name, {})
+        clean = " and ".join(f"not coalesce({c}, false)" for c in denied.values()) or "true"
+        if denied or name != "patients":
+            parts.append(
+                f"""{head}, 'consistent_pct' as metric, cast(null as varchar) as "column",
+                  round(count(*) filter (where {clean}) * 100.0 / nullif(count(*), 0), 6) as "value" from ({source})"""
+            )
+        parts += [
+            f"{head}, 'violations' as metric, '{rule}' as \"column\", cast(count(*) filter (where {c}) as double) as \"value\" from ({source})"
+            for rule, c in denied.items()
+        ]
+        if name != "patients":
+            lost = f"from ({source}) where patient_id is not null and patient_id not in (select patient_id from ({PATIENTS}) where patient_id is not null)"
+            parts.append(f"{head}, 'orphan_rows' as metric, 'patient' as \"column\", cast(count(*) as double) as \"value\" {lost}")
+            parts.append(f"{head}, 'orphan_keys' as metric, 'patient' as \"column\", cast(count(distinct patient_id) as double) as \"value\" {lost}")
+    return parts
+
+
 def _missing(names: list[str]) -> str:
     return "concat_ws(',', " + ", ".join(f"case when {n} is null then '{n}' end" for n in names) + ")"
 
@@ -416,6 +479,8 @@ ORACLE = {
                 *[("missing", f"'{c}'", _nulls(c)) for c in LAB_COLUMNS],
             ]
         ]
+        + _contradictions("silver")
+        + _contradictions("gold")
     ),
     "vocab_static": f"""
         select d.term, d.kind, coalesce(n, 0) as uses
@@ -462,7 +527,11 @@ ORACLE = {
     "zones_silver": f"""
         select lab_id, source_system, cast("date" as date) as "date", value, unit, {TAGS} as tags from ({LABS})""",
     "zones_gold": " union all ".join(_gold(name) for name in TABLES),
-    "catalog_datasets": " union all ".join(_completeness(name) for name in TABLES),
+    "catalog_datasets": " union all ".join(
+        [_described("bronze", t, f"{t}.parquet", columns, t) for t, columns in GIVEN_COLUMNS.items()]
+        + [_described("silver", t, t, SILVER_COLUMNS.get(t, TABLE_COLUMNS.get(t)), source) for t, source in SILVER.items()]
+        + [_described("gold", t, t, TABLE_COLUMNS[t], source) for t, source in TABLES.items()]
+    ),
     "lineage": _lineage(),
 }
 

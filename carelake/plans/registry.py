@@ -143,8 +143,14 @@ def abnormal_rate(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def quality_profile(spark: SparkSession, sf: str) -> DataFrame:
-    profile = quality.quality_profile(_integrated_labs(spark, sf), "lab_results")
-    return profile.withColumn("value", F.round("value", 6))
+    """Profile of the laboratory results, and what contradicts itself or the patients in silver and gold."""
+    root, bound = b.stored_lake(spark, sf), b.dictionaries(spark, sf)
+    found = [
+        quality.quality_profile(_integrated_labs(spark, sf), "lab_results"),
+        zones.contradictions("silver", b.silver_zone(spark, root), bound),
+        zones.contradictions("gold", b.gold_zone(spark, root), bound),
+    ]
+    return _union(found).withColumn("value", F.round("value", 6))
 
 
 # ----------------------------------------------------------------------- graph
@@ -382,15 +388,17 @@ def zones_gold(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def catalog_datasets(spark: SparkSession, sf: str) -> DataFrame:
-    """Gold datasets found by a graph pattern over the catalogue; only those with bytes on disk."""
+    """Datasets of all zones, found by a graph pattern over the catalogue; only those with bytes on disk."""
     catalog = zones.read_catalog(spark, b.stored_lake(spark, sf))
     found = match(
         catalog,
         [
             ("?d", RDF_TYPE, "dcat:Dataset"),
-            ("?d", "dcat:theme", Lit("gold")),
+            ("?d", "dcat:theme", "?zone"),
             ("?d", "dct:identifier", "?dataset"),
             ("?d", "dct:format", "?format"),
+            ("?d", "dcat:accessURL", "?location"),
+            ("?d", "dct:created", "?created"),
             ("?d", "dcat:byteSize", "?bytes"),
             ("?d", "ont:records", "?records"),
             ("?d", "ont:completeness", "?completeness"),
@@ -399,29 +407,25 @@ def catalog_datasets(spark: SparkSession, sf: str) -> DataFrame:
     )
     return found.select(
         "dataset",
+        "zone",
         "format",
+        F.regexp_extract("location", "([^/]+)$", 1).alias("place"),
+        (F.col("bytes").cast("long") > 0).alias("has_bytes"),
+        F.to_timestamp("created").isNotNull().alias("has_time"),
         F.col("records").cast("long").alias("records"),
         F.round(F.col("completeness").cast("double"), 6).alias("completeness"),
     )
 
 
 def lineage(spark: SparkSession, sf: str) -> DataFrame:
-    """What each silver and gold table was derived from, by which step, with its records."""
-    found = match(
-        zones.read_catalog(spark, b.stored_lake(spark, sf)),
-        [
-            ("?derived", "prov:wasDerivedFrom", "?source"),
-            ("?derived", "prov:wasGeneratedBy", "?step"),
-            ("?derived", "ont:records", "?records"),
-        ],
-    )
+    """What each silver and gold table was derived from, by which step, with its records, as its write noted them."""
+    noted = spark.read.parquet(f"{b.stored_lake(spark, sf)}/lineage")
     names = Namespaces()
-    return found.select(
-        names.expand(F.col("derived")).alias("derived"),
-        names.expand(F.col("source")).alias("source"),
-        names.expand(F.col("step")).alias("step"),
-        F.col("records").cast("long").alias("records"),
-    )
+
+    def node(kind: str, column: str) -> Column:
+        return names.expand(vocabulary.node(kind, F.col(column))).alias(column)
+
+    return noted.select(node("dataset", "derived"), node("dataset", "source"), node("step", "step"), "records")
 
 
 QUERIES: dict[str, Query] = {

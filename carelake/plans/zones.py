@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import reduce
-from urllib.parse import urlsplit
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,18 +22,21 @@ from carelake.operators.integrate import (
     pseudonymize,
     unify_entities,
 )
-from carelake.operators.lookup import local_table
+from carelake.operators.lookup import Dictionary, local_table, lookup
 from carelake.operators.mapping import build_graph
-from carelake.operators.quality import quality_profile
+from carelake.operators.quality import Reference, consistency, quality_profile
 from carelake.plans.graph_queries import predefined_queries
+from carelake.plans.recording import Recorder, folder
 from carelake.sources import tables as io
+from carelake.sources import versions
 from carelake.sources.graphs import load_graph, save_graph
 from carelake.sources.imaging import HEADER, image_files, inventory, parse_headers
 from carelake.sources.ntriples import write_ntriples
 from carelake.sources.resources import route_resources
 
 CATALOG = "dataset string, zone string, location string, format string"
-LINEAGE = "derived string, source string, step string"
+SIGNATURES = "dataset string, signature string"
+PROFILES = "dataset string, metric string, column string, value double"
 
 # Tags of a silver laboratory row and the condition under which each applies.
 LAB_TAGS = {
@@ -112,6 +114,37 @@ def gold_tables(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: in_table_order(name, df) for name, df in unified.items()}
 
 
+# ----------------------------------------------------------------- consistency
+
+# What no row of a table may be. ``expected_unit`` is the unit of the test's reference range.
+DENIALS = {
+    "lab_results": {
+        "other_unit": "unit <> expected_unit",
+        "undated": "date IS NULL",
+        "empty_range": "ref_low > ref_high",
+        "flag_without_range": "is_abnormal AND ref_low IS NULL",
+    },
+    "prescriptions": {"undated": "date IS NULL"},
+    "patients": {"unnamed": "first_name IS NULL AND last_name IS NULL"},
+}
+OF_PATIENTS = ["lab_results", "conditions", "allergies", "prescriptions", "dicom_images"]
+
+
+def contradictions(zone: str, tables: dict[str, DataFrame], dictionaries: Dictionaries) -> DataFrame:
+    """Consistency metrics of the tables of a zone: denied rows, and rows of patients that are not listed."""
+    units = dictionaries.lab_tests
+    expected = Dictionary(units.table.select("name", F.col("unit").alias("expected_unit")), units.keys, units.small)
+    parts = []
+    for name, df in tables.items():
+        if name == "lab_results":
+            df = lookup(df, expected, {"test_name": "name"}, ["expected_unit"])
+        patient = Reference("patient_id", tables["patients"], "patient_id")
+        references = {"patient": patient} if name in OF_PATIENTS else {}
+        if name in DENIALS or references:
+            parts.append(consistency(df, f"{zone}/{name}", DENIALS.get(name), references))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # ------------------------------------------------------- catalogue and lineage
 
 
@@ -127,25 +160,23 @@ def catalog_entries(spark: SparkSession, datasets: list[Dataset]) -> DataFrame:
     entries = local_table(spark, datasets, CATALOG)
     files = io.list_files(spark, [location for _, _, location, _ in datasets])
     folder_of = [
-        F.when(F.contains("path", F.lit(f"{_folder(location)}/")), F.lit(name))
+        F.when(F.contains("path", F.lit(f"{folder(location)}/")) | F.endswith("path", F.lit(folder(location))), F.lit(name))
         for name, _, location, _ in datasets
     ]
+    file = F.concat_ws("|", "path", "length", F.unix_micros("modificationTime"))
     sizes = (
-        files.select(F.coalesce(*folder_of).alias("dataset"), "length", "modificationTime")
+        files.select(F.coalesce(*folder_of).alias("dataset"), "length", "modificationTime", F.xxhash64(file).alias("h"))
         .groupBy("dataset")
         .agg(
             F.count(F.lit(1)).alias("files"),
             F.sum("length").alias("bytes"),
             F.min("modificationTime").alias("created"),
+            F.sum(F.col("h").cast("decimal(38,0)")).alias("h"),
         )
     )
-    found = entries.join(sizes, "dataset", "left")
-    return found.na.fill(0, ["files", "bytes"])
-
-
-def _folder(location: str) -> str:
-    """The path of a location, without its file system."""
-    return urlsplit(location).path.rstrip("/")
+    found = entries.join(sizes, "dataset", "left").na.fill(0, ["files", "bytes"])
+    # Changes with any file's name, size or time.
+    return found.withColumn("signature", F.concat_ws(":", "location", "files", "bytes", F.col("h").cast("string"))).drop("h")
 
 
 def _dataset(name: Column) -> Column:
@@ -184,11 +215,6 @@ def quality_triples(profile: DataFrame) -> DataFrame:
     )
 
 
-def lineage_table(spark: SparkSession, edges: list[tuple[str, str, str]]) -> DataFrame:
-    """``derived, source, step`` for each derivation a job made."""
-    return local_table(spark, edges, LINEAGE)
-
-
 def lineage_triples(lineage: DataFrame) -> DataFrame:
     d = _dataset(F.col("derived"))
     return v.emit(
@@ -198,22 +224,55 @@ def lineage_triples(lineage: DataFrame) -> DataFrame:
     )
 
 
+def refreshed_profiles(
+    spark: SparkSession, root: str, entries: DataFrame, tables: dict[str, DataFrame]
+) -> tuple[DataFrame, list[str]]:
+    """Quality profiles of the tables, and which of them had to be worked out.
+
+    A dataset whose files have the names, sizes and times of the last time
+    keeps its profile; only the others are read. The profiles and what they
+    were made of are committed together.
+    """
+    signed = {r.dataset: r.signature for r in entries.select("dataset", "signature").collect()}
+    last = versions.current(spark, f"{root}/profiles")
+    known = {}
+    if last:
+        known = {r.dataset: r.signature for r in spark.read.schema(SIGNATURES).parquet(f"{last.path}/signatures").collect()}
+    changed = [name for name in tables if known.get(name) != signed.get(name)]
+    if last and not changed:
+        return spark.read.schema(PROFILES).parquet(f"{last.path}/profiles"), []
+    kept = [name for name in tables if name not in changed]
+    parts = [quality_profile(tables[name], name) for name in changed]
+    if kept:
+        parts.append(spark.read.schema(PROFILES).parquet(f"{last.path}/profiles").where(F.col("dataset").isin(kept)))
+    path = versions.new_version(f"{root}/profiles")
+    found = reduce(DataFrame.unionByName, parts)
+    signatures = local_table(spark, [(name, signed.get(name)) for name in tables], SIGNATURES)
+    io.write_tables({"profiles": found, "signatures": signatures}, path)
+    versions.commit(spark, f"{root}/profiles", path)
+    return spark.read.schema(PROFILES).parquet(f"{path}/profiles"), changed
+
+
 def write_catalog(
     spark: SparkSession,
     root: str,
     datasets: list[Dataset],
     tables: dict[str, DataFrame],
-    steps: list[tuple[str, str, str]],
-) -> None:
-    """Describe datasets, the quality of the written ``tables`` and the lineage as one small graph.
+    lineage: DataFrame,
+) -> list[str]:
+    """Describe datasets, the quality of the ``tables`` and the lineage as one small graph.
 
-    Each table is read once.
+    Gives back which tables were read for it: those whose files have changed.
     """
-    parts = [catalog_triples(catalog_entries(spark, datasets))]
-    parts += [quality_triples(quality_profile(df, name)) for name, df in tables.items()]
-    parts.append(lineage_triples(lineage_table(spark, steps)))
-    triples = reduce(DataFrame.unionByName, parts).dropDuplicates()
-    triples.write.mode("overwrite").parquet(f"{root}/catalog")
+    entries = catalog_entries(spark, datasets).persist()
+    try:
+        profiles, changed = refreshed_profiles(spark, root, entries, tables)
+        parts = [catalog_triples(entries), quality_triples(profiles), lineage_triples(lineage)]
+        reduce(DataFrame.unionByName, parts).dropDuplicates().write.mode("overwrite").parquet(f"{root}/catalog")
+    finally:
+        entries.unpersist()
+    lineage.write.mode("overwrite").parquet(f"{root}/lineage")
+    return changed
 
 
 def read_catalog(spark: SparkSession, root: str) -> DataFrame:
@@ -222,25 +281,15 @@ def read_catalog(spark: SparkSession, root: str) -> DataFrame:
 
 # -------------------------------------------------------------------- pipeline
 
-SILVER_STEPS = [
-    ("silver/patients", "bronze/ehr", "pseudonymize"),
-    ("silver/lab_results", "bronze/lab", "harmonize"),
-    ("silver/clinical_patients", "bronze/fhir", "route"),
-    ("silver/conditions", "bronze/fhir", "route"),
-    ("silver/allergies", "bronze/fhir", "route"),
-    ("silver/prescriptions", "bronze/fhir", "route"),
-    ("silver/dicom_images", "bronze/dicom", "read_headers"),
+SILVER_TABLES = [
+    "patients",
+    "lab_results",
+    "clinical_patients",
+    "conditions",
+    "allergies",
+    "prescriptions",
+    "dicom_images",
 ]
-GOLD_STEPS = [
-    ("gold/patients", "silver/patients", "unify"),
-    ("gold/patients", "silver/clinical_patients", "unify"),
-    ("gold/lab_results", "silver/lab_results", "curate"),
-    ("gold/conditions", "silver/conditions", "curate"),
-    ("gold/allergies", "silver/allergies", "curate"),
-    ("gold/prescriptions", "silver/prescriptions", "curate"),
-    ("gold/dicom_images", "silver/dicom_images", "curate"),
-]
-SILVER_TABLES = [step[0].split("/")[1] for step in SILVER_STEPS]
 BRONZE_FORMATS = {"ehr": "csv", "lab": "json", "fhir": "ndjson", "dicom": "dicom"}
 
 
@@ -263,33 +312,36 @@ class PipelineResult:
     image_errors: DataFrame
 
 
+def write_gold(spark: SparkSession, root: str, record: Recorder) -> None:
+    """The unified tables, from the silver ones that were written."""
+    unified = gold_tables(read_silver(spark, f"{root}/silver", SILVER_TABLES))
+    made = {name: (df, "unify" if name == "patients" else "curate") for name, df in unified.items()}
+    record.write_all(root, "gold", made)
+
+
 def write_silver(
-    spark: SparkSession, in_dir: str, out_dir: str, dictionaries: Dictionaries
+    spark: SparkSession, in_dir: str, out_dir: str, dictionaries: Dictionaries, record: Recorder
 ) -> None:
     """Read the raw files, clean them and write the silver tables."""
-    silver = f"{out_dir}/silver"
-    io.write_ndjson_as_parquet(spark, f"{in_dir}/fhir", f"{out_dir}/staging/fhir")
-    routed = route_resources(
-        spark.read.schema(schemas.CLINICAL_RESOURCE).parquet(f"{out_dir}/staging/fhir")
-    )
-    headers = f"{out_dir}/staging/dicom"
-    parse_headers(image_files(spark, f"{in_dir}/dicom")).write.mode("overwrite").parquet(headers)
-    images, errors = inventory(spark.read.schema(HEADER).parquet(headers))
-    io.write_tables(
+    landed = record.stage(io.read_ndjson(spark, f"{in_dir}/fhir"), f"{out_dir}/staging/fhir")
+    routed = route_resources(landed)
+    headers = record.stage(parse_headers(image_files(spark, f"{in_dir}/dicom")), f"{out_dir}/staging/dicom")
+    images, errors = inventory(headers)
+    io.write_tables({"dicom_errors": errors}, f"{out_dir}/silver")
+    labs = silver_labs(io.read_json_array(spark, f"{in_dir}/lab"), dictionaries)
+    record.write_all(
+        out_dir,
+        "silver",
         {
-            "patients": silver_patients(io.read_csv(spark, f"{in_dir}/ehr")),
-            "clinical_patients": routed.patients,
-            "conditions": integrate_conditions(routed.conditions, dictionaries),
-            "allergies": pseudonymize(routed.allergies),
-            "prescriptions": silver_prescriptions(routed.prescriptions, dictionaries),
-            "dicom_images": images,
-            "dicom_errors": errors,
+            "patients": (silver_patients(io.read_csv(spark, f"{in_dir}/ehr")), "pseudonymize"),
+            "clinical_patients": (routed.patients, "route"),
+            "conditions": (integrate_conditions(routed.conditions, dictionaries), "route"),
+            "allergies": (pseudonymize(routed.allergies), "route"),
+            "prescriptions": (silver_prescriptions(routed.prescriptions, dictionaries), "route"),
+            "dicom_images": (images, "read_headers"),
+            "lab_results": (labs, "harmonize"),
         },
-        silver,
-    )
-    write_labs(
-        silver_labs(io.read_json_array(spark, f"{in_dir}/lab"), dictionaries),
-        f"{silver}/lab_results",
+        {"lab_results": write_labs},
     )
 
 
@@ -307,9 +359,13 @@ def run_pipeline(
     repeats tasks of the stage at hand, and a run can be repeated as a whole.
     """
     dictionaries = Dictionaries.of(spark, data)
-    write_silver(spark, in_dir, out_dir, dictionaries)
+    datasets = [
+        (f"bronze/{d}", "bronze", f"{in_dir}/{d}", form) for d, form in BRONZE_FORMATS.items()
+    ]
+    record = Recorder(spark, {location: name for name, _, location, _ in datasets})
+    write_silver(spark, in_dir, out_dir, dictionaries, record)
+    write_gold(spark, out_dir, record)
     silver = read_silver(spark, f"{out_dir}/silver", [*SILVER_TABLES, "dicom_errors"])
-    io.write_tables(gold_tables(silver), f"{out_dir}/gold")
     gold = {
         name: io.table_or_empty(spark, f"{out_dir}/gold", name)
         for name in schemas.INTEGRATED_TABLES
@@ -320,17 +376,13 @@ def run_pipeline(
     graph = load_graph(spark, f"{out_dir}/graph")
     write_ntriples(graph.triples, f"{out_dir}/rdf", names)
 
-    datasets = [
-        (f"bronze/{d}", "bronze", f"{in_dir}/{d}", form) for d, form in BRONZE_FORMATS.items()
-    ]
-    datasets += zone_datasets(out_dir)
     profiled = {f"gold/{name}": df for name, df in gold.items()}
     profiled |= {f"silver/{name}": silver[name] for name in SILVER_TABLES}
-    write_catalog(spark, out_dir, datasets, profiled, SILVER_STEPS + GOLD_STEPS)
+    write_catalog(spark, out_dir, datasets + zone_datasets(out_dir), profiled, record.lineage())
     return PipelineResult(
         gold,
         predefined_queries(graph, names),
         read_catalog(spark, out_dir),
-        lineage_table(spark, SILVER_STEPS + GOLD_STEPS),
+        spark.read.parquet(f"{out_dir}/lineage"),
         silver["dicom_errors"],
     )

@@ -45,3 +45,26 @@ def test_profile_is_one_long_table(table):
 def test_overview_counts_empty_tables_too(table, rows):
     tables = {"full": table, "empty": table.where("false")}
     assert rows(quality.overview_counts(tables)) == [("empty", 0), ("full", 4)]
+
+
+def test_consistency_counts_denied_rows_and_orphans(spark, rows):
+    table = spark.createDataFrame(
+        [("P1", "mg", "mg", "2024-01-01"), ("P2", "g", "mg", None), ("P9", None, "mg", "x"), ("P9", "g", "mg", "x"), (None, "mg", "mg", "x")],
+        "patient_id string, unit string, expected string, date string",
+    )
+    parents = spark.createDataFrame([("P1",), ("P1",), ("P2",), (None,)], "id string")
+    denials = {"other_unit": "unit <> expected", "undated": "date is null"}
+    found = quality.consistency(table, "t", denials, {"patient": quality.Reference("patient_id", parents, "id")})
+    assert rows(found) == sorted(
+        [
+            ("t", "consistent_pct", None, 60.0),
+            ("t", "violations", "other_unit", 2.0),
+            ("t", "violations", "undated", 1.0),
+            ("t", "orphan_rows", "patient", 2.0),
+            ("t", "orphan_keys", "patient", 1.0),
+        ],
+        key=repr,
+    )
+    nothing = quality.consistency(table.limit(0), "t", denials, {"patient": quality.Reference("patient_id", parents, "id")})
+    assert {r.value for r in nothing.collect()} == {None, 0.0}
+    assert rows(quality.consistency(table, "t")) == [("t", "consistent_pct", None, 100.0)]

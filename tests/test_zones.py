@@ -1,9 +1,12 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
+from carelake.operators.integrate import Dictionaries
 from carelake.operators.match import match
 from carelake.plans import zones
+from carelake.plans.recording import Recorder
 from carelake.sources.graphs import load_graph
 from carelake.sources.ntriples import read_ntriples
 from test_imaging import TEXT, image
@@ -111,3 +114,54 @@ def test_catalogue_and_lineage(lake, rows):
     ).where("d = 'res:dataset/gold/patients'")
     assert {r.raw for r in origins.collect()} == {"res:dataset/bronze/ehr", "res:dataset/bronze/fhir"}
     assert result.lineage.count() == 14
+
+
+def test_lineage_follows_what_the_plans_read(spark, tmp_path, rows):
+    """Without the second input, its edge is gone; what is staged stands for its sources."""
+    for name in ("a", "b"):
+        spark.range(3).withColumn("x", F.lit(name)).write.parquet(str(tmp_path / name))
+    record = Recorder(spark, {str(tmp_path / "a"): "bronze/a", f"file:{tmp_path}/b": "bronze/b"})
+    a, b = (spark.read.parquet(str(tmp_path / n)) for n in ("a", "b"))
+    staged = record.stage(b.where("id > 0"), str(tmp_path / "staged"))
+    both = a.join(staged, "id").select("id")
+    record.write("silver/both", both, str(tmp_path / "both"), "join")
+    record.write("silver/one", a.select("id"), str(tmp_path / "one"), "copy")
+    record.write("gold/all", spark.read.parquet(str(tmp_path / "both"), str(tmp_path / "one")), str(tmp_path / "all"), "union")
+    record.write("gold/none", spark.range(2), str(tmp_path / "none"), "make")
+    assert rows(record.lineage()) == [
+        ("gold/all", "silver/both", "union", 5),
+        ("gold/all", "silver/one", "union", 5),
+        ("silver/both", "bronze/a", "join", 2),
+        ("silver/both", "bronze/b", "join", 2),
+        ("silver/one", "bronze/a", "copy", 3),
+    ]
+
+
+def test_only_changed_datasets_are_profiled_again(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    datasets = [(f"silver/{n}", "silver", f"{root}/silver/{n}", "parquet") for n in ("a", "b")]
+
+    def refresh():
+        tables = {name: spark.read.parquet(location) for name, _, location, _ in datasets}
+        return zones.write_catalog(spark, root, datasets, tables, Recorder(spark, {}).lineage())
+
+    def records():
+        found = match(zones.read_catalog(spark, root), [("?d", "ont:records", "?n")])
+        return {r.d.rpartition("/")[2]: int(r.n) for r in found.collect()}
+
+    for name, n in (("a", 3), ("b", 4)):
+        spark.range(n).write.parquet(f"{root}/silver/{name}")
+    assert refresh() == ["silver/a", "silver/b"] and records() == {"a": 3, "b": 4}
+    assert refresh() == [] and records() == {"a": 3, "b": 4}
+    spark.range(2).write.mode("append").parquet(f"{root}/silver/b")
+    assert refresh() == ["silver/b"] and records() == {"a": 3, "b": 6}
+
+
+def test_contradictions_of_the_lake(spark, lake):
+    out, result = lake
+    found = zones.contradictions("gold", result.gold, Dictionaries.of(spark))
+    values = {(r.dataset, r.metric, r.column): r.value for r in found.collect()}
+    assert values["gold/lab_results", "orphan_rows", "patient"] == 1.0
+    assert values["gold/lab_results", "violations", "other_unit"] == 0.0
+    assert values["gold/prescriptions", "violations", "undated"] == 1.0
+    assert values["gold/prescriptions", "consistent_pct", None] == 50.0
