@@ -7,7 +7,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-IRI, LITERAL = "iri", "literal"
+IRI, LITERAL, BLANK = "iri", "literal", "blank"
+# What the name of a blank node starts with, as subject too.
+BLANK_PREFIX = "_:"
 
 # Public vocabularies and data types.
 STANDARD_PREFIXES = {
@@ -81,13 +83,32 @@ def escape_iri(text: Column) -> Column:
     return F.when(text.rlike(r'[\\<>"{}|^`\s]'), escaped).otherwise(text)
 
 
+def _without_long(text: Column) -> Column:
+    """``\\UXXXXXXXX`` as ``\\uXXXX`` or, beyond that, as the character; an impossible one stays."""
+
+    def piece(x: Column) -> Column:
+        digits = F.substr(x, F.lit(3), F.lit(8))
+        point = F.conv(digits, 16, 10).cast("long")
+        short = F.concat(F.lit("\\u"), F.substr(digits, F.lit(5)))
+        long = F.decode(F.unhex(digits), "UTF-32")
+        return (
+            F.when(~x.startswith("\\U") | (F.length(x) != 10) | (point > 0x10FFFF), x)
+            .when(point < 0x10000, short)
+            .otherwise(long)
+        )
+
+    pieces = F.regexp_extract_all(text, F.lit(r"(?s)(\\U[0-9A-Fa-f]{8}|\\.|[^\\]+|\\)"), F.lit(1))
+    return F.array_join(F.transform(pieces, piece), "")
+
+
 def unescape(text: Column) -> Column:
     """Undo backslash escapes; null if one is not understood.
 
-    The escapes of N-Triples text up to ``\\uXXXX`` are those of a JSON string. A
-    bare quote ends such a string early, which makes the text unreadable too.
+    The escapes of N-Triples text up to ``\\uXXXX`` are those of a JSON string;
+    ``\\UXXXXXXXX`` becomes one of them, or the character itself. A bare quote
+    ends such a string early, which makes the text unreadable too.
     """
-    document = F.concat(F.lit('["'), text, F.lit('"]'))
+    document = F.concat(F.lit('["'), F.when(F.contains(text, F.lit("\\U")), _without_long(text)).otherwise(text), F.lit('"]'))
     plain = F.from_json(document, "array<string>", {"allowUnescapedControlChars": "true"})
     bare = F.when(~F.contains(text, F.lit('"')), text)
     return F.when(F.contains(text, F.lit("\\")), F.get(plain, 0)).otherwise(bare)
