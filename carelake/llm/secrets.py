@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carelake.llm.common import staged, take, whole_text
@@ -20,14 +22,31 @@ KINDS = (
     ("endpoint", r"""(?:https?|jdbc:[a-z]+|postgres|mysql|mongodb|redis|amqps?|ftp)://[^\x00-\x20"'<>]+|\b[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?::[0-9]{1,5})?\b""", 0, 7, None, "endpoint"),
 )
 BASE = 3
+# Matches whose positions are summed up one by one; a text with more is cut into pieces of so many.
+TOGETHER = 256
 SPANS = "array<struct<start:long,end:long,kind:int>>"
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often ``body`` uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _total(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0).cast("long"), lambda total, n: total + n)
+
+
+def _width(piece: Column) -> Column:
+    """Code points from the end of what comes before a piece to the end of its last match."""
+    return _total(F.transform(piece, lambda one: (one["gap"] + one["width"]).cast("long")))
+
+
 def _spans(kind: int) -> Column:
     """Spans of one kind in ``text``, in order.
 
-    The pieces between the matches, from a split at the same pattern, give
-    where each match starts; both functions count code points.
+    The texts between the matches, from a split at the same pattern, give
+    where each match starts; both functions count code points. Positions are
+    summed up piece by piece, so the work grows with the number of matches.
     """
     _, pattern, group, least, most, _ = KINDS[kind]
     found = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
@@ -40,7 +59,6 @@ def _spans(kind: int) -> Column:
             F.length(pair["gap"]).alias("gap"), F.length(pair["found"]).alias("width"), F.length(v).alias("value")
         ),
     )
-    begun = F.struct(F.lit(0).cast("long").alias("at"), F.expr(f"cast(array() as {SPANS})").alias("spans"))
 
     def step(state: Column, one: Column) -> Column:
         start = state["at"] + one["gap"]
@@ -50,7 +68,18 @@ def _spans(kind: int) -> Column:
         kept = F.when(fits, F.array_append(state["spans"], span)).otherwise(state["spans"])
         return F.struct(end.alias("at"), kept.alias("spans"))
 
-    all_spans = F.aggregate(lengths, begun, step, lambda state: state["spans"])
+    def piece_spans(piece: Column, at: Column) -> Column:
+        begun = F.struct(at.alias("at"), F.expr(f"cast(array() as {SPANS})").alias("spans"))
+        return F.aggregate(piece, begun, step, lambda state: state["spans"])
+
+    def whole(ones: Column) -> Column:
+        many = F.sequence(F.lit(0), F.floor((F.size(ones) - 1) / TOGETHER).cast("int"))
+        pieces = F.transform(many, lambda i: F.slice(ones, i * TOGETHER + 1, F.lit(TOGETHER)))
+        return _bound(pieces, lambda cut: _bound(F.transform(cut, _width), lambda widths: F.flatten(
+            F.transform(cut, lambda piece, i: piece_spans(piece, _total(F.slice(widths, F.lit(1), i))))
+        )))
+
+    all_spans = _bound(lengths, whole)
     return F.when(F.col("text").rlike(pattern), all_spans).otherwise(F.expr(f"cast(array() as {SPANS})"))
 
 
@@ -107,12 +136,47 @@ def linked(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     return judged.where(enough).select("row", "start", "end", "kind")
 
 
+def links(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
+    """``row`` and ``links``: for each secret the nearest identifier and the nearest endpoint within the scope.
+
+    A link is the text ``secret>identifier>endpoint``, each as
+    ``kind:start:end``, empty where there is none; a secret without either has
+    no link. Of equally near parts the earlier one counts, of parts with one
+    start the first kind. Two running extremes per text find them, no pairs.
+    """
+    names = F.array(*[F.lit(k[0]) for k in KINDS])
+    role = F.element_at(F.array(*[F.lit(k[5]) for k in KINDS]), F.col("kind") + 1)
+    said = F.concat_ws(":", F.element_at(names, F.col("kind") + 1), F.col("start").cast("string"), F.col("end").cast("string"))
+    rows = parts.withColumn("role", role).withColumn("said", said)
+    until = Window.partitionBy("row").orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    since = Window.partitionBy("row").orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def candidate(wanted: str, order: Column) -> Column:
+        return F.when(F.col("role") == wanted, F.struct("start", order.alias("order"), "said"))
+
+    others = ("identifier", "endpoint")
+    rows = rows.withColumns({f"{o}_before": F.max(candidate(o, -F.col("kind"))).over(until) for o in others})
+    rows = rows.withColumns({f"{o}_after": F.min(candidate(o, F.col("kind"))).over(since) for o in others})
+
+    def nearest(other: str) -> Column:
+        back = F.col("start") - F.col(f"{other}_before.start")
+        ahead = F.col(f"{other}_after.start") - F.col("start")
+        earlier = (back <= scope) & (back <= F.coalesce(ahead, back))
+        return F.when(earlier, F.col(f"{other}_before.said")).when(ahead <= scope, F.col(f"{other}_after.said")).otherwise(F.lit(""))
+
+    found = rows.where(F.col("role") == "secret").select("row", "start", "kind", "said", nearest(others[0]).alias("i"), nearest(others[1]).alias("e"))
+    found = found.where((F.col("i") != "") | (F.col("e") != "")).withColumn("link", F.concat_ws(">", "said", "i", "e"))
+    listed = F.array_sort(F.collect_list(F.struct("start", "kind", "link")))
+    return found.groupBy("row").agg(F.array_join(F.transform(listed, lambda x: x["link"]), ",").alias("links"))
+
+
 def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """Secrets of every document; one row per row of ``docs``.
 
     Columns: ``doc_id``, ``n_assign``, ``n_access``, ``n_hex``, ``base_sha256``,
-    ``spans`` (``kind:start:end``, by start and kind, comma-joined) and
-    ``found`` (the spans as structs). ``assign``, ``access`` and ``hex`` are
+    ``spans`` (``kind:start:end``, by start and kind, comma-joined), ``links``
+    (what belongs together, see :func:`links`, comma-joined) and ``found`` (the
+    spans as structs). ``assign``, ``access`` and ``hex`` are
     always reported; ``short``, ``login`` and ``endpoint`` are weak and
     reported where :func:`linked` finds their complement.
 
@@ -131,17 +195,20 @@ def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     added = linked(parts, scope).groupBy("row").agg(
         F.collect_list(F.struct("start", "end", "kind")).alias("linked")
     )
+    several = rows.where(F.size("base") + F.size("weak") > 1).select("row", F.inline(F.concat("base", "weak")))
+    together = links(several, scope)
     none = F.expr(f"cast(array() as {SPANS})")
     found = _sorted(F.concat("base", F.coalesce("linked", none)))
 
     def count(kind: int) -> Column:
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
 
-    return rows.join(added, "row", "left").select(
+    return rows.join(added, "row", "left").join(together, "row", "left").select(
         "doc_id",
         *[count(k).alias(f"n_{KINDS[k][0]}") for k in range(BASE)],
         F.sha2(_listed(_sorted(F.col("base"))), 256).alias("base_sha256"),
         _listed(found).alias("spans"),
+        F.coalesce("links", F.lit("")).alias("links"),
         found.alias("found"),
     )
 
@@ -175,6 +242,10 @@ def _oracle() -> str:
   WHERE length(value[i]) {fits}""")
     roles = " ".join(f"WHEN {k} THEN '{kind[5]}'" for k, kind in enumerate(KINDS))
     names = " ".join(f"WHEN {k} THEN '{kind[0]}'" for k, kind in enumerate(KINDS))
+    nearest = (
+        f"coalesce((SELECT o.name || ':' || o.start || ':' || o.stop FROM named o WHERE o.row = n.row AND abs(o.start - n.start) <= {SCOPE} "
+        "AND o.role = '{}' ORDER BY abs(o.start - n.start), o.start, o.kind LIMIT 1), '')"
+    )
     near = f"EXISTS (SELECT 1 FROM named o WHERE o.row = n.row AND abs(o.start - n.start) <= {SCOPE} AND o.role = "
     return f"""
 WITH texts AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
@@ -189,10 +260,18 @@ listed AS (
   SELECT row, count(*) FILTER (kind = 0) AS n0, count(*) FILTER (kind = 1) AS n1, count(*) FILTER (kind = 2) AS n2,
     string_agg(said, ',' ORDER BY start, kind) FILTER (kind < {BASE}) AS base,
     string_agg(said, ',' ORDER BY start, kind) AS spans
-  FROM kept GROUP BY row)
+  FROM kept GROUP BY row),
+met AS (
+  SELECT row, start, kind, name || ':' || start || ':' || stop AS said,
+    {nearest.format('identifier')} AS i, {nearest.format('endpoint')} AS e
+  FROM named n WHERE role = 'secret'),
+together AS (
+  SELECT row, string_agg(said || '>' || i || '>' || e, ',' ORDER BY start, kind) AS links
+  FROM met WHERE i <> '' OR e <> '' GROUP BY row)
 SELECT doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesce(n2, 0) AS n_hex,
-  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
-FROM texts LEFT JOIN listed USING (row)
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+  coalesce(links, '') AS links
+FROM texts LEFT JOIN listed USING (row) LEFT JOIN together USING (row)
 """
 
 
