@@ -33,7 +33,9 @@ ENDS = {
     "option": (frozenset(["option"]), frozenset(["select", "optgroup"])),
 }
 # ------------------------------------------- fixed values: what is not the article
-NOT_TEXT = RAW | frozenset("head nav footer aside form svg button select menu dialog object canvas".split())
+NOT_TEXT = RAW | frozenset("head nav footer svg button select menu dialog object canvas".split())
+# Dropped too, but for one that holds nearly all text: some sites wrap every page in a form.
+MOSTLY_NOT_TEXT = frozenset(["form", "aside"])
 NOT_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form".split())
 NOT_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion nav navbar navigation menu "
@@ -46,6 +48,8 @@ READER_NAMES = frozenset("comment comments disqus respond reply replies".split()
 QUALIFIERS = frozenset("no has have with without hide hides hidden".split())
 # A named element is the page itself if it holds more than this share of the text outside links.
 WRAPPER, READER_WRAPPER = 0.5, 0.9
+# The density of an element called article counts so many times beside another one.
+RAISED = 2.0
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 HEAD = frozenset("base link meta title style script noscript template".split())
 CONTENT = frozenset(["article", "main", "body", "html"])
@@ -60,10 +64,16 @@ NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "named", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = (
+        "tag", "parent", "children", "named", "dropped", "inside", "beside",
+        "chars", "tags", "link_chars", "link_tags", "density", "total",
+    )
 
     def __init__(self, tag: str, parent: Node | None, named: float = 0.0, dropped: bool = False):
         self.tag, self.parent, self.children, self.named, self.dropped = tag, parent, [], named, dropped
+        # Whether its children are in an article or main, and whether they are in an aside.
+        self.inside = tag in ("article", "main") or parent is not None and parent.inside
+        self.beside = tag == "aside" or parent is not None and parent.beside
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
@@ -108,15 +118,57 @@ def _plain_chars(nodes: list[Node]) -> dict[int, int]:
     return chars
 
 
+class _Open:
+    """The open elements, outermost first, and where those of each tag and the blocks are among them."""
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self.places: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+
+    def push(self, node: Node) -> None:
+        self.places.setdefault(node.tag, []).append(len(self.nodes))
+        if node.tag in BLOCKS:
+            self.blocks.append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, at: int) -> None:
+        """Close the elements from place ``at`` on."""
+        while len(self.nodes) > at:
+            tag = self.nodes.pop().tag
+            self.places[tag].pop()
+            if tag in BLOCKS:
+                self.blocks.pop()
+
+    def last(self, tags: frozenset[str]) -> int:
+        """Place of the innermost open element of these tags, or 0."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+    def end(self, tags: frozenset[str], stops: frozenset[str]) -> None:
+        """Close the innermost element of these tags unless it holds an open one of ``stops``."""
+        at = self.last(tags)
+        if at > self.last(stops - tags):
+            self.cut(at)
+
+    def close(self, tag: str) -> None:
+        """An end tag: of an element inside a block, or of a block; else it is a stray one."""
+        at = self.last(frozenset([tag]))
+        if at and (tag in BLOCKS or not self.blocks or self.blocks[-1] < at):
+            self.cut(at)
+
+
 def parse(page: str) -> Node:
-    """The page as a tree; text is a ``str`` child. Unclosed and stray tags are mended as browsers do."""
+    """The page as a tree; text is a ``str`` child. Unclosed and stray tags are mended as browsers do.
+
+    The work grows with the page, however deep its elements are nested.
+    """
     root = Node("html", None)
-    stack, at, nodes, first = [root], 0, [], None
+    opened, at, nodes, first = _Open(root), 0, [], None
     while at < len(page):
         tag = TAG.search(page, at)
         text = page[at : tag.start() if tag else len(page)]
         if text:
-            stack[-1].children.append(html.unescape(text))
+            opened.nodes[-1].children.append(html.unescape(text))
         if not tag:
             break
         at = tag.end()
@@ -124,31 +176,33 @@ def parse(page: str) -> Node:
         if not name or name == "html" or name == "body" and tag["end"]:
             continue
         if tag["end"] and name != "br":
-            _close(stack, name)
+            opened.close(name)
             continue
-        if stack[-1].tag == "head" and name not in HEAD:
-            stack.pop()
+        if opened.nodes[-1].tag == "head" and name not in HEAD:
+            opened.cut(len(opened.nodes) - 1)
         if name == "body":
-            if any(n.tag == "body" for n in stack):
+            if opened.places.get("body"):
                 continue
-            del stack[1:]
+            opened.cut(1)
         if name in ENDS:
-            _end_open(stack, *ENDS[name])
+            opened.end(*ENDS[name])
         if name in CLOSES_P:
-            _end_open(stack, frozenset(["p"]), CONTENT | frozenset(["td", "th", "button", "table"]))
+            opened.end(frozenset(["p"]), CONTENT | frozenset(["td", "th", "button", "table"]))
         found = _attributes(tag["attrs"]) if tag["attrs"].strip("/ ") else {}
-        inside = any(n.tag in ("article", "main") for n in stack)
-        named = 0.0 if name in ("body", "main") else _named_aside(found, inside)
-        node = Node(name, stack[-1], named, name != "body" and _never_text(name, found, inside))
-        stack[-1].children.append(node)
+        parent = opened.nodes[-1]
+        named = 0.0 if name in ("body", "main") else _named_aside(found, parent.inside)
+        if name in MOSTLY_NOT_TEXT:
+            named = READER_WRAPPER
+        node = Node(name, parent, named, name != "body" and _never_text(name, found, parent.inside))
+        parent.children.append(node)
         nodes.append(node)
-        if not first and name in ("article", "main") and not named:
+        if not first and name in ("article", "main") and not named and not node.beside:
             first = node
         if name in RAW:
             close = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             at = close.end() if close else len(page)
         elif name not in VOID:
-            stack.append(node)
+            opened.push(node)
     holders, whole = set(), first or root
     while first:
         holders.add(id(first))
@@ -167,24 +221,6 @@ def parse(page: str) -> Node:
     return root
 
 
-def _end_open(stack: list[Node], names: frozenset[str], stops: frozenset[str]) -> None:
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag in names:
-            del stack[i:]
-            return
-        if stack[i].tag in stops:
-            return
-
-
-def _close(stack: list[Node], name: str) -> None:
-    for i in range(len(stack) - 1, 0, -1):
-        if stack[i].tag == name:
-            del stack[i:]
-            return
-        if name not in BLOCKS and stack[i].tag in BLOCKS:
-            return
-
-
 def _walk(root: Node) -> list[Node]:
     """The nodes that are not dropped, parents first."""
     found, waiting = [], [root]
@@ -234,7 +270,9 @@ def main_nodes(root: Node) -> list[Node]:
     """The parts of the page that are its article, in page order.
 
     The article is the enclosing ``article`` or ``main`` of the subtree with
-    the largest density sum. Without one, the lowest density on the path from
+    the largest density sum; other articles of the same ``main`` are part of it
+    if their density, raised for the tag, reaches that of the path from there
+    to it, and so are headings directly before. Without one, the lowest density on the path from
     that subtree to the body is the threshold: the choice moves up while a
     block beside it reaches the threshold, and every other block of the page
     that reaches it is part of the article too, as is a heading that directly
@@ -247,9 +285,10 @@ def main_nodes(root: Node) -> list[Node]:
     path = [best]
     while path[-1].parent:
         path.append(path[-1].parent)
-    article = next((n for n in path if n.tag == "article"), None) or next((n for n in path if n.tag == "main"), None)
+    main = next((n for n in path if n.tag == "main"), None)
+    article = next((n for n in path if n.tag == "article"), None) or main
     if article:
-        return [article]
+        return _in_main(main, article, path) if main and main is not article else [article]
     threshold = min(n.density for n in path)
     while best.parent and best.parent.tag not in ("body", "html"):
         beside = [c for c in best.parent.children if isinstance(c, Node) and c is not best and not c.dropped]
@@ -259,6 +298,29 @@ def main_nodes(root: Node) -> list[Node]:
     return _reaching(root, best, {id(n) for n in path}, threshold)
 
 
+def _in_main(main: Node, article: Node, path: list[Node]) -> list[Node]:
+    """``article``, the other articles of ``main`` as dense as the path between them, and the headings before any of them."""
+    threshold = min(n.density for n in path[: path.index(main) + 1])
+    seen, waiting = [], [main]
+    while waiting:
+        node = waiting.pop()
+        if node is article or node.tag == "article" and RAISED * node.density >= threshold:
+            seen.append((node, True))
+        elif node.tag in HEADINGS:
+            seen.append((node, False))
+        else:
+            inner = [c for c in node.children if isinstance(c, Node) and not c.dropped and c.chars]
+            if not inner and node.chars and node.tag in BLOCKS:
+                seen.append((node, None))
+            waiting += reversed(inner)
+    found, follows = [], False
+    for node, reaches in reversed(seen):
+        follows = bool(reaches) or reaches is False and follows
+        if follows:
+            found.append(node)
+    return found[::-1]
+
+
 def _parts(node: Node, path: set[int], ratio: float) -> list[Node]:
     """The blocks in a node; what stands between them is a paragraph each."""
     parts, run = [], None
