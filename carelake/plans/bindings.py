@@ -208,7 +208,7 @@ def _written(spark: SparkSession, sf_dir: str, what: str, write) -> str:
 def _write_graph(spark: SparkSession, sf_dir: str, path: str) -> None:
     """Map the written gold tables to triples and write those."""
     root = stored_lake(spark, sf_dir)
-    gold = gold_zone(spark, root)
+    gold = zones.read_gold(spark, root)
     bound = dictionaries(spark, sf_dir)
     # A row gives four to eight triples; counting reads file footers alone.
     rows = sum(df.count() for df in gold.values())
@@ -231,7 +231,7 @@ def _write_lake(spark: SparkSession, sf_dir: str, path: str) -> None:
     datasets = [(f"bronze/{name}", "bronze", f"{sf_dir}/{name}.parquet", "parquet") for name in GIVEN]
     record = Recorder(spark, {location: name for name, _, location, _ in datasets})
     record.write_all(
-        path,
+        f"{path}/silver",
         "silver",
         {
             "patients": (zones.silver_patients(raw.ehr_patients), "pseudonymize"),
@@ -245,20 +245,16 @@ def _write_lake(spark: SparkSession, sf_dir: str, path: str) -> None:
         {"lab_results": zones.write_labs},
     )
     zones.write_gold(spark, path, record)
-    written = {f"gold/{name}": df for name, df in gold_zone(spark, path).items()}
+    written = {f"gold/{name}": df for name, df in zones.read_gold(spark, path).items()}
     written |= {f"silver/{name}": df for name, df in silver_zone(spark, path).items()}
     written |= {f"bronze/{name}": table(spark, sf_dir, name) for name in GIVEN}
-    zones.write_catalog(spark, path, datasets + zones.zone_datasets(path), written, record.lineage())
+    zones.write_catalog(spark, path, datasets + zones.zone_datasets(spark, path), written, record.lineage())
 
 
 def silver_zone(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return zones.read_silver(spark, f"{root}/silver", zones.SILVER_TABLES)
 
 
-def gold_zone(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    return {name: io.table_or_empty(spark, f"{root}/gold", name) for name in schemas.INTEGRATED_TABLES}
-
-
 def stored_lake(spark: SparkSession, sf_dir: str) -> str:
     """Root of the bound silver and gold tables, written once per session."""
     tune(spark)

@@ -76,13 +76,13 @@ class Recorder:
         self.rows += [(dataset, source, step, records) for source in sorted(sources)]
         self.names[folder(path)] = {dataset}
 
-    def write_all(self, root: str, zone: str, tables: dict[str, tuple[DataFrame, str]], writers: dict[str, Writer] | None = None) -> None:
-        """Write the tables (each with the step that made it) of a zone, some at a time."""
+    def write_all(self, path: str, zone: str, tables: dict[str, tuple[DataFrame, str]], writers: dict[str, Writer] | None = None) -> None:
+        """Write the tables (each with the step that made it) of a zone below ``path``, some at a time."""
         writers = writers or {}
         concurrently(
             self.spark,
             [
-                partial(self.write, f"{zone}/{name}", df, f"{root}/{zone}/{name}", step, writers.get(name, _replace))
+                partial(self.write, f"{zone}/{name}", df, f"{path}/{name}", step, writers.get(name, _replace))
                 for name, (df, step) in tables.items()
             ],
         )

@@ -148,7 +148,7 @@ def quality_profile(spark: SparkSession, sf: str) -> DataFrame:
     found = [
         quality.quality_profile(_integrated_labs(spark, sf), "lab_results"),
         zones.contradictions("silver", b.silver_zone(spark, root), bound),
-        zones.contradictions("gold", b.gold_zone(spark, root), bound),
+        zones.contradictions("gold", zones.read_gold(spark, root), bound),
     ]
     return _union(found).withColumn("value", F.round("value", 6))
 
@@ -381,8 +381,7 @@ def zones_gold(spark: SparkSession, sf: str) -> DataFrame:
     """Every row of the six gold tables, its columns joined as text."""
     root = b.stored_lake(spark, sf)
     parts = []
-    for name in schemas.INTEGRATED_TABLES:
-        df = io.table_or_empty(spark, f"{root}/gold", name)
+    for name, df in zones.read_gold(spark, root).items():
         parts.append(df.select(F.lit(name).alias("table"), _as_text(df).alias("row")))
     return _union(parts)
 

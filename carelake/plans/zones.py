@@ -293,12 +293,12 @@ SILVER_TABLES = [
 BRONZE_FORMATS = {"ehr": "csv", "lab": "json", "fhir": "ndjson", "dicom": "dicom"}
 
 
-def zone_datasets(root: str) -> list[Dataset]:
-    """The silver and gold tables under ``root``, as catalogue entries."""
-    zones = {"silver": SILVER_TABLES, "gold": list(schemas.INTEGRATED_TABLES)}
+def zone_datasets(spark: SparkSession, root: str) -> list[Dataset]:
+    """The silver tables and the committed gold ones under ``root``, as catalogue entries."""
+    zones = {"silver": (f"{root}/silver", SILVER_TABLES), "gold": (_gold_path(spark, root), list(schemas.INTEGRATED_TABLES))}
     return [
-        (f"{zone}/{name}", zone, f"{root}/{zone}/{name}", "parquet")
-        for zone, names in zones.items()
+        (f"{zone}/{name}", zone, f"{path}/{name}", "parquet")
+        for zone, (path, names) in zones.items()
         for name in names
     ]
 
@@ -313,10 +313,23 @@ class PipelineResult:
 
 
 def write_gold(spark: SparkSession, root: str, record: Recorder) -> None:
-    """The unified tables, from the silver ones that were written."""
+    """The unified tables, from the silver ones that were written; readers see all six or those of before."""
     unified = gold_tables(read_silver(spark, f"{root}/silver", SILVER_TABLES))
     made = {name: (df, "unify" if name == "patients" else "curate") for name, df in unified.items()}
-    record.write_all(root, "gold", made)
+    path = versions.new_version(f"{root}/gold")
+    record.write_all(path, "gold", made)
+    versions.commit(spark, f"{root}/gold", path)
+
+
+def _gold_path(spark: SparkSession, root: str) -> str:
+    version = versions.current(spark, f"{root}/gold")
+    return version.path if version else f"{root}/gold/none"
+
+
+def read_gold(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The six unified tables as last committed; empty ones before the first time."""
+    path = _gold_path(spark, root)
+    return {name: io.table_or_empty(spark, path, name) for name in schemas.INTEGRATED_TABLES}
 
 
 def write_silver(
@@ -330,7 +343,7 @@ def write_silver(
     io.write_tables({"dicom_errors": errors}, f"{out_dir}/silver")
     labs = silver_labs(io.read_json_array(spark, f"{in_dir}/lab"), dictionaries)
     record.write_all(
-        out_dir,
+        f"{out_dir}/silver",
         "silver",
         {
             "patients": (silver_patients(io.read_csv(spark, f"{in_dir}/ehr")), "pseudonymize"),
@@ -366,10 +379,7 @@ def run_pipeline(
     write_silver(spark, in_dir, out_dir, dictionaries, record)
     write_gold(spark, out_dir, record)
     silver = read_silver(spark, f"{out_dir}/silver", [*SILVER_TABLES, "dicom_errors"])
-    gold = {
-        name: io.table_or_empty(spark, f"{out_dir}/gold", name)
-        for name in schemas.INTEGRATED_TABLES
-    }
+    gold = read_gold(spark, out_dir)
 
     triples = build_graph(spark, gold, dictionaries)
     save_graph(triples, f"{out_dir}/graph")
@@ -378,7 +388,7 @@ def run_pipeline(
 
     profiled = {f"gold/{name}": df for name, df in gold.items()}
     profiled |= {f"silver/{name}": silver[name] for name in SILVER_TABLES}
-    write_catalog(spark, out_dir, datasets + zone_datasets(out_dir), profiled, record.lineage())
+    write_catalog(spark, out_dir, datasets + zone_datasets(spark, out_dir), profiled, record.lineage())
     return PipelineResult(
         gold,
         predefined_queries(graph, names),

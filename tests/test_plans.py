@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from carelake.operators import mapping
 from carelake.operators.match import Lit, join_order, match
-from carelake.plans import bindings, registry
+from carelake.plans import bindings, registry, zones
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -74,7 +74,7 @@ def test_mapping_a_clean_table_shuffles_only_its_rows(spark):
 
 
 def test_mapping_takes_one_exchange_for_each_kind_of_node(spark):
-    images = spark.read.parquet(f"{bindings.stored_lake(spark, SF_DIR)}/gold/dicom_images")
+    images = zones.read_gold(spark, bindings.stored_lake(spark, SF_DIR))["dicom_images"]
     found = exchanges(mapping.map_imaging(images))
     assert len(found) == 3 and sum("node" in e for e in found) == 2 and sum("patient_id_pseudo" in e for e in found) == 1
 

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from carelake import schemas
 from carelake.operators.integrate import Dictionaries
 from carelake.operators.match import match
 from carelake.plans import zones
@@ -165,3 +166,36 @@ def test_contradictions_of_the_lake(spark, lake):
     assert values["gold/lab_results", "violations", "other_unit"] == 0.0
     assert values["gold/prescriptions", "violations", "undated"] == 1.0
     assert values["gold/prescriptions", "consistent_pct", None] == 50.0
+
+
+def test_gold_tables_are_replaced_together_or_not_at_all(spark, tmp_path, rows):
+    root = str(tmp_path)
+    silver = {t: schemas.INTEGRATED_TABLES[t] for t in ("conditions", "allergies", "dicom_images")}
+    for name, schema in silver.items():
+        spark.createDataFrame([], schema).write.parquet(f"{root}/silver/{name}")
+    spark.createDataFrame([("P1", "male")], "patient_id string, gender_fhir string").write.parquet(f"{root}/silver/clinical_patients")
+    spark.createDataFrame([], zones.SILVER_LABS).write.parquet(f"{root}/silver/lab_results")
+    drugs = "patient_id string, drug string, date date, patient_id_pseudo string, drug_family string"
+    spark.createDataFrame([], drugs).write.parquet(f"{root}/silver/prescriptions")
+    people = "patient_id string, first_name string, last_name string, gender string, birthDate date, country string, patient_id_pseudo string"
+
+    def with_patients(*names):
+        made = [(f"P{i}", n, None, None, None, None, f"h{i}") for i, n in enumerate(names)]
+        spark.createDataFrame(made, people).write.mode("overwrite").parquet(f"{root}/silver/patients")
+        return [r.first_name for r in zones.read_gold(spark, root)["patients"].orderBy("first_name").collect()]
+
+    assert with_patients("Ann") == []
+    zones.write_gold(spark, root, Recorder(spark, {}))
+    assert with_patients("Bo", "Cy") == ["Ann"]
+
+    class Broken(Recorder):
+        def write(self, dataset, *rest):
+            super().write(dataset, *rest)
+            if dataset == "gold/patients":
+                raise RuntimeError("lost its driver")
+
+    with pytest.raises(RuntimeError, match="lost"):
+        zones.write_gold(spark, root, Broken(spark, {}))
+    assert with_patients("Bo", "Cy") == ["Ann"]
+    zones.write_gold(spark, root, Recorder(spark, {}))
+    assert with_patients("Di") == ["Bo", "Cy"]
