@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,6 +18,8 @@ BUCKET_KEYS = 1 << 15
 # Up to this many repeated digests (8 bytes each, 2 MB) are sent to all
 # executors to screen the texts as they are read; more stay in Spark as a join.
 MAX_SCREEN_KEYS = 1 << 18
+# Most bits of the filter that is sent to all tasks (64 MB), and bits that a key sets.
+BLOOM_BITS, BLOOM_HASHES = 1 << 29, 4
 FILTER = "bucket long, seed long, segment long, span long, slots binary"
 
 
@@ -101,23 +103,84 @@ def _key(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
 
-def _keys(digests: pd.Series) -> np.ndarray:
+def _keys(digests: Iterable[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(d[:8].ljust(8, b"\0") for d in digests), "<u8")
 
 
-def _bodies(known: np.ndarray | None, width: int):
-    """Digest and folded text of the rows whose digest starts with a known key; of all rows if None."""
+class BloomFilter:
+    """A filter of a fixed number of bits over 64-bit keys: more keys let more others pass, none is lost.
+
+    Unlike :class:`FuseFilter` it has one size for any number of keys, so it
+    can be sent to every task.
+    """
+
+    def __init__(self, bits: np.ndarray, hashes: int = BLOOM_HASHES):
+        self.bits, self.hashes = bits, hashes
+
+    @staticmethod
+    def places(keys: np.ndarray, n_bits: int, hashes: int = BLOOM_HASHES) -> np.ndarray:
+        a, b = mix64(keys), mix64(keys ^ np.uint64(0x6A09E667F3BCC909)) | np.uint64(1)
+        return np.stack([(a + np.uint64(i) * b) & np.uint64(n_bits - 1) for i in range(hashes)]).astype(np.int64)
+
+    def may_hold(self, keys: np.ndarray) -> np.ndarray:
+        at = self.places(keys, len(self.bits) * 8, self.hashes)
+        return ((self.bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).all(axis=0)
+
+
+def bloom_bits(count: int, most: int = BLOOM_BITS) -> int:
+    """A power of two of about twelve bits a key, ``most`` at most."""
+    return min(most, 1 << max(16, (12 * count - 1).bit_length()))
+
+
+def build_bloom(digests: DataFrame, n_bits: int) -> BloomFilter:
+    """The filter of all ``digest`` values: set bits are merged by ranges in Spark; ``n_bits`` / 8 bytes reach the driver."""
+    span = min(n_bits, 1 << 20)
+    schema = pa.schema([("span", pa.int32()), ("bits", pa.binary())])
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                at = np.unique(BloomFilter.places(_keys(batch.column("digest").to_pylist()), n_bits))
+                cuts = np.flatnonzero(np.diff(at // span)) + 1
+                rows = ((int(p[0] // span), (p % span).astype("<u4").tobytes()) for p in np.split(at, cuts))
+                yield from in_batches(rows, schema)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for number, at in arrow_rows(batches, "span", "bits"):
+            held.setdefault(number, np.zeros(span, bool))[np.frombuffer(at, "<u4")] = True
+        yield from in_batches(((k, np.packbits(v, bitorder="little").tobytes()) for k, v in held.items()), schema, 8)
+
+    bits = np.zeros(n_bits // 8, np.uint8)
+    marked = digests.select("digest").mapInArrow(mark, "span int, bits binary").repartition(max(1, n_bits // span), "span")
+    for number, part in marked.mapInArrow(merge, "span int, bits binary").collect():
+        bits[number * span // 8 : (number + 1) * span // 8] = np.frombuffer(part, np.uint8)
+    return BloomFilter(bits)
+
+
+def _bodies(known: np.ndarray | None, width: int, sent=None):
+    """Digest and folded text of the rows whose digest starts with a known key, or passes the filter that was ``sent``.
+
+    Of all rows if there is neither.
+    """
     schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary()), ("body", pa.binary())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = None if known is None else frozenset(known.tolist())
 
         def rows():
-            for i, t in arrow_rows(batches, "doc_id", "text"):
-                body = folded(t)
-                digest = hashlib.sha256(body).digest()[:width]
-                if keys is None or _key(digest.ljust(8, b"\0")) in keys:
-                    yield i, digest, body
+            for batch in batches:
+                bodies = [folded(t) for t in batch.column("text").to_pylist()]
+                digests = [hashlib.sha256(b).digest()[:width] for b in bodies]
+                if sent is not None:
+                    passed = sent.value.may_hold(_keys(digests)) if digests else []
+                elif keys is not None:
+                    passed = [_key(d.ljust(8, b"\0")) in keys for d in digests]
+                else:
+                    passed = [True] * len(digests)
+                for i, digest, body, pick in zip(batch.column("doc_id").to_pylist(), digests, bodies, passed, strict=True):
+                    if pick:
+                        yield i, digest, body
 
         yield from in_batches(rows(), schema, 256)
 
@@ -157,7 +220,9 @@ def _bucketed(df: DataFrame, buckets: int) -> DataFrame:
     return df.select("digest", F.pmod(F.xxhash64("digest"), F.lit(buckets)).alias("bucket"))
 
 
-def dedup(docs: DataFrame, digest_bytes: int = 32, bucket_keys: int = BUCKET_KEYS) -> DataFrame:
+def dedup(
+    docs: DataFrame, digest_bytes: int = 32, bucket_keys: int = BUCKET_KEYS, screen_keys: int = MAX_SCREEN_KEYS
+) -> DataFrame:
     """The group of equal texts each document is in, and the row that stays.
 
     Texts are equal when identical after lower-casing A-Z only. Columns, one
@@ -171,7 +236,9 @@ def dedup(docs: DataFrame, digest_bytes: int = 32, bucket_keys: int = BUCKET_KEY
     compared byte by byte. Texts that share a digest but differ are told
     apart; ``digest_bytes`` shortens the digest so that tests can show it.
     Digests travel without their texts; texts shuffle only for digests that
-    repeat, after equal ones have met within each task.
+    repeat, after equal ones have met within each task. The tasks that read
+    them know up to ``screen_keys`` repeated digests by heart, of more a filter
+    of 64 MB at most, which may let a few others pass.
 
     A null text is an empty one. A null ``doc_id`` counts as the smallest. Of
     rows that repeat id and text, one stays. An empty table gives an empty
@@ -200,7 +267,7 @@ def dedup(docs: DataFrame, digest_bytes: int = 32, bucket_keys: int = BUCKET_KEY
     own = batch.join(passed, "digest", "left_anti").select("digest", F.col("n").alias("group_size"), "last")
     groups = staged(known.union(own.select(*known.columns)))
     repeated = staged(groups.where("group_size > 1").select("digest"))
-    mixed = _unequal(texts, repeated, digest_bytes)
+    mixed = _unequal(texts, repeated, digest_bytes, screen_keys)
     ready = _assigned(rows.join(mixed, "digest", "left_anti"), groups, ["digest"])
     if mixed.isEmpty():
         return ready
@@ -213,17 +280,25 @@ def dedup(docs: DataFrame, digest_bytes: int = 32, bucket_keys: int = BUCKET_KEY
     return ready.unionByName(_assigned(apart, told, ["digest", "body"]))
 
 
-def _unequal(texts: DataFrame, repeated: DataFrame, width: int) -> DataFrame:
+def _unequal(texts: DataFrame, repeated: DataFrame, width: int, screen_keys: int) -> DataFrame:
     """Digests among ``repeated`` whose folded texts are not all the same bytes; staged."""
-    if repeated.count() <= MAX_SCREEN_KEYS:
-        known = np.array([_key(bytes(r[0]).ljust(8, b"\0")) for r in repeated.collect()], np.int64)
-        bodies = texts.mapInArrow(_bodies(known, width), "doc_id long, digest binary, body binary")
-    else:
-        bodies = texts.mapInArrow(_bodies(None, width), "doc_id long, digest binary, body binary")
+    bodies = _wanted(texts, repeated, width, screen_keys)
     same = bodies.join(repeated, "digest", "left_semi").groupBy("digest", "body").count()
     return staged(same.groupBy("digest").count().where("count > 1").select("digest"))
 
 
+def _wanted(texts: DataFrame, repeated: DataFrame, width: int, screen_keys: int) -> DataFrame:
+    """Folded texts of at least all rows with a repeated digest, picked where they are read."""
+    count = repeated.count()
+    if count <= screen_keys:
+        known = np.array([_key(bytes(r[0]).ljust(8, b"\0")) for r in repeated.collect()], np.int64)
+        run = _bodies(known, width)
+    else:
+        made = build_bloom(repeated, bloom_bits(count))
+        run = _bodies(None, width, texts.sparkSession.sparkContext.broadcast(made))
+    return texts.mapInArrow(run, "doc_id long, digest binary, body binary")
+
+
 def _assigned(rows: DataFrame, groups: DataFrame, on: list[str]) -> DataFrame:
     return rows.join(groups, on).select(
         "doc_id",
