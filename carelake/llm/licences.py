@@ -25,6 +25,10 @@ TEMPLATES = {
         "SPDX-License-Identifier: MIT",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.",
         "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "MIT License",
+        "The MIT License (MIT)",
+        "License: MIT",
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
     ],
     "apache": [
         "Licensed under the Apache License, Version 2.0.",
@@ -32,6 +36,8 @@ TEMPLATES = {
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "SPDX-License-Identifier: Apache-2.0",
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS.",
+        "Apache License, Version 2.0",
+        "License: Apache-2.0",
     ],
     "gpl": [
         "This work is licensed under the GNU General Public License, version 3.",
@@ -40,22 +46,33 @@ TEMPLATES = {
         "Licensed under the GNU GPL v3 or later.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
         "SPDX-License-Identifier: GPL-2.0-only",
+        "GNU General Public License",
+        "License: GPL-3.0",
+        "GPL-2.0-or-later",
+        "GPL-3.0-only",
     ],
     "lgpl": [
         "Licensed under the GNU Lesser General Public License, version 2.1.",
         "You can redistribute this library and/or modify it under the terms of the GNU Lesser General Public License.",
         "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "GNU Lesser General Public License",
+        "License: LGPL-3.0",
     ],
     "bsd": [
         "Released under the BSD 3-Clause License.",
         "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
         "SPDX-License-Identifier: BSD-3-Clause",
+        "BSD 2-Clause License",
+        "BSD 3-Clause License",
+        "License: BSD-3-Clause",
     ],
     "mpl": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License 2.0.",
         "SPDX-License-Identifier: MPL-2.0",
+        "Mozilla Public License Version 2.0",
+        "License: MPL-2.0",
     ],
     "cc-by": [
         "Licensed under CC BY 4.0.",
@@ -65,12 +82,46 @@ TEMPLATES = {
     "cc-by-sa": [
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-SA-4.0",
     ],
     "cc-by-nc": [
         "Licensed under CC BY-NC 4.0.",
         "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
         "SPDX-License-Identifier: CC-BY-NC-4.0",
     ],
+    "cc-by-nd": [
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-ND-4.0",
+    ],
+    "cc-by-nc-nd": [
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-NC-ND-4.0",
+    ],
+    "cc-by-nc-sa": [
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+        "SPDX-License-Identifier: CC-BY-NC-SA-4.0",
+    ],
+    "agpl": [
+        "GNU Affero General Public License",
+        "This program is licensed under the GNU Affero General Public License, version 3.",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+        "License: AGPL-3.0",
+        "AGPL-3.0-only",
+    ],
+    "epl": [
+        "Eclipse Public License 2.0",
+        "Made available under the terms of the Eclipse Public License 2.0.",
+        "SPDX-License-Identifier: EPL-2.0",
+        "License: EPL-2.0",
+    ],
+    "isc": [
+        "ISC License",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+        "SPDX-License-Identifier: ISC",
+    ],
     "public-domain": [
         "This is free and unencumbered software released into the public domain.",
         "To the extent possible under law, the author has dedicated all copyright to the public domain under CC0 1.0 Universal.",
@@ -81,11 +132,20 @@ TEMPLATES = {
         "All rights reserved. No part of this publication may be reproduced without permission.",
     ],
 }
+# How a statement begins, and what denies it.
+STATED = ("Licensed under", "Released under")
+DENIALS = (
+    "This file is not licensed under", "This work is not released under", "It is no longer licensed under",
+    "This is not, and never was, released under", "You may not use this under",
+)
 UNKNOWN = "unknown"
 WORD = re.compile(r"[^\W_]+")
 # At most this many paragraphs of the corpus are fitted on as the unknown class.
 MAX_UNKNOWN = 3000
-CONFIRMED = 0.6
+# The share of a template's n-grams, and of those that no other family has, that confirm it.
+CONFIRMED, TOLD = 0.6, 0.5
+# Parts that the templates are dealt into to calibrate on templates not fitted on.
+FOLDS = 3
 
 
 def word_ngrams(text: str) -> set[str]:
@@ -130,13 +190,26 @@ class LicenceModel:
         for family in np.argsort(-chance[:-1], kind="stable").tolist():
             if chance[family] <= chance[-1] or against[family] < least:
                 break
-            shares = [(len(grams & t) / len(t), t) for f, t in self.templates if f == family]
+            shares = [
+                (len(grams & t) / len(t), t)
+                for (f, t), telling in zip(self.templates, self.telling, strict=True)
+                if f == family and len(grams & telling) >= TOLD * len(telling)
+            ]
             shares = [(share, t) for share, t in shares if share >= CONFIRMED]
             if any(len(grams & t - explained) >= max(CONFIRMED * len(t - explained), 1) for _, t in shares):
                 found.append((self.families[family], float(against[family]), max(share for share, _ in shares)))
                 explained = explained.union(*(t for _, t in shares))
         return found
 
+    @cached_property
+    def telling(self) -> list[set[str]]:
+        """By template its n-grams that are in no template of another family."""
+        families: dict[str, set[int]] = {}
+        for family, template in self.templates:
+            for gram in template:
+                families.setdefault(gram, set()).add(family)
+        return [{g for g in template if len(families[g]) == 1} for _, template in self.templates]
+
     @cached_property
     def pairs(self) -> dict[str, list[int]]:
         """Templates by the word pairs they hold."""
@@ -194,58 +267,78 @@ class LicenceModel:
         return sorted(found)
 
 
-def _examples(families: list[str]) -> list[tuple[int, str]]:
-    """Each template as it is, inside other words, with words left out, and next to another one."""
+def _examples(families: list[str]) -> list[tuple[int, str, str]]:
+    """Family, template and text: each template as it is, inside other words, with words left out, and next to another one.
+
+    A denied statement is an example of the unknown class.
+    """
     made = []
     for family, name in enumerate(families):
         for template in TEMPLATES[name]:
             words = template.split()
-            made += [(family, template), (family, template.upper()), (family, f"Note: {template}"), (family, f"{template} See the file for details.")]
+            texts = [template, template.upper(), f"Note: {template}", f"{template} See the file for details."]
             for turn in range(6):
                 seed = hashlib.sha256(f"{name}:{template}:{turn}".encode()).digest()
-                made.append((family, " ".join(w for i, w in enumerate(words) if seed[i % 32] > 20)))
+                texts.append(" ".join(w for i, w in enumerate(words) if seed[i % 32] > 20))
+            made += [(family, template, text) for text in texts]
+            for start in STATED:
+                if template.startswith(start):
+                    made += [(len(families), template, denial + template[len(start) :]) for denial in DENIALS]
     return made
 
 
+def _fitted(x: np.ndarray, y: np.ndarray, classes: int, steps: int, ridge: float) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and bias of a multinomial logistic regression, by Adam over all rows."""
+    w, b = np.zeros((x.shape[1], classes), np.float32), np.zeros(classes, np.float32)
+    moments = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(b), np.zeros_like(b)]
+    target = np.eye(classes, dtype=np.float32)[y]
+    for step in range(1, steps + 1):
+        z = x @ w + b
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        error = (p / p.sum(axis=1, keepdims=True) - target) / len(target)
+        for value, grad, i in ((w, x.T @ error + ridge * w / len(target), 0), (b, error.sum(axis=0), 2)):
+            moments[i] = 0.9 * moments[i] + 0.1 * grad
+            moments[i + 1] = 0.99 * moments[i + 1] + 0.01 * grad**2
+            value -= 0.05 * (moments[i] / (1 - 0.9**step)) / (np.sqrt(moments[i + 1] / (1 - 0.99**step)) + 1e-8)
+    return w, b
+
+
 def fit(unknown: list[str], steps: int = 300, ridge: float = 0.02) -> LicenceModel:
-    """Multinomial logistic regression on templates and unknown paragraphs.
+    """Multinomial logistic regression on templates, denied statements and unknown paragraphs.
 
-    Every fifth example is held out to set the temperature, by which the
-    probabilities are calibrated.
+    Probabilities are calibrated by a temperature. It is set on examples whose
+    template was held out: templates are dealt into :data:`FOLDS` parts and
+    each is judged by a fit on the others. The model itself is fitted on all.
     """
     families = sorted(TEMPLATES)
-    positive = [(f, word_ngrams(t)) for f, t in _examples(families)]
-    vocabulary = sorted({g for _, grams in positive for g in grams})
+    examples = _examples(families)
+    positive = [(f, word_ngrams(t)) for f, _, t in examples]
+    vocabulary = sorted({g for f, grams in positive if f < len(families) for g in grams} | {"not licensed", "not released", "not", "never", "no longer"})
     index = {g: i for i, g in enumerate(vocabulary)}
     # Words that only join a template's meaning are no licence by themselves.
     plain = [(len(families), word_ngrams(t)) for t in unknown] + [(len(families), set())]
-    for _, grams in positive:
-        singles = sorted(g for g in grams if " " not in g)
-        plain.append((len(families), set(singles[::3])))
+    for family, grams in positive:
+        if family < len(families):
+            plain.append((len(families), set(sorted(g for g in grams if " " not in g)[::3])))
     rows = positive + plain
     x = np.zeros((len(rows), len(vocabulary)), np.float32)
     for r, (_, grams) in enumerate(rows):
         x[r, [index[g] for g in grams if g in index]] = 1.0
     y = np.array([f for f, _ in rows])
-    held = np.arange(len(rows)) % 5 == 4
-    w, b = np.zeros((len(vocabulary), len(families) + 1), np.float32), np.zeros(len(families) + 1, np.float32)
-    moments = [np.zeros_like(w), np.zeros_like(w), np.zeros_like(b), np.zeros_like(b)]
-    target = np.eye(len(families) + 1, dtype=np.float32)[y[~held]]
-    for step in range(1, steps + 1):
-        z = x[~held] @ w + b
-        p = np.exp(z - z.max(axis=1, keepdims=True))
-        error = (p / p.sum(axis=1, keepdims=True) - target) / len(target)
-        for value, grad, i in ((w, x[~held].T @ error + ridge * w / len(target), 0), (b, error.sum(axis=0), 2)):
-            moments[i] = 0.9 * moments[i] + 0.1 * grad
-            moments[i + 1] = 0.99 * moments[i + 1] + 0.01 * grad**2
-            value -= 0.05 * (moments[i] / (1 - 0.9**step)) / (np.sqrt(moments[i + 1] / (1 - 0.99**step)) + 1e-8)
+    order = {t: i for i, t in enumerate(dict.fromkeys(t for _, t, _ in examples))}
+    fold = np.array([order[t] % FOLDS for _, t, _ in examples] + [i % FOLDS for i in range(len(plain))])
+    classes, judged = len(families) + 1, np.zeros((len(rows), len(families) + 1))
+    for k in range(FOLDS):
+        w, b = _fitted(x[fold != k], y[fold != k], classes, steps // 3, ridge)
+        judged[fold == k] = x[fold == k] @ w + b
 
     def loss(temperature: float) -> float:
-        z = (x[held] @ w + b).astype(float) / temperature
-        z -= z.max(axis=1, keepdims=True)
-        return float(np.mean(np.log(np.exp(z).sum(axis=1)) - z[np.arange(len(z)), y[held]]))
+        z = judged / temperature
+        z = z - z.max(axis=1, keepdims=True)
+        return float(np.mean(np.log(np.exp(z).sum(axis=1)) - z[np.arange(len(z)), y]))
 
-    best = min(np.geomspace(0.25, 4, 33), key=loss)
+    best = min(np.geomspace(0.25, 16, 49), key=loss)
+    w, b = _fitted(x, y, classes, steps, ridge)
     return LicenceModel(
         {g: w[i].astype(float) for g, i in index.items()}, b.astype(float), float(best), families,
         [(f, word_ngrams(t)) for f, name in enumerate(families) for t in TEMPLATES[name]],
