@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +59,25 @@ def staged(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def lean(run: Callable) -> Callable:
+    """``run`` over a task's batches, which gives its memory back to the machine when it ends.
+
+    Workers live on from task to task and from stage to stage; what one stage
+    needed at its peak would else stay with them.
+    """
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        _forget_powers()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:  # the C library of most Linux systems; others give memory back by themselves
+            trim(0)
+
+    return wrapped
+
+
 def arrow_rows(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[tuple]:
     """Rows of Arrow batches as tuples of plain values."""
     for batch in batches:
@@ -101,6 +122,11 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _forget_powers() -> None:
+    global _powers
+    _powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
+
+
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _powers
     if len(_powers[0]) < n:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.common import hash_words, mix64, signed, staged, take, whole_text
+from carelake.llm.common import hash_words, lean, mix64, signed, staged, take, whole_text
 
 SIMILARITY = 0.8
 # Words are counted by this many hash slots (one byte each, 4 MB), however many words there are.
@@ -200,7 +200,7 @@ def rarity_classes(survey: DataFrame, slots: int = RARITY_SLOTS) -> np.ndarray:
     parts = int(survey.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counts = survey.where("counts IS NOT NULL").select("line", "counts").repartition(parts, "line")
     classes = np.zeros(slots, np.uint8)
-    for nth, level in counts.mapInArrow(_levels, "nth int, level binary").collect():
+    for nth, level in counts.mapInArrow(lean(_levels), "nth int, level binary").collect():
         at = nth * SLOT_RANGE
         classes[at : at + SLOT_RANGE] = np.frombuffer(level, np.uint8)[: slots - at]
     return classes
@@ -446,16 +446,16 @@ def linked_lines(
     """
     spark = texts.sparkSession
     sent = spark.sparkContext.broadcast(rarity_classes(survey))
-    entries = texts.select("text").mapInArrow(_entries(sent, similarity, limits.crowd), ENTRIES)
+    entries = texts.select("text").mapInArrow(lean(_entries(sent, similarity, limits.crowd)), ENTRIES)
     entries = entries.repartition("key").sortWithinPartitions("key")
-    found = staged(entries.mapInArrow(_candidates(similarity, limits), "word long, id long, other long").distinct())
+    found = staged(entries.mapInArrow(lean(_candidates(similarity, limits)), "word long, id long, other long").distinct())
     short_entries, pairs = found.where("other IS NULL"), found.where("other IS NOT NULL").select("id", "other").distinct()
     named = found.select("id").union(pairs.select("other")).distinct()
     if named.count() <= MAX_SENT:
         known = np.sort(np.array([r[0] for r in named.collect()], np.int64))
-        lists = texts.select("text").mapInArrow(_word_lists(sent, known), "id long, words binary")
+        lists = texts.select("text").mapInArrow(lean(_word_lists(sent, known)), "id long, words binary")
     else:
-        lists = texts.select("text").mapInArrow(_word_lists(sent, None), "id long, words binary").join(named, "id", "left_semi")
+        lists = texts.select("text").mapInArrow(lean(_word_lists(sent, None)), "id long, words binary").join(named, "id", "left_semi")
     lists = lists.groupBy("id").agg(F.first("words").alias("words"))
     first = [F.col(f"first.{n}").alias(n) for n in ("doc_id", "text_hash", "line")]
     lists = staged(lists.join(places, "id").select("id", "words", *first))
@@ -467,11 +467,11 @@ def linked_lines(
     dealt = dealt.select("word", "id", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     dealt = dealt.select("word", "id", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
     together = dealt.join(lists, "id").repartition("word", "lo", "hi").sortWithinPartitions("word", "lo", "hi")
-    counted = together.mapInArrow(_linked(similarity), "id long, links long, matched boolean")
+    counted = together.mapInArrow(lean(_linked(similarity)), "id long, links long, matched boolean")
 
     words = lists.select("id", "words")
     joined = pairs.toDF("a", "b").join(words.toDF("a", "in_a"), "a").join(words.toDF("b", "in_b"), "b")
-    sure = joined.select("a", "b", "in_a", "in_b").mapInArrow(_verified(similarity), "a long, b long")
+    sure = joined.select("a", "b", "in_a", "in_b").mapInArrow(lean(_verified(similarity)), "a long, b long")
     at = lists.select("id", F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "line").alias("at"))
     sure = sure.join(at.toDF("a", "at_a"), "a").join(at.toDF("b", "at_b"), "b")
     one = F.lit(1).cast("long")
@@ -500,7 +500,7 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, limits: Limits
     """
     texts = take(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), whole_text().alias("text"))
     texts = texts.withColumn("text_hash", F.xxhash64("text")).select("doc_id", "text_hash", "text")
-    survey = staged(texts.mapInArrow(_survey(RARITY_SLOTS), SURVEY))
+    survey = staged(texts.mapInArrow(lean(_survey(RARITY_SLOTS)), SURVEY))
     places = survey.where("id IS NOT NULL").select("doc_id", "text_hash", "line", "id")
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash", "line")
     sets = places.groupBy("id").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))

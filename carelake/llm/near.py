@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from carelake.llm.common import (
     arrow_rows,
     in_batches,
+    lean,
     mix64,
     occurrence_labelled,
     shingles,
@@ -29,10 +30,14 @@ WIDTH = 5
 VECTORS = 16
 SAMPLED = 3
 SIMILARITY = 0.8
-# Members of a bucket that a task holds, and about how many it compares them with.
+# Members of a bucket that a task holds and about how many it compares them with, and the words of either.
 HELD = 1024
 STREAMED = 4096
-SKETCHED = "doc_id long, text_hash long, set_id binary, vectors array<long>"
+HELD_WORDS = 1 << 19
+STREAMED_WORDS = 1 << 22
+# Common items that are counted at once.
+HITS = 1 << 20
+SKETCHED = "doc_id long, text_hash long, set_id binary, words long, vectors array<long>"
 
 
 def labelled_shingles(text: str, width: int = WIDTH) -> np.ndarray:
@@ -91,7 +96,10 @@ def alignment(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> f
 
 def _sketch(width: int, vectors: int, sampled: int):
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("text_hash", pa.int64()), ("set_id", pa.binary()), ("vectors", pa.list_(pa.int64()))]
+        [
+            ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("set_id", pa.binary()),
+            ("words", pa.int64()), ("vectors", pa.list_(pa.int64())),
+        ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,7 +108,7 @@ def _sketch(width: int, vectors: int, sampled: int):
                 words = word_hashes(text)[0]
                 name = hashlib.blake2b(words.astype("<u8").tobytes(), digest_size=16).digest()
                 items = occurrence_labelled(shingles(words, width))
-                yield doc_id, text_hash, name, signed(order_min_hash(items, vectors, sampled))
+                yield doc_id, text_hash, name, len(words), signed(order_min_hash(items, vectors, sampled))
 
         yield from in_batches(rows(), schema, 2048)
 
@@ -147,10 +155,13 @@ class Block:
     def links(self, root: bytes, items: np.ndarray, start: int = 0) -> Iterator[bytes]:
         """Held members from ``start`` on that reach the similarity and connect what was not connected."""
         low, high = np.searchsorted(self.flat, items, "left"), np.searchsorted(self.flat, items, "right")
-        spans = high - low
-        hits = np.repeat(low - np.cumsum(spans) + spans, spans) + np.arange(spans.sum())
         # Aligned items are common items: too few of these rule a pair out.
-        common = np.bincount(self.owner[hits], minlength=len(self.names))
+        common = np.zeros(len(self.names), np.int64)
+        step = max(1, HITS // len(self.names))
+        for at in range(0, len(items), step):
+            first, spans = low[at : at + step], (high - low)[at : at + step]
+            hits = np.repeat(first - np.cumsum(spans) + spans, spans) + np.arange(spans.sum())
+            common += np.bincount(self.owner[hits], minlength=len(self.names))
         need = self.similarity * (self.sizes + len(items)) / (1 + self.similarity)
         near = np.flatnonzero(common >= need - 1e-9)
         near, mine = near[near >= start], self._number(root)
@@ -198,22 +209,32 @@ def _across(width: int, similarity: float):
     return run
 
 
-def blocks(members: DataFrame, held: int = HELD, streamed: int = STREAMED) -> DataFrame:
-    """Bucket members (``key``, ``set_id``, ``root``) dealt out so that all pairs of different roots meet.
+def blocks(
+    members: DataFrame,
+    held: int = HELD,
+    streamed: int = STREAMED,
+    held_words: int = HELD_WORDS,
+    streamed_words: int = STREAMED_WORDS,
+) -> DataFrame:
+    """Bucket members (``key``, ``set_id``, ``root``, if known ``words``) dealt out so that all pairs of different roots meet.
 
     Columns: ``key``, ``block``, ``slice``, ``held``, ``set_id``, ``root``. In
     a bucket the members outside its largest root are cut into blocks of about
-    ``held``. A block meets itself, those after it and the members of the
-    largest root, in slices of about ``streamed`` members. Buckets of a single
-    root are left out.
+    ``held`` members and ``held_words`` words. A block meets itself, those after
+    it and the members of the largest root, in slices of about ``streamed``
+    members and ``streamed_words`` words. Buckets of a single root are left out.
     """
-    counts = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-    whole = counts.groupBy("key").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("members"))
+    words = F.col("words") if "words" in members.columns else F.lit(0)
+    counts = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"), F.sum(words).alias("w"))
+    whole = counts.groupBy("key").agg(
+        F.max(F.struct("n", "w", "root")).alias("top"), F.sum("n").alias("members"), F.sum("w").alias("words")
+    )
+    outside = F.greatest((F.col("members") - F.col("top.n")) / held, (F.col("words") - F.col("top.w")) / held_words)
     whole = whole.where("members > top.n").select(
         "key",
         F.col("top.root").alias("largest"),
-        F.ceil((F.col("members") - F.col("top.n")) / held).cast("int").alias("blocks"),
-        F.ceil(F.col("members") / streamed).cast("int").alias("slices"),
+        F.ceil(outside).cast("int").alias("blocks"),
+        F.ceil(F.greatest(F.col("members") / streamed, F.col("words") / streamed_words)).cast("int").alias("slices"),
     )
     other = F.col("root") != F.col("largest")
     rows = members.join(whole, "key").withColumn("own", F.when(other, F.expr("pmod(xxhash64(set_id), blocks)")).cast("int"))
@@ -269,12 +290,13 @@ def near_links(sketches: DataFrame, texts: DataFrame, width: int, similarity: fl
     bucket are either aligned (or ruled out by their number of common items)
     or already connected.
     """
-    entries = sketches.select("set_id", F.posexplode("vectors").alias("nth", "value"))
-    entries = entries.select("set_id", F.xxhash64("nth", "value").alias("key"))
+    words = F.col("words") if "words" in sketches.columns else F.lit(0)
+    entries = sketches.select("set_id", words.alias("words"), F.posexplode("vectors").alias("nth", "value"))
+    entries = entries.select("set_id", "words", F.xxhash64("nth", "value").alias("key"))
     sizes = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     shared = entries.join(sizes, "key")
     weight = shared.groupBy("set_id").agg(F.sum("members").alias("weight"))
-    left = staged(shared.join(weight, "set_id").select("key", "set_id", "weight"))
+    left = staged(shared.join(weight, "set_id").select("key", "set_id", "words", "weight"))
     # Only texts that share a bucket are fetched, one row per distinct text.
     wanted = sketches.join(left.select("set_id").distinct(), "set_id", "left_semi")
     places = wanted.groupBy("set_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
@@ -284,19 +306,19 @@ def near_links(sketches: DataFrame, texts: DataFrame, width: int, similarity: fl
     parts = int(sketches.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     centres = left.groupBy("key").agg(F.max(F.struct("weight", "set_id")).alias("top"))
     tried = left.join(centres.select("key", F.col("top.set_id").alias("a")), "key")
-    tried = staged(tried.where("a <> set_id").select("key", "a", F.col("set_id").alias("b")))
+    tried = staged(tried.where("a <> set_id").select("key", "a", F.col("set_id").alias("b"), "words"))
     pairs = tried.select("a", "b").distinct()
     with_b = pairs.join(bodies.toDF("b", "text_b"), "b")
     with_both = with_b.join(bodies.toDF("a", "text_a"), "a").select("a", "b", "text_a", "text_b")
-    found = staged(with_both.mapInArrow(_verify(width, similarity), "a binary, b binary"))
+    found = staged(with_both.mapInArrow(lean(_verify(width, similarity)), "a binary, b binary"))
     stars = components(found).toDF("a", "b")
     # The centre of a bucket has met all of it; its other members may not have met each other.
-    others = tried.select("key", F.col("b").alias("set_id")).join(stars.toDF("set_id", "root"), "set_id", "left")
-    others = staged(others.select("key", "set_id", F.coalesce("root", "set_id").alias("root")))
+    others = tried.select("key", F.col("b").alias("set_id"), "words").join(stars.toDF("set_id", "root"), "set_id", "left")
+    others = staged(others.select("key", "set_id", F.coalesce("root", "set_id").alias("root"), "words"))
     dealt = staged(blocks(others))
     met = dealt.join(bodies, "set_id").repartition(parts, "key", "block", "slice")
     met = met.sortWithinPartitions("key", "block", "slice", F.desc("held"))
-    fresh = met.mapInArrow(_across(width, similarity), "a binary, b binary")
+    fresh = met.mapInArrow(lean(_across(width, similarity)), "a binary, b binary")
     links = staged(stars.union(fresh))
     return None if links.isEmpty() else links
 
@@ -329,14 +351,14 @@ def classes(
     texts = texts.withColumn("text_hash", F.xxhash64("text"))
     run = _sketch(width, vectors, sampled)
     rows = staged(
-        texts.select("doc_id", "text_hash", "text").mapInArrow(run, SKETCHED)
+        texts.select("doc_id", "text_hash", "text").mapInArrow(lean(run), SKETCHED)
         .withColumn("row", F.monotonically_increasing_id())
     )
     sketches = rows.groupBy("set_id").agg(
-        F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("vectors").alias("vectors")
+        F.min(F.struct("doc_id", "text_hash")).alias("first"), F.first("words").alias("words"), F.first("vectors").alias("vectors")
     )
     sketches = staged(
-        sketches.select("set_id", F.col("first.doc_id").alias("doc_id"), F.col("first.text_hash").alias("text_hash"), "vectors")
+        sketches.select("set_id", F.col("first.doc_id").alias("doc_id"), F.col("first.text_hash").alias("text_hash"), "words", "vectors")
     )
     links = near_links(sketches, texts, width, similarity)
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row")
