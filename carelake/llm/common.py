@@ -59,15 +59,25 @@ def staged(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+_caches: list[Callable[[], None]] = []
+
+
+def forgettable(clear: Callable[[], None]) -> None:
+    """Names what empties a cache that a worker need not keep through the stages of others."""
+    _caches.append(clear)
+
+
 def lean(run: Callable) -> Callable:
     """``run`` over a task's batches, which gives its memory back to the machine when it ends.
 
     Workers live on from task to task and from stage to stage; what one stage
-    needed at its peak would else stay with them.
+    needed at its peak, or keeps for its next task, would else stay with them.
     """
 
     @functools.wraps(run)
     def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for clear in _caches:
+            clear()
         yield from run(batches)
         _forget_powers()
         pa.default_memory_pool().release_unused()

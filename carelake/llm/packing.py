@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.common import arrow_rows, in_batches, take, whole_text
+from carelake.llm.common import arrow_rows, forgettable, in_batches, take, whole_text
 
 CACHED = 3 << 19
 PUNCTUATION = ".,;:!?%&$#*|"
@@ -110,6 +110,9 @@ def _tokenizer(path: str) -> ChunkedTokenizer:
     return ChunkedTokenizer(path)
 
 
+forgettable(_tokenizer.cache_clear)
+
+
 class Piece:
     """A run of one document's tokens that may still be cut."""
 

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelake.llm.common import arrow_rows, in_batches, take, whole_text
+from carelake.llm.common import arrow_rows, in_batches, lean, take, whole_text
 
 TOKEN = re.compile(r"[^\W_]+|[^\w\s]+|_+")
 HASHED = 1 << 18
@@ -231,4 +231,4 @@ def select_documents(
             yield batch.filter(pa.array(kept, pa.bool_()))
 
     plain = docs.toDF(*[f"__c{i}" for i in range(len(docs.columns))])
-    return plain.mapInArrow(keep, plain.schema).toDF(*docs.columns)
+    return plain.mapInArrow(lean(keep), plain.schema).toDF(*docs.columns)
