@@ -5,7 +5,7 @@ import zlib
 import pytest
 
 from carelake.plans.bindings import encode_headers
-from carelake.sources.imaging import read_file_header, read_header, scan_imaging
+from carelake.sources.imaging import image_files, mounted_files, read_file_header, read_header, scan_imaging
 
 TEXT = [
     ((0x0008, 0x0018), "UI", "1.2.3.4"),
@@ -117,6 +117,21 @@ def test_scan_reports_what_it_cannot_read(spark, tmp_path, mounted_tasks):
     assert [r.file_path.rsplit("/", 1)[1] for r in errors.collect()] == ["fake.dcm"]
 
 
+def test_staged_headers_give_both_tables_without_opening_the_files_again(spark, tmp_path):
+    root = tmp_path / "root"
+    for name, content in {"a/x.dcm": image(), "a/b/y.dcm": b"none", "_old/z.dcm": image(), "w.dcm": image(), "n.txt": b""}.items():
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(content)
+    listed = mounted_files(spark, f"file:{root}", "*.dcm", 2)
+    wanted = image_files(spark, str(root))
+    assert {r.path.rpartition(":")[2] for r in listed.collect()} == {"/" + r.path.removeprefix("file:").lstrip("/") for r in wanted.collect()}
+    table, errors = scan_imaging(spark, str(root), mounted_tasks=2, staging=str(tmp_path / "headers"))
+    for name in ("a/x.dcm", "a/b/y.dcm", "w.dcm"):
+        (root / name).write_bytes(b"changed")
+    assert sorted(r.file_path.rsplit("/", 1)[1] for r in table.collect()) == ["w.dcm", "x.dcm"]
+    assert [r.file_path.rsplit("/", 1)[1] for r in errors.collect()] == ["y.dcm"]
+
+
 def test_encoded_headers_read_back(spark):
     images = spark.createDataFrame(
         [("1.2.34", "20240131", "MR", "P1", "1.2", "1.2.3", 64, 32, "x.dcm")],
