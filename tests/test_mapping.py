@@ -1,11 +1,14 @@
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from carelake import schemas
 from carelake.operators import mapping, vocabulary
 from carelake.operators.integrate import Dictionaries, integrate_prescriptions, pseudonymize
 from carelake.operators.lookup import local_table
+from carelake.sources.graphs import load_graph, save_graph
+from carelake.sources.tables import write_tables
 
 
 @pytest.fixture(scope="module")
@@ -203,3 +206,26 @@ def test_only_imaging_types_unlisted_patients(spark, dictionaries):
     typed = {r.s for r in graph.where("p = 'rdf:type' and o = 'ont:Patient'").collect()}
     assert typed == {f"res:patient/{h('P1')}", "res:patient/unlisted"}
     assert graph.where(f"p = 'ont:hasCondition' and s = 'res:patient/{h('P9')}'").count() == 1
+
+
+def test_graph_by_subject_is_the_same_set_and_needs_no_exchange_of_the_triples(spark, dictionaries, rows, tmp_path):
+    twice = {name: df.unionByName(df) for name, df in tables(spark, dictionaries).items()}
+    graph = mapping.build_graph(spark, twice, dictionaries)
+    by_subject = mapping.build_graph(spark, twice, dictionaries, by_subject=True)
+    assert rows(by_subject) == rows(by_subject.distinct()) == rows(graph)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    save_graph(by_subject, str(tmp_path / "graph"), buckets=3, by_subject=True)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    found = load_graph(spark, str(tmp_path / "graph")).triples
+    assert rows(found) == rows(graph)
+    files = found.select("p", "s", F.regexp_extract(F.input_file_name(), r"_(\d+)\.c", 1).cast("int").alias("bucket"))
+    assert files.where("bucket <> pmod(hash(s), 3)").count() == 0
+    # A kind of node or link has one file for each predicate and bucket: its rows lie in one task.
+    names = found.select("p", F.element_at(F.split("s", "/"), 1).alias("kind"), F.expr("pmod(hash(s), 3)").alias("bucket"), F.input_file_name().alias("file"))
+    per_kind = names.where("p not in ('rdf:type', 'skos:prefLabel')").groupBy("p", "kind", "bucket").agg(F.count_distinct("file").alias("n"))
+    assert per_kind.where("n > 1").where("kind = 'res:patient'").count() == 0
+
+
+def test_written_tables_take_the_denser_codec(spark, tmp_path):
+    write_tables({"one": spark.range(3)}, str(tmp_path))
+    assert all(".zstd." in f.name for f in (tmp_path / "one").glob("part-*"))
