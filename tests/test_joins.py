@@ -129,3 +129,14 @@ def test_repeated_keys_are_refused(spark):
     with pytest.raises(ValueError, match="not unique"):
         table = spark.createDataFrame(twice, "key string, label string")
         Dictionary.of(spark, table, "key string, label string", ["key"])
+
+
+def test_hot_keys_of_a_large_dictionary_can_be_looked_for_elsewhere(spark, facts, rows):
+    entries = Dictionary.of(spark, [("hot", 1), ("k1", 2)], "key string, y int", ["key"], max_rows=1)
+    assert not entries.small
+    # A key that cannot be worked out: whoever reads it to plan the join fails.
+    dear = facts.select(F.raise_error(F.concat(F.lit("read "), "key")).cast("string").alias("key"), "x")
+    lookup(dear, entries, {"key": "key"}, ["y"], keys=facts.select("key"))
+    plain = facts.select("key", "x")
+    found = lookup(plain, entries, {"key": "key"}, ["y"], keys=facts.select("key"))
+    assert rows(found) == rows(lookup(plain, entries, {"key": "key"}, ["y"]))
