@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelake.session import TIDY, settings
+
 # ------------------------------------------------------------------- DataFrames
 
 
@@ -54,9 +56,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def staged(df: DataFrame) -> DataFrame:
-    """``df`` written once to the folder all executors share; its lineage ends there."""
+    """``df`` written once to the folder all executors share; its lineage ends there, and its shuffle files go."""
     shared_folder(df.sparkSession)
-    return df.checkpoint()
+    with settings(df.sparkSession, **TIDY):
+        return df.select("*").checkpoint()  # what is made under a setting follows it
 
 
 _caches: list[Callable[[], None]] = []

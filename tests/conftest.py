@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import SparkSession
 
@@ -25,3 +27,23 @@ def spark():
 def rows():
     """Rows of a DataFrame as sorted tuples."""
     return lambda df: sorted([tuple(r) for r in df.collect()], key=repr)
+
+
+@pytest.fixture
+def shuffle_files(spark):
+    """Names of the shuffle files on disk; with ``since``, those that came after it and stay."""
+
+    def listed():
+        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        return {name for name in disk.getAllFiles().mkString(",").split(",") if "/shuffle_" in name}
+
+    def wait(since=None):
+        if since is None:
+            return listed()
+        for _ in range(50):  # they are removed in the background
+            if not listed() - since:
+                break
+            time.sleep(0.1)
+        return listed() - since
+
+    return wait
