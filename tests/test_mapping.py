@@ -7,6 +7,7 @@ from carelake import schemas
 from carelake.operators import mapping, vocabulary
 from carelake.operators.integrate import Dictionaries, integrate_prescriptions, pseudonymize
 from carelake.operators.lookup import local_table
+from carelake.sources import graphs
 from carelake.sources.graphs import load_graph, save_graph
 from carelake.sources.tables import write_tables
 
@@ -229,3 +230,17 @@ def test_graph_by_subject_is_the_same_set_and_needs_no_exchange_of_the_triples(s
 def test_written_tables_take_the_denser_codec(spark, tmp_path):
     write_tables({"one": spark.range(3)}, str(tmp_path))
     assert all(".zstd." in f.name for f in (tmp_path / "one").glob("part-*"))
+
+
+def test_parts_written_in_turn_are_the_same_graph_and_leave_no_shuffle_files(spark, dictionaries, rows, tmp_path, shuffle_files, monkeypatch):
+    twice = {name: df.unionByName(df) for name, df in tables(spark, dictionaries).items()}
+    parts = mapping.graph_parts(spark, twice, dictionaries)
+    before, left = shuffle_files(), []
+    survey = graphs.surveyed
+    monkeypatch.setattr(graphs, "surveyed", lambda written: left.append(shuffle_files(since=before)) or survey(written))
+    save_graph(parts, str(tmp_path / "graph"), buckets=3, by_subject=True)
+    assert len(parts) > 1 and left == [set()]
+    found = load_graph(spark, str(tmp_path / "graph")).triples
+    assert rows(found) == rows(mapping.build_graph(spark, twice, dictionaries))
+    files = found.select("s", F.regexp_extract(F.input_file_name(), r"_(\d+)\.c", 1).cast("int").alias("bucket"))
+    assert files.where("bucket <> pmod(hash(s), 3)").count() == 0
