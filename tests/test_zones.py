@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from carelake import schemas
+from carelake.functions import standardize as std
 from carelake.operators.integrate import Dictionaries
 from carelake.operators.match import match
 from carelake.plans import zones
@@ -199,3 +200,13 @@ def test_gold_tables_are_replaced_together_or_not_at_all(spark, tmp_path, rows):
     assert with_patients("Bo", "Cy") == ["Ann"]
     zones.write_gold(spark, root, Recorder(spark, {}))
     assert with_patients("Di") == ["Bo", "Cy"]
+
+
+def test_dates_become_text_and_text_dates_without_the_formatter(spark, rows):
+    days = spark.sql("SELECT explode(array(date'0001-01-01', date'2024-02-29', date'9999-12-31', null)) AS day")
+    text = zones.as_text_dates(days, "day")
+    assert [r[0] for r in text.collect()] == ["0001-01-01", "2024-02-29", "9999-12-31", None]
+    assert "date_format" not in text._jdf.queryExecution().analyzed().toString().lower()
+    back = text.select(std.to_date(F.col("day")).alias("day"))
+    assert rows(back) == rows(days)
+    assert "rlike" in back._jdf.queryExecution().analyzed().toString().lower()
