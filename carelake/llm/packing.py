@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from carelake.llm.common import arrow_rows, forgettable, in_batches, take, whole_text
 
-CACHED = 3 << 19
+# Words and line starts that are kept, and places for words met once.
+CACHED, STARTS, ONCE = 1 << 19, 1 << 17, 1 << 22
 PUNCTUATION = ".,;:!?%&$#*|"
 LATIN_END = "\u0250"
 TWO_BLANKS = re.compile(r"\s\s")
@@ -26,10 +27,12 @@ class ChunkedTokenizer:
 
     A byte-level BPE never merges across a blank or line break between two
     words, nor between the letters of a word and the punctuation after them.
-    So a text without adjacent white space is looked up word by word; of words
-    not met before, the letters of all go to the tokenizer in one call. Any
-    other text is encoded whole. A table of known words is emptied when it
-    holds :data:`CACHED` or two thirds of that (some 300 MB).
+    So a text without adjacent white space is looked up word by word; what was
+    not met before goes to the tokenizer in one call. Any other text is
+    encoded whole. Most words of a large table are met once; so
+    a word is kept from its second time on, and of the first a mark remains.
+    The table of known words is emptied when it holds :data:`CACHED` (some
+    100 MB).
     """
 
     def __init__(self, path: str):
@@ -38,10 +41,14 @@ class ChunkedTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}
         self.spaced: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {}
+        self.met, self.marks = bytearray(ONCE), 0
         # Special tokens may be recognised anywhere in a text, across words too.
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         splits = self.tokenizer.pre_tokenizer
+        # In joined words each token that holds a blank or a line break begins a word.
+        vocabulary = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.begins[[i for token, i in vocabulary.items() if token[:1] in ("\u0120", "\u010a")]] = True
         self.by_word = "ByteLevel" in str(splits) and "add_prefix_space=False" in str(splits) and not self.tokenizer.normalizer
 
     def _encode(self, text: str) -> bytes:
@@ -51,37 +58,62 @@ class ChunkedTokenizer:
         """Ids of a text that stands at the start of a line or after letters."""
         ids = self.known.get(text)
         if ids is None:
-            if len(self.known) >= CACHED:
+            if len(self.known) >= STARTS:
                 self.known.clear()
             ids = self.known[text] = self._encode(text)
         return ids
 
-    def _learn(self, words: set[str]) -> None:
-        """Add the words, each after a blank, to the known ones."""
+    def _keep(self, words: dict[str, bytes]) -> None:
+        """Of words with their ids, add those met before to the known ones, and mark the others."""
         if len(self.spaced) >= CACHED:
             self.spaced.clear()
-        if len(self.cores) >= CACHED * 2 // 3:
-            self.cores.clear()
-        parted = {}
+        if self.marks >= ONCE // 2:
+            self.met, self.marks = bytearray(ONCE), 0
+        met, spaced, before = self.met, self.spaced, len(self.spaced)
+        for word, ids in words.items():
+            place = hash(word) & ONCE - 1
+            if met[place]:
+                spaced[word] = ids
+            else:
+                met[place] = 1
+        self.marks += len(words) - (len(spaced) - before)
+
+    def _apart(self, starts: list[str], words: list[str]) -> list[bytes]:
+        """Ids of starts of lines and of words after a blank, none of which holds white space."""
+        joined = "".join(["\n" + start for start in starts] + [" " + word for word in words])
+        ids = np.array(self.tokenizer.encode(joined, add_special_tokens=False).ids, "<u4")
+        at = (np.flatnonzero(self.begins[ids]) * 4).tolist()
+        if len(at) != len(starts) + len(words):
+            return [self._encode(start) for start in starts] + [self._encode(" " + word) for word in words]
+        data, ends, n = ids.tobytes(), [*at[1:], 4 * len(ids)], len(starts)
+        # The line break before a start is one token.
+        return [data[i + 4 : j] for i, j in zip(at[:n], ends)] + [data[i:j] for i, j in zip(at[n:], ends[n:])]
+
+    def _learn(self, starts: set[str], words: set[str]) -> dict[str, bytes]:
+        """Ids of the words, each after a blank; those of the starts of lines are among the known then."""
+        parted, learnt, new = {}, {}, {}
         for word in words:
             core = word.rstrip(PUNCTUATION)
-            if core.isalpha() and max(core) < LATIN_END:
+            if core.isalpha() and (core.isascii() or max(core) < LATIN_END):
                 parted[word] = core
+                if core not in self.spaced:
+                    new[core] = None
+            elif word.split() == [word]:
+                new[word] = None
             else:
-                self.spaced[word] = self._encode(" " + word)
-        new = list({c for c in parted.values() if c not in self.cores})
-        if new:
-            joined = self.tokenizer.encode(" " + " ".join(new), add_special_tokens=False)
-            place, ids = np.array(joined.word_ids), np.array(joined.ids, "<u4")
-            starts = np.flatnonzero(np.diff(place, prepend=-1)) * 4
-            if len(starts) == len(new):
-                data, ends = ids.tobytes(), [*starts[1:].tolist(), 4 * len(ids)]
-                self.cores.update((c, data[i:j]) for c, i, j in zip(new, starts.tolist(), ends, strict=True))
-            else:
-                self.cores.update((c, self._encode(" " + c)) for c in new)
+                learnt[word] = self._encode(" " + word)
+        begun = [start for start in starts if start.split() == [start]]
+        found = self._apart(begun, list(new))
+        if len(self.known) >= STARTS:
+            self.known.clear()
+        self.known.update(zip(begun, found))
+        learnt.update(zip(new, found[len(begun) :], strict=True))
         for word, core in parted.items():
-            tail = word[len(core) :]
-            self.spaced[word] = self.cores[core] + self._plain(tail) if tail else self.cores[core]
+            if word not in learnt:
+                ids = learnt[core] if core in learnt else self.spaced[core]
+                learnt[word] = ids + self._plain(word[len(core) :])
+        self._keep(learnt)
+        return learnt
 
     def ids(self, text: str) -> bytes:
         if not self.by_word or TWO_BLANKS.search(text) or any(s in text for s in self.special):
@@ -91,10 +123,11 @@ class ChunkedTokenizer:
         get = self.spaced.get
         found = [list(map(get, words)) for words in rest]
         holes = [(ids, words) for ids, words in zip(found, rest, strict=True) if None in ids]
-        if holes:
-            self._learn({w for ids, words in holes for i, w in zip(ids, words, strict=True) if i is None})
+        starts = {words[0] for words in lines if words[0] and words[0] not in self.known}
+        if holes or starts:
+            learnt = self._learn(starts, {w for ids, words in holes for i, w in zip(ids, words, strict=True) if i is None})
             for ids, words in holes:
-                ids[:] = [self.spaced[w] if i is None else i for i, w in zip(ids, words, strict=True)]
+                ids[:] = [learnt[w] if i is None else i for i, w in zip(ids, words, strict=True)]
         newline, out = self._plain("\n"), []
         for n, (words, ids) in enumerate(zip(lines, found, strict=True)):
             if n:
@@ -173,7 +206,7 @@ def pack(
         weights = demand[: len(waiting)].mean(axis=0) / limit
         while waiting and left[0] > 0 and left[1] > 0:
             need = demand[: len(waiting)]
-            fits = np.flatnonzero((need <= left).all(axis=1))
+            fits = np.flatnonzero((need[:, 0] <= left[0]) & (need[:, 1] <= left[1]) & (need[:, 2] <= left[2]))
             if len(fits):
                 piece = drop(int(fits[np.argmax(need[fits] @ (weights * left / limit / limit))]))
             elif cut:

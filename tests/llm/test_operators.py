@@ -518,6 +518,20 @@ def test_words_are_tokenized_as_in_the_whole_text():
         assert tokenizer.ids(text) == tokenizer._encode(text)
 
 
+def test_tokenizer_keeps_only_words_met_again():
+    tokenizer = packing.ChunkedTokenizer(tokenizer_path())
+    letters = [chr(97 + i) for i in range(26)]
+    words = [a + b + c + "x" for a in letters for b in letters for c in letters]
+    text = " ".join(words) + "\nStart (273)! caf\u00e9, caf\u00e9. 'tis a\tb 1.5... **\nEnd "
+    whole = tokenizer._encode(text)
+    assert tokenizer.ids(text) == whole
+    # Words of a large table are mostly met once; what is kept of them may not grow as they do.
+    assert sum(len(t) for t in vars(tokenizer).values() if isinstance(t, dict)) < len(words) // 10
+    assert tokenizer.ids(text) == whole
+    assert len(tokenizer.spaced) >= len(words)
+    assert tokenizer.ids(text) == whole
+
+
 def test_packing_keeps_all_three_limits():
     rng = np.random.default_rng(3)
     made = [packing.Piece(i, 0, int(t), int(t * s)) for i, (t, s) in enumerate(zip(rng.integers(1, 300, 400), rng.random(400)))]
