@@ -1,5 +1,6 @@
 import hashlib
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -244,3 +245,16 @@ def test_parts_written_in_turn_are_the_same_graph_and_leave_no_shuffle_files(spa
     assert rows(found) == rows(mapping.build_graph(spark, twice, dictionaries))
     files = found.select("s", F.regexp_extract(F.input_file_name(), r"_(\d+)\.c", 1).cast("int").alias("bucket"))
     assert files.where("bucket <> pmod(hash(s), 3)").count() == 0
+
+
+def test_subjects_of_a_graph_are_stored_as_what_differs_from_the_one_before(spark, tmp_path):
+    made = spark.range(20_000).select(
+        F.concat(F.lit("res:x/"), F.sha2(F.col("id").cast("string"), 256)).alias("s"), F.lit("ont:label").alias("p"),
+        F.col("id").cast("string").alias("o"), F.lit("literal").alias("o_kind"),
+        F.lit(None).cast("string").alias("o_dtype"), F.lit(None).cast("string").alias("o_lang"),
+    )
+    save_graph(made, str(tmp_path / "graph"), buckets=1)
+    files = list((tmp_path / "graph").rglob("triples/**/*.parquet"))
+    columns = [pq.ParquetFile(f).metadata.row_group(0).column(0) for f in files]
+    assert columns and all(c.path_in_schema == "s" and "DELTA_BYTE_ARRAY" in c.encodings for c in columns)
+    assert load_graph(spark, str(tmp_path / "graph")).triples.exceptAll(made.select(schemas.TRIPLES.names)).count() == 0
