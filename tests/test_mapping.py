@@ -258,3 +258,43 @@ def test_subjects_of_a_graph_are_stored_as_what_differs_from_the_one_before(spar
     columns = [pq.ParquetFile(f).metadata.row_group(0).column(0) for f in files]
     assert columns and all(c.path_in_schema == "s" and "DELTA_BYTE_ARRAY" in c.encodings for c in columns)
     assert load_graph(spark, str(tmp_path / "graph")).triples.exceptAll(made.select(schemas.TRIPLES.names)).count() == 0
+
+
+def test_large_parts_come_in_slices_of_whole_buckets(spark, dictionaries, rows, tmp_path):
+    """The exchange of a part holds some of its subjects alone, and a bucket gets no more files by that."""
+    key = F.col("id").cast("string")
+    many = spark.range(60)
+    given = tables(spark, dictionaries) | {
+        "prescriptions": many.select(
+            key.alias("patient_id"), F.sha2(key, 256).alias("patient_id_pseudo"), F.lit("Ibuprofen").alias("drug"),
+            F.lit("2024-01-01").alias("date"), F.lit("NSAIDs").alias("drug_family"),
+        ),
+        "dicom_images": many.select(
+            *[key.alias(c) for c in ("dicom_id", "patient_id_pseudo", "study_uid", "series_uid", "modality", "file_path")],
+            F.lit("20240101").alias("study_date"),
+        ),
+    }
+    parts = mapping.graph_parts(spark, given, dictionaries)
+    of_slice = F.pmod(F.hash("s"), F.lit(mapping.SLICES))
+    held = [{r[0] for r in part.select(of_slice).distinct().collect()} for part in parts[: 4 * mapping.SLICES]]
+    assert mapping.SLICES > 1 and held == 4 * [{i} for i in range(mapping.SLICES)]
+    text = parts[0]._jdf.queryExecution().executedPlan().toString()
+    assert "pmod(hash(" in text.partition("Exchange")[2]
+    save_graph(parts, str(tmp_path / "graph"), buckets=2 * mapping.SLICES, by_subject=True)
+    found = load_graph(spark, str(tmp_path / "graph")).triples
+    assert rows(found) == rows(mapping.build_graph(spark, given, dictionaries))
+    files = found.select("p", F.expr(f"pmod(hash(s), {2 * mapping.SLICES})").alias("bucket"), F.input_file_name().alias("file"))
+    for p in ("ont:drug", "ont:hasPrescription", "ont:sopUID", "ont:studyUID"):
+        assert files.where(F.col("p") == p).groupBy("bucket").agg(F.count_distinct("file").alias("n")).where("n > 1").count() == 0, p
+
+
+def test_repeated_subjects_of_a_graph_have_no_dictionary(spark, tmp_path):
+    made = spark.range(20_000).select(
+        F.concat(F.lit("res:x/"), (F.col("id") / 4).cast("int").cast("string")).alias("s"), F.lit("ont:hasPatient").alias("p"),
+        F.concat(F.lit("res:y/"), F.col("id").cast("string")).alias("o"), F.lit("iri").alias("o_kind"),
+        F.lit(None).cast("string").alias("o_dtype"), F.lit(None).cast("string").alias("o_lang"),
+    )
+    save_graph(made, str(tmp_path / "graph"), buckets=1)
+    columns = [pq.ParquetFile(f).metadata.row_group(0).column(0) for f in (tmp_path / "graph").rglob("triples/**/*.parquet")]
+    assert columns and all(c.path_in_schema == "s" and not c.has_dictionary_page and "DELTA_BYTE_ARRAY" in c.encodings for c in columns)
+    assert load_graph(spark, str(tmp_path / "graph")).triples.exceptAll(made.select(schemas.TRIPLES.names)).count() == 0

@@ -1,5 +1,6 @@
 import json
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -210,3 +211,18 @@ def test_dates_become_text_and_text_dates_without_the_formatter(spark, rows):
     back = text.select(std.to_date(F.col("day")).alias("day"))
     assert rows(back) == rows(days)
     assert "rlike" in back._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_image_ids_of_the_lake_are_stored_as_what_differs_from_the_one_before(spark, tmp_path, rows):
+    ids = ["dicom_id", "study_uid", "series_uid", "file_path"]
+    images = spark.range(2_000).select(
+        *[F.concat(F.lit("1.2."), (F.col("id") / 4).cast("int").cast("string")).alias(c) for c in ids], F.lit("CT").alias("modality")
+    )
+    Recorder(spark, {}).write_all(str(tmp_path), "silver", {"dicom_images": (images, "route")})
+    files = list((tmp_path / "dicom_images").glob("*.parquet"))
+    for file in files:
+        group = pq.ParquetFile(file).metadata.row_group(0)
+        found = {c.path_in_schema: c for c in (group.column(i) for i in range(group.num_columns))}
+        assert all("DELTA_BYTE_ARRAY" in found[c].encodings and not found[c].has_dictionary_page for c in ids)
+        assert found["modality"].has_dictionary_page
+    assert files and rows(spark.read.parquet(str(tmp_path / "dicom_images"))) == rows(images)
