@@ -1,4 +1,5 @@
 import hashlib
+from itertools import groupby
 
 import pyarrow.parquet as pq
 import pytest
@@ -298,3 +299,26 @@ def test_repeated_subjects_of_a_graph_have_no_dictionary(spark, tmp_path):
     columns = [pq.ParquetFile(f).metadata.row_group(0).column(0) for f in (tmp_path / "graph").rglob("triples/**/*.parquet")]
     assert columns and all(c.path_in_schema == "s" and not c.has_dictionary_page and "DELTA_BYTE_ARRAY" in c.encodings for c in columns)
     assert load_graph(spark, str(tmp_path / "graph")).triples.exceptAll(made.select(schemas.TRIPLES.names)).count() == 0
+
+
+def test_parts_come_sorted_by_kind_and_subject_and_work_out_an_id_once(spark, dictionaries, tmp_path):
+    key = F.col("id").cast("string")
+    given = tables(spark, dictionaries) | {
+        "prescriptions": spark.range(300).select(
+            key.alias("patient_id"), F.concat(F.lit("p"), key).alias("patient_id_pseudo"), F.lit("Ibuprofen").alias("drug"),
+            F.lit("2024-01-01").alias("date"), F.lit("NSAIDs").alias("drug_family"),
+        ),
+    }
+    parts = mapping.graph_parts(spark, given, dictionaries)
+    text = parts[0]._jdf.queryExecution().executedPlan().toString()
+    assert text.count("sha2(") == 1
+    save_graph(parts, str(tmp_path / "graph"), buckets=4, by_subject=True)
+    files = [pq.ParquetFile(f).read(["s"])["s"].to_pylist() for f in (tmp_path / "graph").rglob("triples/**/*.parquet")]
+    for subjects in files:
+        runs = [(kind, list(run)) for kind, run in groupby(subjects, lambda s: s.partition("/")[0])]
+        assert len(runs) == len(dict(runs)) and all(run == sorted(run) for _, run in runs)
+    assert max(map(len, files)) > 50
+    # Nothing but the parts' own plans sorted them.
+    for part in parts:
+        text = part._jdf.queryExecution().executedPlan().toString()
+        assert "Sort [node#" in text or "Sort [s#" in text
